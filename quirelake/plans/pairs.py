@@ -1,0 +1,31 @@
+"""Queries of the core's operators on near-duplicates, names, matching and splitting (problems 2, 4, 5 and 7)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quirelake.operators import splitting
+from quirelake.session import table
+
+
+def _oversized(spark: SparkSession, root: str) -> DataFrame:
+    papers = table(spark, root, "parse_results").select(F.lit("parse_results").alias("tbl"), F.col("paper_id").alias("rec_id"), F.col("markdown").alias("text"))
+    chunks = table(spark, root, "chunks").select(F.lit("chunks").alias("tbl"), F.col("chunk_id").alias("rec_id"), "text")
+    return papers.unionByName(chunks)
+
+
+def p7_pieces(spark: SparkSession, root: str) -> DataFrame:
+    return splitting.split_oversized(_oversized(spark, root), ("tbl", "rec_id"))
+
+
+def p7_found(spark: SparkSession, root: str) -> DataFrame:
+    made = splitting.split_oversized(_oversized(spark, root), ("tbl", "rec_id"), with_text=False)
+    return made.where("piece = 1").select("tbl", "rec_id")
+
+
+QUERIES = {"p7_found": p7_found, "p7_pieces": p7_pieces}
+ORACLES = {
+    "p7_found": """SELECT 'parse_results' AS tbl, paper_id AS rec_id FROM parse_results WHERE length(markdown) > 6000
+        UNION ALL SELECT 'chunks', chunk_id FROM chunks WHERE length(text) > 6000""",
+}
