@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirelake.llm import lookalike, markup, tokens
+from quirelake.llm import lookalike, markup, scans, tokens
 from quirelake.session import table
 
 #: The text columns of the domain's tables that problems 1, 3, 6 and 7 name: table, key, text.
@@ -32,6 +32,21 @@ def p1_clean(spark: SparkSession, root: str) -> DataFrame:
     return markup.clean_markup(_texts(spark, root, MARKED), ("tbl", "rec_id"))
 
 
+SCANNED = (("parse_results", "paper_id", "markdown"), ("raw_refs", "ref_id", "text"))
+
+
+def _repaired(spark: SparkSession, root: str, with_text: bool) -> DataFrame:
+    return scans.repair_scans(_texts(spark, root, SCANNED), ("tbl", "rec_id"), one_line="tbl = 'raw_refs'", with_text=with_text)
+
+
+def p3_found(spark: SparkSession, root: str) -> DataFrame:
+    return _repaired(spark, root, False).where("n_hyphens + n_misread + n_edges > 0").select("tbl", "rec_id")
+
+
+def p3_repaired(spark: SparkSession, root: str) -> DataFrame:
+    return _repaired(spark, root, True)
+
+
 def p6_unified(spark: SparkSession, root: str) -> DataFrame:
     return lookalike.unify_text(_texts(spark, root, NAMES), "text").select("tbl", "rec_id", "form", F.array_join("traits", ",").alias("traits"))
 
@@ -52,6 +67,8 @@ def p8_decoded(spark: SparkSession, root: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_clean": p1_clean,
+    "p3_found": p3_found,
+    "p3_repaired": p3_repaired,
     "p6_found": p6_found,
     "p6_unified": p6_unified,
     "p8_ids": p8_ids,
