@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirelake.llm import lookalike, markup, scans, tokens
+from quirelake.llm import lookalike, markup, mixing, reading, scans, tokens
 from quirelake.session import table
 
 #: The text columns of the domain's tables that problems 1, 3, 6 and 7 name: table, key, text.
@@ -64,6 +64,33 @@ def p8_decoded(spark: SparkSession, root: str) -> DataFrame:
     return back.select("doc_id", "text", F.octet_length("raw").cast("bigint").alias("n_bytes"))
 
 
+def _sizes(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").where("source IS NOT NULL")
+    wanted = docs.select(F.struct("doc_id", "source").alias("key"), "text")
+    return tokens.encode_corpus(wanted, "key", counts_only=True).select("key.doc_id", "key.source", "n_tokens")
+
+
+def _mixed(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    return mixing.mix_sources(_sizes(spark, root), table(spark, root, "mix_targets"))
+
+
+def p9_mix(spark: SparkSession, root: str) -> DataFrame:
+    return _mixed(spark, root)[0]
+
+
+def p9_shares(spark: SparkSession, root: str) -> DataFrame:
+    return _mixed(spark, root)[1]
+
+
+def p10_levels(spark: SparkSession, root: str) -> DataFrame:
+    documents = table(spark, root, "documents")
+    return reading.reading_levels(documents, reading.fit_levels(documents, table(spark, root, "level_labels")))
+
+
+def p10_found(spark: SparkSession, root: str) -> DataFrame:
+    return p10_levels(spark, root).where(f"english AND n_words >= {reading.LEAST_WORDS} AND level IS NOT NULL").select("doc_id", "level")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_clean": p1_clean,
@@ -73,6 +100,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_unified": p6_unified,
     "p8_ids": p8_ids,
     "p8_decoded": p8_decoded,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
+    "p10_found": p10_found,
+    "p10_levels": p10_levels,
 }
 
 ORACLES: dict[str, str] = {
