@@ -1,0 +1,125 @@
+"""Problem 2: groups of records that print the same thing with small edits, found with a token-group matrix.
+
+Records with the same tokens are one class. Classes with the same rarest token (and year) form a
+group; a group is known by the union of its members' tokens. A query class must share a certain
+weight of tokens with any partner, so it looks only at groups that hold one of its rarest tokens,
+bounds from the union how much any member can share, and opens only the groups that qualify.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quirelake.functions.entries import read_entry
+from quirelake.operators.components import components
+from quirelake.session import stage
+
+
+def weighted_sets(sets: DataFrame) -> DataFrame:
+    """``sets`` (``id``, ``block``, ``tokens``) with ``items``, the tokens with their weights from the rarest on, and ``weight``, their sum.
+
+    A token's weight is the logarithm of how many times more sets there are than sets with it, plus
+    1. Sets without tokens fall out.
+    """
+    total = sets.agg(F.count("*").alias("all"))
+    each = sets.select("id", F.explode("tokens").alias("token"))
+    known = each.groupBy("token").agg(F.count("*").alias("df")).crossJoin(F.broadcast(total)).select("token", F.round(F.lit(1.0) + F.log(F.col("all") / F.col("df")), 4).alias("w"))
+    items = each.join(known, "token").groupBy("id").agg(F.array_sort(F.collect_list(F.struct((-F.col("w")).alias("rank"), "token", "w"))).alias("items"))
+    items = items.select("id", F.transform("items", lambda x: F.struct(x["token"].alias("token"), x["w"].alias("w"))).alias("items"))
+    return sets.drop("tokens").join(items, "id").withColumn("weight", F.aggregate("items", F.lit(0.0), lambda a, x: a + x["w"]))
+
+
+def _shared(left: Column, right: Column) -> Column:
+    """The weight of the items of ``left`` whose token is among the tokens ``right``."""
+    return F.aggregate(F.filter(left, lambda x: F.array_contains(right, x["token"])), F.lit(0.0), lambda a, x: a + x["w"])
+
+
+def token_group_pairs(sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``a`` < ``b`` of ids in the same ``block`` whose weighted Jaccard similarity is at least ``threshold``, with ``similarity``.
+
+    ``sets`` has ``id``, ``block`` (pairs across blocks don't count; null is no block of its own, it
+    is compared with null only) and ``tokens`` (array of distinct strings). Exact: no bucket is
+    capped. Sets must be distinct for the cost to stay low: give one for each class of equal ones.
+    """
+    rows = stage(weighted_sets(sets).withColumn("block", F.coalesce(F.col("block").cast("string"), F.lit("?"))))
+    # the group of a class: its block and its rarest token
+    members = rows.withColumn("grp", F.xxhash64("block", F.col("items")[0]["token"]))
+    unions = members.select("grp", "block", F.explode("items.token").alias("token")).groupBy("grp", "block").agg(F.collect_set("token").alias("union"))
+    matrix = stage(unions)
+    # rarest items of which a partner must have one: those before the rest weighs less than the threshold's share
+    need = F.lit(threshold) * F.col("weight")
+    ahead = rows.withColumn(
+        "probe",
+        F.aggregate(
+            "items",
+            F.struct(F.array().cast("array<string>").alias("kept"), F.col("weight").alias("rest")),
+            lambda s, x: F.when(s["rest"] >= need, F.struct(F.concat(s["kept"], F.array(x["token"])).alias("kept"), (s["rest"] - x["w"]).alias("rest"))).otherwise(s),
+        )["kept"],
+    )
+    probes = ahead.select(F.col("id").alias("a"), "block", F.explode("probe").alias("token"))
+    cells = matrix.select("grp", "block", F.explode("union").alias("token"))
+    asked = probes.join(cells, ["block", "token"]).select("a", "grp").distinct()
+    queries = rows.select(F.col("id").alias("a"), F.col("items").alias("items_a"), F.col("weight").alias("weight_a"))
+    # bound from the union: only qualifying groups are opened
+    opened = asked.join(matrix.select("grp", "union"), "grp").join(queries, "a").where(_shared(F.col("items_a"), F.col("union")) >= F.lit(threshold) * F.col("weight_a"))
+    inside = members.select(F.col("id").alias("b"), "grp", F.col("items.token").alias("tokens_b"), F.col("weight").alias("weight_b"))
+    pairs = opened.select("a", "grp", "items_a", "weight_a").join(inside, "grp").where("a <> b AND least(weight_a, weight_b) >= %s * greatest(weight_a, weight_b)" % threshold)
+    both = pairs.withColumn("shared", _shared(F.col("items_a"), F.col("tokens_b"))).withColumn("similarity", F.col("shared") / (F.col("weight_a") + F.col("weight_b") - F.col("shared")))
+    return both.where(F.col("similarity") >= threshold).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.round("similarity", 6).alias("similarity")).distinct()
+
+
+def read_entries(refs: DataFrame, key: str = "ref_id", text: str = "text") -> DataFrame:
+    """``key``, ``words``, ``year``, ``pages``, ``sequel`` and ``tokens`` of each entry, by a map without shuffle."""
+    schema = T.StructType(
+        [refs.schema[key], T.StructField("words", T.IntegerType()), T.StructField("year", T.IntegerType()), T.StructField("pages", T.StringType()), T.StructField("sequel", T.StringType()), T.StructField("tokens", T.ArrayType(T.StringType()))]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [read_entry(v) for v in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([m[i] for m in made], f) for i, f in enumerate((pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string()))))], schema.names)
+
+    return refs.select(key, F.col(text).cast("string")).mapInArrow(run, schema)
+
+
+#: Similarity of two entries' weighted tokens: with the same pages, without pages, with other pages.
+SAME_PAGES, NO_PAGES, OTHER_PAGES = 0.45, 0.62, 0.9
+LEAST_WORDS = 8
+
+
+def entry_groups(refs: DataFrame, key: str = "ref_id", text: str = "text") -> DataFrame:
+    """``key``, ``entry`` (the least key of the rows that print the same entry) and ``class`` (the least key of the rows that read the same).
+
+    Rows of fewer than eight words have null for both, as have null and empty texts. Two rows
+    print one entry when they tell the same year (or none), the same signs of a sequel, and their
+    weighted tokens agree well enough in view of their pages. Copies and readings of the same words
+    are one class and are compared once, however many they are. The key must be unique and not null.
+    """
+    read = stage(read_entries(refs.where(F.col(key).isNotNull()), key, text))
+    mark = F.xxhash64("year", "sequel", "pages", F.concat_ws(" ", "tokens"))
+    able = read.where(f"words >= {LEAST_WORDS} AND size(tokens) > 0").withColumn("mark", mark)
+    classes = stage(able.groupBy("mark").agg(F.min(key).alias("id"), F.first("year").alias("year"), F.first("sequel").alias("sequel"), F.first("pages").alias("pages"), F.first("tokens").alias("tokens")))
+    sets = classes.select("id", F.concat_ws("|", F.coalesce(F.col("year").cast("string"), F.lit("?")), "sequel").alias("block"), "tokens")
+    pairs = token_group_pairs(sets, min(SAME_PAGES, NO_PAGES))
+    pages = classes.select("id", "pages")
+    judged = pairs.join(pages.toDF("a", "pages_a"), "a").join(pages.toDF("b", "pages_b"), "b")
+    least = F.when(F.col("pages_a").isNull() | F.col("pages_b").isNull(), NO_PAGES).when(F.col("pages_a") == F.col("pages_b"), SAME_PAGES).otherwise(OTHER_PAGES)
+    linked = components(judged.where(F.col("similarity") >= least).select("a", "b"))
+    of_class = classes.select("mark", F.col("id").alias("class")).join(linked.withColumnRenamed("node", "class"), "class", "left").select("mark", "class", F.coalesce("component", "class").alias("entry"))
+    found = able.select(key, "mark").join(of_class, "mark").select(key, "entry", "class")
+    return refs.select(key).join(found, key, "left")
+
+
+def pairs_within(rows: DataFrame, key: str, group: str, names: tuple[str, str]) -> DataFrame:
+    """All pairs of ``key`` within a ``group``, the smaller first, named ``names``. Rows of no group (null) have none.
+
+    This is the expansion that a list of all pairs asks for; its size is that of the result.
+    """
+    side = rows.where(F.col(group).isNotNull()).select(group, key)
+    left, right = side.withColumnRenamed(key, names[0]), side.withColumnRenamed(key, names[1])
+    return left.join(right, group).where(F.col(names[0]) < F.col(names[1])).select(*names)

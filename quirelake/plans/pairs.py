@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirelake.operators import splitting
+from quirelake.operators import neardup, splitting
 from quirelake.session import table
 
 
+def p2_groups(spark: SparkSession, root: str) -> DataFrame:
+    return neardup.entry_groups(table(spark, root, "raw_refs"))
+
+
+def p2_found(spark: SparkSession, root: str) -> DataFrame:
+    return neardup.pairs_within(p2_groups(spark, root), "ref_id", "entry", ("ref_id_a", "ref_id_b"))
+
+
 def _oversized(spark: SparkSession, root: str) -> DataFrame:
     papers = table(spark, root, "parse_results").select(F.lit("parse_results").alias("tbl"), F.col("paper_id").alias("rec_id"), F.col("markdown").alias("text"))
     chunks = table(spark, root, "chunks").select(F.lit("chunks").alias("tbl"), F.col("chunk_id").alias("rec_id"), "text")
@@ -24,7 +32,7 @@ def p7_found(spark: SparkSession, root: str) -> DataFrame:
     return made.where("piece = 1").select("tbl", "rec_id")
 
 
-QUERIES = {"p7_found": p7_found, "p7_pieces": p7_pieces}
+QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p7_found": p7_found, "p7_pieces": p7_pieces}
 ORACLES = {
     "p7_found": """SELECT 'parse_results' AS tbl, paper_id AS rec_id FROM parse_results WHERE length(markdown) > 6000
         UNION ALL SELECT 'chunks', chunk_id FROM chunks WHERE length(text) > 6000""",
