@@ -40,9 +40,10 @@ HELD_WORDS = 200_000
 _PROTECTED = re.compile(r"(?:(?<=\n)|\A)(`{3,}|~{3,})[^\n]*\n(?:.*?\n)??(?:\1[^\n]*(?=\n|\Z)|\Z)|\$\$.*?\$\$|\$[^$\n]+\$|<page_number>[^<]*</page_number>", re.DOTALL)
 _TOKEN = re.compile(r"[^\W_]+(?:-[^\W\d_]+)*")
 _HYPHENS = "-­‐"
-_BREAK = re.compile(rf"([^\W_]+)[{_HYPHENS}][ \t]*\n([ \t\n]*)(?=([^\W_]+))")
-#: The second half of a break that has been marked.
-_HALF = re.compile("\0[^\\W_]+")
+_BREAK = re.compile(rf"(?<=[^\W_])[{_HYPHENS}][ \t]*\n([ \t\n]*)(?=[^\W_])")
+_BEFORE = re.compile(r"[^\W_]{1,60}\Z")
+#: Both halves of a break that has been marked.
+_HALF = re.compile("(?:[^\\W_]*\0)+[^\\W_]+")
 #: A word broken before a page marker, and its rest after it.
 _TAIL = re.compile(rf"([^\W_]+)[{_HYPHENS}][ \t]*\n\s*\Z")
 _HEAD = re.compile(r"\s*([a-z][^\W_]*)")
@@ -59,6 +60,7 @@ _SPACED = re.compile(r"\d{1,4}(?:[ ]{2,}|\t)\S.*[^.,;:]|\S.*[^.,;:](?:[ ]{2,}|\t
 _HEADING = re.compile(r"^#{1,6}[ \t]+(?:\d+(?:\.\d+)*\.?[ \t]+)?(.*)$", re.MULTILINE)
 _STRUCTURE = re.compile(r"\s*(?:#{1,6} |[-*+•] |\d+[.)] |\(\d+\) |\||>|<page_number>|\[\d+\]|\[\[|\{[|{]|!|\\(?:begin|end|item)\b|</?[A-Za-z])")
 _PLAIN = re.compile(r"[^\W_]+")
+_DIGIT = re.compile(r"\d")
 
 
 class Repaired(NamedTuple):
@@ -77,6 +79,8 @@ def is_edge(line: str, title: str) -> bool:
     line = line.strip()
     if not line or len(line) > 90:
         return False
+    if not _DIGIT.search(line) and not (title and title[:3] == line[:3].lower()):
+        return False
     if line[0] in "#|>" or line.startswith("<page_number>"):
         return False
     if _NUMBER_LINE.fullmatch(line):
@@ -95,6 +99,8 @@ def is_edge(line: str, title: str) -> bool:
 
 def spans(text: str) -> list[tuple[bool, str]]:
     """``text`` in parts: (True, code or formula or page marker) and (False, prose)."""
+    if "`" not in text and "$" not in text and "<page_number>" not in text and "~~~" not in text:
+        return [(False, text)]
     out, at = [], 0
     for m in _PROTECTED.finditer(text):
         out += (False, text[at : m.start()]), (True, m.group())
@@ -133,6 +139,11 @@ def without_edges(prose: str, title: str) -> tuple[str, int]:
     return ("\n".join(kept), n) if n else (prose, 0)
 
 
+def _halves(m: re.Match) -> tuple[str, str]:
+    """The letters on both sides of a break."""
+    return _BEFORE.search(m.string, max(0, m.start() - 60), m.start()).group(), _PLAIN.match(m.string, m.end()).group()
+
+
 def _joined(a: str, b: str) -> bool:
     """Whether the halves may be one word: letters go on in the same manner of writing."""
     return b[0].islower() or b[0].isdigit() or a.isupper() and b.isupper()
@@ -166,18 +177,22 @@ def words_of(text: str | None) -> tuple[list[str], list[str]]:
         return words, breaks
 
     def close(m: re.Match) -> str:
-        a, b = m.group(1), m.group(3)
+        a, b = _halves(m)
         if not _joined(a, b):
             return m.group()
         breaks.append(f"{a}-{b}".lower())
-        return m.group()[len(a) :].replace("\xad", "-") + "\0"
+        return "\0"
 
     for protected, part in without_noise(text)[0]:
         if protected:
             continue
         if "\n" in part:
-            part = _HALF.sub(" ", _BREAK.sub(close, part))
-        for w in _TOKEN.findall(_SOFT.sub("", part).lower()):
+            part = _BREAK.sub(close, part)
+            if "\0" in part:
+                part = _HALF.sub(" ", part)
+        if "\xad" in part:
+            part = _SOFT.sub("", part)
+        for w in _TOKEN.findall(part.lower()):
             words.append(w)
             if "-" in w:
                 words.extend(w.split("-"))
@@ -275,13 +290,11 @@ def repair(text: str | None, instead: dict[str, str], one_line: bool = False) ->
     n = [0, 0, 0]
 
     def close(m: re.Match) -> str:
-        a, b = m.group(1), m.group(3)
-        if not _joined(a, b):
-            return a + "-" if not m.group(2).strip() else m.group()
-        if f"{a}-{b}".lower() in instead:
-            return a + "-"
+        a, b = _halves(m)
+        if not _joined(a, b) or f"{a}-{b}".lower() in instead:
+            return "-"
         n[0] += 1
-        return a
+        return ""
 
     def correct(m: re.Match) -> str:
         word = m.group()
@@ -294,7 +307,10 @@ def repair(text: str | None, instead: dict[str, str], one_line: bool = False) ->
     def prose(part: str) -> str:
         if "\n" in part:
             part = _BREAK.sub(close, part)
-        part = _PLAIN.sub(correct, _SOFT.sub("", part))
+        if "\xad" in part:
+            part = _SOFT.sub("", part)
+        if not instead.keys().isdisjoint(_PLAIN.findall(part.lower())):
+            part = _PLAIN.sub(correct, part)
         return _unwrap(part) if "\n" in part else part
 
     parts, n[2], n[0] = without_noise(text)
