@@ -39,6 +39,7 @@ IGNORABLE = re.compile(f"[{_class(IGNORABLE_RANGES)}]")
 SPACES = re.compile(r"[^\S ]+| {2,}")
 WORD = re.compile(r"[^\W\d_]+")
 TO_LATIN = {ord(pair[0]): pair[1] for pair in LOOKALIKES.split()}
+TO_CYRILLIC = {ord(pair[1]): pair[0] for pair in reversed(LOOKALIKES.split()) if "Ѐ" <= pair[0] <= "ӿ"}
 LATIN = re.compile("[A-Za-zªºÀ-ɏḀ-ỿ]")
 FOREIGN = re.compile("[Ͱ-ϿЀ-ԯᲀ-᲏ἀ-῿ⷠ-ⷿꙀ-ꚟ]")
 _ASCII = re.compile(r"[ -~]*\Z")
@@ -47,7 +48,9 @@ _ASCII = re.compile(r"[ -~]*\Z")
 def _relatinise(match: re.Match) -> str:
     word = match.group()
     if LATIN.search(word) and FOREIGN.search(word):
-        return word.translate(TO_LATIN)
+        made = word.translate(TO_LATIN)
+        # letters that look like no Latin one say that the word is of the other script
+        return word.translate(TO_CYRILLIC) if FOREIGN.search(made) else made
     return word
 
 

@@ -1,0 +1,291 @@
+"""Problem 4: spellings of one person or organisation linked by a trie join.
+
+Spellings are read into a family name and a given name (or an organisation's place and the initials
+of its words), whatever their order. Distinct family names are sharded into tries by segments that
+names within one edit must share; each shard's trie is searched with a Levenshtein automaton. Within
+a family, the initials of given names and of their familiar forms tell people apart.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+from itertools import combinations
+from typing import NamedTuple
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quirelake.functions.fold import bare, same_look
+from quirelake.functions.trie import Trie
+from quirelake.operators.components import components
+from quirelake.session import stage
+
+# Particles of family names, words within organisations' names, and kinds of organisations.
+PARTICLES = frozenset("van von de der den di da du del della dos la le el al bin ibn ten ter zu zur af av".split())
+LINKING = frozenset("for of the and in on at de des der du für et".split())
+KINDS = ("institut", "inst", "center", "centre", "ctr", "department", "dept", "laborator", "lab", "committee", "comm", "society", "soc", "universit", "univ", "school", "college", "academy", "acad", "agency", "bureau", "office", "association", "assoc", "council", "consortium", "group", "foundation", "ministry", "hospital", "library", "museum", "project", "team")
+#: Shards that more queries ask are asked by several tasks, each with its own copy of the trie.
+SHARD_QUERIES = 20_000
+#: Shortest name that may differ by an edit.
+LEAST_LETTERS = 5
+
+_PART = re.compile(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*\.?")
+
+
+class Reading(NamedTuple):
+    kind: str
+    family: str
+    given: str
+    initial: str
+    keys: list[str]
+
+
+def words(text: str | None) -> list[str]:
+    """The words of a name field in their common look, case and a final full stop kept; hyphenated names whole."""
+    return _PART.findall(same_look(text) or "")
+
+
+def is_organisation(family: str | None, given: str | None) -> bool:
+    """Whether a name is an organisation's: no given name, and a kind of organisation or an acronym before a word."""
+    if given:
+        return False
+    found = [w for w in words(family)]
+    low = [bare(w).rstrip(".") for w in found]
+    if any(w.startswith(KINDS) and len(w) >= 3 for w in low) and (len(found) >= 3 or any(w in LINKING for w in low)):
+        return True
+    if len(found) >= 4 and "for" in low:
+        return True
+    return len(found) == 2 and found[0].isupper() and len(found[0]) == 3 and found[0].isalpha() and "," not in (family or "") and not (found[1].isupper() and len(found[1]) > 3)
+
+
+def read_organisation(family: str) -> Reading:
+    """Place and initials of an organisation; its keys are the place with every pair of initials."""
+    text = same_look(family) or ""
+    found = words(text)
+    low = [bare(w).rstrip(".") for w in found]
+    inside = re.search(r"\(([^()]+)\)", text)
+    place = None
+    if inside:
+        place = bare((words(inside.group(1)) or [""])[-1])
+    elif "," in text and len(words(text.rpartition(",")[2])) == 1:
+        place = bare(words(text.rpartition(",")[2])[0])
+    elif len(low) > 2 and low[-2] == "of":
+        place = low[-1]
+    elif len(found) == 2 and found[0].isupper():
+        place = low[1]
+    elif low:
+        place = low[0]
+    rest = list(low)
+    if place in rest:
+        rest.reverse()
+        rest.remove(place)
+        rest.reverse()
+    rest = [w for w in rest if w not in LINKING]
+    letters = sorted(rest[0]) if len(found) == 2 and found[0].isupper() and len(rest) == 1 else sorted(w[0] for w in rest if w)
+    keys = sorted({a + b for a, b in combinations(letters, 2)}) or ["".join(letters)]
+    return Reading("o", place or "", "", "".join(letters), keys)
+
+
+def _looks(word: str, known: dict[str, tuple[int, int, int]]) -> int:
+    """Above 0: a family name; below: a given name; 0: not known."""
+    f, g, _ = known.get(bare(word).rstrip("."), (0, 0, 0))
+    return (f > 2 * g and f > 1) - (g > f)
+
+
+def _is_initials(word: str) -> bool:
+    plain = word.rstrip(".")
+    return len(plain) == 1 or len(plain) == 2 and plain.isupper()
+
+
+def read_name(family: str | None, given: str | None, known: dict[str, tuple[int, int, int]]) -> Reading:
+    """A name read whatever its order; ``known`` tells of its words how often each is a family and a given
+    name and after how many names it stands behind a hyphen."""
+    if is_organisation(family, given):
+        return read_organisation(family)
+    text = same_look(family) or ""
+    if not given and "," in text:
+        text, _, given = text.partition(",")
+    particle = lambda w: bare(w) in PARTICLES
+    first = [w for w in words(text) if not particle(w)]
+    second = [w for w in words(given) if not particle(w)]
+    long_first = [w for w in first if not _is_initials(w)]
+    long_second = [w for w in second if not _is_initials(w)]
+    if not second:
+        # one field holds all: the family name is the word that is known as one, else the one in capitals, else the longest
+        def rank(w: str) -> tuple:
+            return (_looks(w, known), "-" in w, w.isupper() and len(w) > 2 and not all(x.isupper() for x in long_first), len(w))
+
+        pick = max(long_first, key=rank, default=None)
+        if pick is None:
+            return Reading("p", bare("".join(first)), "", "", [])
+        at = first.index(pick)
+        chosen, others = [pick], first[:at] + first[at + 1 :]
+        if at + 1 < len(first) and known.get(bare(first[at + 1]), (0, 0, 0))[2] > 4 and not _is_initials(first[at + 1]):
+            chosen.append(first[at + 1])
+            others = first[:at] + first[at + 2 :]
+        first, second = chosen, others
+    elif long_second:
+        a = max((_looks(w, known) for w in long_first), default=-1 if not long_first else 0)
+        b = max((_looks(w, known) for w in long_second), default=0)
+        if b > a:
+            first, second = [w for w in second if not _is_initials(w)], [w for w in second if _is_initials(w)] + first
+    elif not long_first:
+        return Reading("p", bare("".join(first)), "", bare(second[0])[:1] if second else "", [])
+    # initials within the family field belong to the given name
+    second = second + [w for w in first if _is_initials(w)] if any(not _is_initials(w) for w in first) else second
+    first = [w for w in first if not _is_initials(w)] or first
+    name = "-".join(bare(w).rstrip(".") for w in first).replace("'", "").replace("’", "")
+    full = [w for w in second if not _is_initials(w)]
+    lead = bare(second[0]) if second else ""
+    if full and second and _is_initials(second[0]) and second.index(full[0]) > 0 and len(second) > 1 and family and given and bare(full[0])[:1] != lead[:1]:
+        lead = bare(full[0]) if _looks(full[0], known) < 0 else lead
+    word = bare(full[0]) if full and not full[0].endswith(".") else ""
+    return Reading("p", name, word.rstrip("."), lead[:1], [])
+
+
+def _segments(length: int) -> list[tuple[int, int]]:
+    """Start and end of three even segments of a word: one edit leaves at least one of them whole."""
+    cuts = [0, length // 3, 2 * length // 3, length]
+    return list(zip(cuts, cuts[1:]))
+
+
+def trie_join(names: DataFrame) -> DataFrame:
+    """Pairs ``a`` < ``b`` of the distinct strings of ``name`` that are one edit apart (a transposition being one).
+
+    Each name is filed under its three segments and asks where a name of its own length, or one
+    letter shorter, could have the same segment. A shard, the names filed under one segment, is a
+    trie; its queries stream through, split over tasks where there are many. Shorter names than
+    five letters are left out, and no name of any shard is.
+    """
+    schema = "shard string, role int, name string"
+
+    def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shards, roles, texts = [], [], []
+            for name in batch.column(0).to_pylist():
+                n = len(name)
+                for i, (a, b) in enumerate(_segments(n)):
+                    shards.append(f"{n}|{i}|{name[a:b]}")
+                    roles.append(0)
+                    texts.append(name)
+                asked = {f"{n}|{i}|{name[a:b]}" for i, (a, b) in enumerate(_segments(n))}
+                asked |= {f"{n - 1}|{i}|{name[a + s : b + s]}" for i, (a, b) in enumerate(_segments(n - 1)) for s in (0, 1)}
+                for shard in sorted(asked):
+                    shards.append(shard)
+                    roles.append(1)
+                    texts.append(name)
+            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.string()), pa.array(roles, pa.int32()), pa.array(texts, pa.string())], ["shard", "role", "name"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, trie, single = None, Trie(), True
+        for batch in batches:
+            left, right = [], []
+            for shard, role, name in zip(*(c.to_pylist() for c in batch.columns)):
+                if shard != now:
+                    now, trie, single = shard, Trie(), True
+                if role == 0:
+                    trie.add(name)
+                    single = False
+                elif not single:
+                    for other, d in trie.near(name, 1):
+                        if d == 1:
+                            left.append(min(name, other))
+                            right.append(max(name, other))
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.string()), pa.array(right, pa.string())], ["a", "b"])
+
+    filed = stage(names.select("name").where(f"length(name) >= {LEAST_LETTERS}").distinct().mapInArrow(file, schema))
+    load = filed.groupBy("shard").agg(F.sum("role").alias("queries"), F.sum(1 - F.col("role")).alias("filed")).where("queries > 0 AND filed > 0 AND NOT (queries = 1 AND filed = 1)")
+    load = load.select("shard", F.ceil(F.col("queries") / SHARD_QUERIES).cast("int").alias("parts"))
+    spread = filed.join(load, "shard").withColumn(
+        "part", F.explode(F.when(F.col("role") == 0, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("name"), F.col("parts").cast("bigint")).cast("int"))))
+    )
+    spread = spread.select(F.concat_ws("|", "shard", F.col("part").cast("string")).alias("shard"), "role", "name")
+    return spread.repartition("shard").sortWithinPartitions("shard", "role").mapInArrow(search, "a string, b string").distinct()
+
+
+def _vocabulary(forms: DataFrame) -> DataFrame:
+    """``word`` with ``f``, ``g`` and ``s``: how many rows have it as a family name, as a full given name, and how many names it follows after a hyphen."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[str, int, int, str | None]] = []
+            for family, given, n in zip(*(c.to_pylist() for c in batch.columns)):
+                if not given or is_organisation(family, given):
+                    continue
+                for w in words(family):
+                    if not _is_initials(w) and bare(w) not in PARTICLES:
+                        out.append((bare(w).rstrip("."), n, 0, None))
+                        head, hyphen, tail = bare(w).rpartition("-")
+                        if hyphen:
+                            out.append((tail, 0, 0, head))
+                for w in words(given):
+                    if not _is_initials(w) and not w.endswith(".") and bare(w) not in PARTICLES:
+                        out.append((bare(w), 0, n, None))
+            columns = list(zip(*out)) if out else [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.string()))], ["word", "f", "g", "head"])
+
+    seen = forms.select("family", "given", "n").mapInArrow(run, "word string, f bigint, g bigint, head string")
+    return seen.groupBy("word").agg(F.sum("f").alias("f"), F.sum("g").alias("g"), F.countDistinct("head").alias("s"))
+
+
+def read_names(forms: DataFrame) -> DataFrame:
+    """``form`` with ``kind``, ``name``, ``word``, ``initial`` and ``keys`` of each distinct spelling (``form``, ``family``, ``given``, ``n``)."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, found = [], []
+            for form, family, given in zip(*(c.to_pylist() for c in batch.columns)):
+                own = {bare(w).rstrip(".") for field in (family, given) for w in words(field)}
+                own |= {part for w in own for part in w.split("-")}
+                ids += [form] * len(own)
+                found += sorted(own)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.string())], ["form", "word"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [read_name(f, g, {k: (x["f"], x["g"], x["s"]) for k, x in (m or ())}) for f, g, m in zip(*(c.to_pylist() for c in batch.columns[1:]))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([m[i] for m in made], t) for i, t in enumerate((pa.string(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string()))))], ["form", "kind", "name", "word", "initial", "keys"])
+
+    vocabulary = _vocabulary(forms)
+    tokens = forms.select("form", "family", "given").mapInArrow(split, "form bigint, word string")
+    known = tokens.join(vocabulary, "word").groupBy("form").agg(F.map_from_entries(F.collect_list(F.struct("word", F.struct("f", "g", "s")))).alias("known"))
+    return forms.join(known, "form", "left").select("form", "family", "given", "known").mapInArrow(read, "form bigint, kind string, name string, word string, initial string, keys array<string>")
+
+
+def link_names(rows: DataFrame, aliases: DataFrame, key: str = "name_id", family: str = "family", given: str = "given") -> DataFrame:
+    """``key`` and ``entity``, a number that all rows naming one person or organisation share; null where there is no name.
+
+    ``aliases`` has ``given`` and ``alias``. Equal spellings are worked once, however many rows
+    have them. A person's row without a given name joins the only person of its family name, or stays
+    with its like. Null or blank names have no entity. The key must not be null.
+    """
+    texts = rows.select(key, F.col(family).cast("string").alias("family"), F.nullif(F.trim(F.col(given).cast("string")), F.lit("")).alias("given"))
+    texts = texts.withColumn("form", F.xxhash64("family", "given"))
+    forms = stage(texts.where("trim(coalesce(family, '')) <> '' OR given IS NOT NULL").groupBy("form").agg(F.first("family").alias("family"), F.first("given").alias("given"), F.count("*").alias("n")))
+    read = stage(read_names(forms).where("name <> ''"))
+    names = read.select("kind", "name").distinct()
+    pairs = trie_join(names.select(F.concat("kind", F.lit("!"), "name").alias("name")))
+    joined = components(pairs.withColumnRenamed("a", "x").select(F.col("x").alias("a"), "b"))
+    fam = joined.select(F.substring("node", 1, 1).alias("kind"), F.expr("substring(node, 3)").alias("name"), F.col("component").alias("fam"))
+    placed = stage(read.join(fam, ["kind", "name"], "left").withColumn("fam", F.coalesce("fam", F.concat("kind", F.lit("!"), "name"))))
+    node = lambda *c: F.xxhash64(*c)
+    # initials of a given name and its familiar forms belong to one person of the family
+    low = aliases.select(F.lower(F.trim("given")).alias("full"), F.lower(F.trim("alias")).alias("alias"))
+    only = low.groupBy("alias").agg(F.count("*").alias("k"), F.first("full").alias("full")).where("k = 1").select(F.col("alias").alias("word"), "full")
+    itself = low.select(F.col("full").alias("word"), "full").distinct()
+    meant = itself.unionByName(only.join(itself.select("word"), "word", "left_anti"))
+    forms_of = low.select("full", F.substring("alias", 1, 1).alias("other")).union(low.select("full", F.substring("full", 1, 1))).distinct()
+    people = placed.where("kind = 'p' AND initial <> ''").select("fam", "initial", "word").distinct()
+    same = people.where("word <> ''").join(F.broadcast(meant), "word").join(F.broadcast(forms_of), "full").select("fam", "initial", "other").where("initial <> other")
+    edges = same.select(node(F.lit("p"), "fam", "initial").alias("a"), node(F.lit("p"), "fam", "other").alias("b"))
+    # organisations of one place share at least two initials
+    orgs = placed.where("kind = 'o'").select("fam", "initial", F.explode("keys").alias("k")).distinct()
+    edges = edges.union(orgs.select(node(F.lit("o"), "fam", "initial"), node(F.lit("k"), "fam", "k")))
+    linked = components(edges).withColumnRenamed("node", "own")
+    alone = people.groupBy("fam").agg(F.countDistinct("initial").alias("k"), F.first("initial").alias("sole")).where("k = 1").select("fam", "sole")
+    placed = placed.join(alone, "fam", "left").withColumn("initial", F.when((F.col("kind") == "p") & (F.col("initial") == ""), F.coalesce("sole", F.lit(""))).otherwise(F.col("initial")))
+    entity = placed.withColumn("own", node("kind", "fam", "initial")).join(linked, "own", "left").select("form", F.coalesce("component", "own").alias("entity"))
+    return texts.select(key, "form").join(entity, "form", "left").select(key, "entity")
