@@ -1,0 +1,274 @@
+"""Problem 5: records of two catalogues that share no key, matched with a confidence.
+
+Candidate pairs come from MinHash blocks that join a title's words with a second attribute (year,
+author or DOI), so that a title that many works have makes no hot block. A logistic classifier is
+trained on weak labels that the data gives itself, and its scores are calibrated on pairs it wasn't
+trained on.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quirelake.functions.entries import sequel_of, skeleton
+from quirelake.functions.fold import bare
+from quirelake.functions.trie import osa
+from quirelake.session import stage
+
+#: Bands of two MinHash rows for titles with years; single rows for titles with authors and with a DOI.
+BANDS, ROWS, SINGLES, DOI_ROWS = 10, 2, 4, 3
+#: Pairs that the classifier is trained on at most: the first by a hash of both ids.
+SAMPLE = 20_000
+CONFIDENT = 0.3
+
+_WORD = re.compile(r"[^\W_]+")
+_DOI = re.compile(r"1[0o]\.\d{4,9}/\S+", re.IGNORECASE)
+_PRIME = np.uint64((1 << 61) - 1)
+_rng = np.random.RandomState(20)
+_A = _rng.randint(1, 1 << 31, BANDS * ROWS).astype(np.uint64)
+_B = _rng.randint(0, 1 << 31, BANDS * ROWS).astype(np.uint64)
+# Short words without which titles compare.
+_STOP = frozenset("the and for with from under via into over this that its are was were des der die das und les del der".split())
+
+
+class Record(NamedTuple):
+    tokens: list[str]
+    sequel: str
+    year: int | None
+    doi: str | None
+    authors: list[str]
+    venue: list[str]
+    keys: list[int]
+
+
+def doi_form(text: str | None) -> str | None:
+    """A DOI in lower case without resolver, prefix and closing punctuation; null where there is none."""
+    m = _DOI.search(text or "")
+    return "10" + m.group().lower()[2:].rstrip(".,;:)]}>'\"") if m else None
+
+
+def title_tokens(title: str | None) -> tuple[list[str], str]:
+    """The distinct skeleton words (three letters or more) of a title, and its sequel signs."""
+    low = bare(title) or ""
+    lead = low.lstrip("\"'“( ")
+    sequel = sequel_of(lead if lead.startswith("further") else low.replace("further", " "))
+    signs = {"further", "part", "ii", "iii", "iv", *sequel.split()}
+    found = {skeleton(w) for w in _WORD.findall(low) if len(w) >= 3 and w not in _STOP and w not in signs}
+    return sorted(found or {skeleton(w) for w in _WORD.findall(low)}), sequel
+
+
+def author_words(authors) -> list[str]:
+    """For each author the words of three letters or more of all fields in one string, accents and case folded."""
+    out = []
+    for a in authors or ():
+        if a:
+            out.append(" ".join(w for w in _WORD.findall(bare(f"{a.get('family') or ''} {a.get('given') or ''}")) if len(w) >= 3))
+    return [a for a in out if a]
+
+
+def _key(*parts) -> int:
+    value = xxhash.xxh64_intdigest("|".join(map(str, parts)))
+    return value - (1 << 64) if value >> 63 else value
+
+
+def record(title: str | None, authors, year: int | None, doi: str | None, venue: str | None, asks: bool) -> Record:
+    """A record with its block keys; ``asks`` for the side that looks a year to either side."""
+    tokens, sequel = title_tokens(title)
+    names, number = author_words(authors), doi_form(doi)
+    keys: set[int] = set()
+    if tokens:
+        h = np.array([xxhash.xxh32_intdigest(t) for t in tokens], np.uint64)
+        low = ((h[:, None] * _A + _B) % _PRIME).min(0).tolist()
+        years = [] if year is None else [year - 1, year, year + 1] if asks else [year]
+        for band in range(BANDS):
+            mark = low[band * ROWS : (band + 1) * ROWS]
+            keys.update(_key("y", band, *mark, y) for y in years)
+        lead = {w[:4] for a in names for w in a.split()}
+        keys.update(_key("a", i, low[i], w) for i in range(SINGLES) for w in lead)
+        if number:
+            keys.update(_key("d", i, low[i], number) for i in range(DOI_ROWS))
+    return Record(tokens, sequel, year, number, names, sorted({w[:3] for w in _WORD.findall(bare(venue) or "") if len(w) > 2 and w not in _STOP}), sorted(keys))
+
+
+_FIELDS = "id bigint, form bigint, tokens array<string>, sequel string, year int, doi string, authors array<string>, venue array<string>, keys array<bigint>"
+_ARROW = (pa.int64(), pa.int64(), pa.list_(pa.string()), pa.string(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64()))
+_NAMES = ["id", "form", "tokens", "sequel", "year", "doi", "authors", "venue", "keys"]
+
+
+def prepare(df: DataFrame, key: str, asks: bool) -> DataFrame:
+    """The records of ``df`` (``key``, ``title``, ``authors``, ``year``, ``doi``, ``container_title``) in comparable form.
+
+    ``form`` is equal for records that compare alike. By a map without shuffle.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for i, title, authors, year, doi, venue in zip(*(c.to_pylist() for c in batch.columns)):
+                r = record(title, authors, year, doi, venue, asks)
+                rows.append((i, _key(r.tokens, r.sequel, r.year, r.doi, r.authors, r.venue), *r))
+            columns = list(zip(*rows)) if rows else [()] * len(_NAMES)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _ARROW)], _NAMES)
+
+    chosen = df.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint"), "title", "authors", F.col("year").cast("int"), "doi", "container_title")
+    return chosen.mapInArrow(run, _FIELDS)
+
+
+FEATURES = ("title_jaccard", "title_contained", "title_words", "trigrams", "same_sequel", "year_gap", "year_missing", "author_share", "authors_missing", "doi_same", "doi_other", "venue_share")
+
+
+def _grams(tokens: list[str]) -> set[str]:
+    text = " " + " ".join(tokens) + " "
+    return {text[i : i + 3] for i in range(len(text) - 2)}
+
+
+def _author_share(left: list[str], right: list[str]) -> float:
+    """The share of the shorter list's authors that have a word in the other list, up to one edit."""
+    if len(left) > len(right):
+        left, right = right, left
+    others = {w for a in right for w in a.split()}
+    hits = 0
+    for a in left:
+        words = sorted(a.split(), key=len, reverse=True)[:3]
+        long = [w for w in words if len(w) >= 5] or words
+        if any(w in others for w in long[:2]) or any(abs(len(w) - len(o)) < 2 and len(w) > 5 and osa(w, o) <= 1 for w in long[:1] for o in others):
+            hits += 1
+    return hits / len(left)
+
+
+def pair_features(a: dict, b: dict) -> list[float]:
+    """The values of :data:`FEATURES` for two prepared records."""
+    x, y = set(a["tokens"] or ()), set(b["tokens"] or ())
+    shared = len(x & y)
+    gx, gy = _grams(a["tokens"] or []), _grams(b["tokens"] or [])
+    years = a["year"] is not None and b["year"] is not None
+    names = bool(a["authors"]) and bool(b["authors"])
+    dois = a["doi"] is not None and b["doi"] is not None
+    va, vb = set(a["venue"] or ()), set(b["venue"] or ())
+    return [
+        shared / max(1, len(x | y)),
+        shared / max(1, min(len(x), len(y))),
+        min(len(x), len(y), 8) / 8,
+        2 * len(gx & gy) / max(1, len(gx) + len(gy)),
+        float((a["sequel"] or "") == (b["sequel"] or "")),
+        min(3.0, abs(a["year"] - b["year"])) if years else 0.0,
+        float(not years),
+        _author_share(a["authors"], b["authors"]) if names else 0.0,
+        float(not names),
+        float(dois and a["doi"] == b["doi"]),
+        float(dois and a["doi"] != b["doi"]),
+        len(va & vb) / max(1, min(len(va), len(vb))) if va and vb else 0.5,
+    ]
+
+
+#: Share of eight words that a title needs to tell a work by itself: five, more than stock titles
+#: have; and what is left of a title without its second part, where authors agree: four.
+DISTINCTIVE, SHORTENED = 5 / 8, 4 / 8
+
+
+def weak_label(f: np.ndarray) -> np.ndarray:
+    """1 where several attributes agree, 0 where one rules the pair out, -1 where neither is plain."""
+    v = dict(zip(FEATURES, f.T))
+    likely = (v["title_jaccard"] >= 0.7) & (v["author_share"] >= 0.5) & (v["year_gap"] <= 1)
+    likely |= (v["title_contained"] >= 0.99) & (v["title_words"] >= SHORTENED) & (v["author_share"] >= 0.6) & (v["year_gap"] <= 1)
+    likely |= (v["authors_missing"] == 1) & (v["title_words"] >= DISTINCTIVE) & ((v["title_jaccard"] >= 0.7) | (v["trigrams"] >= 0.9)) & (v["year_missing"] == 0)
+    sure = (v["doi_same"] == 1) & (v["title_jaccard"] >= 0.5) & (v["author_share"] > 0)
+    against = (v["same_sequel"] == 0) | (v["year_gap"] > 1) | (v["title_jaccard"] < 0.34) & (v["trigrams"] < 0.5) | (v["authors_missing"] == 0) & (v["author_share"] == 0)
+    against |= (v["authors_missing"] == 1) & (v["title_words"] < DISTINCTIVE) & (v["doi_same"] == 0)
+    return np.where(against, 0, np.where(likely | sure, 1, -1))
+
+
+class Classifier(NamedTuple):
+    weights: np.ndarray
+    mean: np.ndarray
+    scale: np.ndarray
+    slope: float
+    offset: float
+
+    def confidence(self, f: np.ndarray) -> np.ndarray:
+        """Calibrated probabilities; 0 where years, signs of a sequel or wholly other authors rule a match out."""
+        z = np.c_[(f - self.mean) / self.scale, np.ones(len(f))] @ self.weights
+        p = 1 / (1 + np.exp(-np.clip(self.slope * z + self.offset, -30, 30)))
+        v = dict(zip(FEATURES, f.T))
+        others = (v["authors_missing"] == 0) & (v["author_share"] == 0)
+        return np.where((v["same_sequel"] == 0) | (v["year_gap"] > 1) | others, 0.0, p)
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float, rounds: int = 400) -> np.ndarray:
+    w, step = np.zeros(x.shape[1]), np.zeros(x.shape[1])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = 0.9 * step - 0.3 * (x.T @ (p - y) / len(y) + ridge * w)
+        w = w + step
+    return w
+
+
+def fit(f: np.ndarray) -> Classifier:
+    """The classifier of weakly labelled pairs: weights from two thirds, calibration (Platt's) from the rest.
+
+    Without pairs of both labels it falls back on fixed weights for title, authors and year.
+    """
+    y = weak_label(f) if len(f) else np.empty(0)
+    f, y = f[y >= 0] if len(f) else f, y[y >= 0]
+    if len(set(y.tolist())) < 2 or len(y) < 30:
+        weights = np.zeros(len(FEATURES) + 1)
+        for name, value in (("title_jaccard", 8), ("author_share", 4), ("authors_missing", 2), ("year_gap", -1), ("doi_same", 3)):
+            weights[FEATURES.index(name)] = value
+        weights[-1] = -7
+        return Classifier(weights, np.zeros(len(FEATURES)), np.ones(len(FEATURES)), 1.0, 0.0)
+    mean, scale = f.mean(0), f.std(0) + 1e-3
+    x = np.c_[(f - mean) / scale, np.ones(len(f))]
+    held = np.arange(len(f)) % 3 == 0
+    w = _logistic(x[~held], y[~held], 1e-3)
+    z = np.c_[x[held] @ w, np.ones(held.sum())]
+    # the targets of Platt's method, which keep the slope finite
+    plus, minus = y[held].sum(), (1 - y[held]).sum()
+    slope, offset = _logistic(z, np.where(y[held] == 1, (plus + 1) / (plus + 2), 1 / (minus + 2)), 0.0)
+    return Classifier(w, mean, scale, float(slope), float(offset))
+
+
+def match_records(left: DataFrame, right: DataFrame, keys: tuple[str, str], least: float = CONFIDENT, sample: int = SAMPLE) -> DataFrame:
+    """Pairs of the two tables' keys (in this order) that describe the same work, with ``confidence``.
+
+    Both have ``title``, ``authors`` (array of ``family`` and ``given``), ``year``, ``doi`` and
+    ``container_title``; any may be null, other columns are not read. Records that compare alike are
+    one class: classes are compared, and a pair of matched classes stands for all its members.
+    Records without a title match nothing. The keys must be unique; rows with a null key are left out.
+    """
+    a, b = stage(prepare(left, keys[0], True)), stage(prepare(right, keys[1], False))
+    names = ("tokens", "sequel", "year", "doi", "authors", "venue")
+    one = lambda df: df.groupBy("form").agg(*(F.first(c).alias(c) for c in (*names, "keys")))
+    ca, cb = stage(one(a)), stage(one(b))
+    asked = ca.select(F.col("form").alias("fa"), F.explode("keys").alias("key"))
+    filed = cb.select(F.col("form").alias("fb"), F.explode("keys").alias("key"))
+    pairs = asked.join(filed, "key").select("fa", "fb").distinct()
+    told_a = ca.select(F.col("form").alias("fa"), F.struct(*names).alias("ra"))
+    told_b = cb.select(F.col("form").alias("fb"), F.struct(*names).alias("rb"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [pair_features(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values, pa.list_(pa.float64()))], ["fa", "fb", "f"])
+
+    featured = stage(pairs.join(told_a, "fa").join(told_b, "fb").select("fa", "fb", "ra", "rb").mapInArrow(run, "fa bigint, fb bigint, f array<double>"))
+    chosen = featured.orderBy(F.xxhash64("fa", "fb"), "fa", "fb").limit(sample).select("f").collect()
+    model = fit(np.array([r.f for r in chosen], float).reshape(-1, len(FEATURES)))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            f = np.array(batch.column(2).to_pylist(), float).reshape(-1, len(FEATURES))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(model.confidence(f))], ["fa", "fb", "confidence"])
+
+    schema = T.StructType([T.StructField("fa", T.LongType()), T.StructField("fb", T.LongType()), T.StructField("confidence", T.DoubleType())])
+    kept = featured.mapInArrow(score, schema).where(F.col("confidence") >= least)
+    of_a, of_b = a.select(F.col("form").alias("fa"), F.col("id").alias(keys[0])), b.select(F.col("form").alias("fb"), F.col("id").alias(keys[1]))
+    return kept.join(of_a, "fa").join(of_b, "fb").select(*keys, F.round("confidence", 4).alias("confidence"))

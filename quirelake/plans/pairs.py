@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirelake.operators import names, neardup, splitting
+from quirelake.operators import matching, names, neardup, splitting
 from quirelake.session import table
 
 
@@ -25,6 +25,14 @@ def p4_found(spark: SparkSession, root: str) -> DataFrame:
     return neardup.pairs_within(p4_entities(spark, root), "name_id", "entity", ("name_id_a", "name_id_b"))
 
 
+def p5_matches(spark: SparkSession, root: str) -> DataFrame:
+    return matching.match_records(table(spark, root, "extracted_refs"), table(spark, root, "candidates"), ("ext_id", "cand_id"))
+
+
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    return p5_matches(spark, root).select("ext_id", "cand_id")
+
+
 def _oversized(spark: SparkSession, root: str) -> DataFrame:
     papers = table(spark, root, "parse_results").select(F.lit("parse_results").alias("tbl"), F.col("paper_id").alias("rec_id"), F.col("markdown").alias("text"))
     chunks = table(spark, root, "chunks").select(F.lit("chunks").alias("tbl"), F.col("chunk_id").alias("rec_id"), "text")
@@ -40,7 +48,7 @@ def p7_found(spark: SparkSession, root: str) -> DataFrame:
     return made.where("piece = 1").select("tbl", "rec_id")
 
 
-QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p4_found": p4_found, "p4_entities": p4_entities, "p7_found": p7_found, "p7_pieces": p7_pieces}
+QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p4_found": p4_found, "p4_entities": p4_entities, "p5_found": p5_found, "p5_matches": p5_matches, "p7_found": p7_found, "p7_pieces": p7_pieces}
 ORACLES = {
     "p7_found": """SELECT 'parse_results' AS tbl, paper_id AS rec_id FROM parse_results WHERE length(markdown) > 6000
         UNION ALL SELECT 'chunks', chunk_id FROM chunks WHERE length(text) > 6000""",
