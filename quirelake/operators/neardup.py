@@ -26,9 +26,9 @@ def weighted_sets(sets: DataFrame) -> DataFrame:
     A token's weight is the logarithm of how many times more sets there are than sets with it, plus
     1. Sets without tokens fall out.
     """
-    total = sets.agg(F.count("*").alias("all"))
+    total = sets.count()
     each = sets.select("id", F.explode("tokens").alias("token"))
-    known = each.groupBy("token").agg(F.count("*").alias("df")).crossJoin(F.broadcast(total)).select("token", F.round(F.lit(1.0) + F.log(F.col("all") / F.col("df")), 4).alias("w"))
+    known = each.groupBy("token").agg(F.count("*").alias("df")).select("token", F.round(F.lit(1.0) + F.log(F.lit(float(max(total, 1))) / F.col("df")), 4).alias("w"))
     items = each.join(known, "token").groupBy("id").agg(F.array_sort(F.collect_list(F.struct((-F.col("w")).alias("rank"), "token", "w"))).alias("items"))
     items = items.select("id", F.transform("items", lambda x: F.struct(x["token"].alias("token"), x["w"].alias("w"))).alias("items"))
     return sets.drop("tokens").join(items, "id").withColumn("weight", F.aggregate("items", F.lit(0.0), lambda a, x: a + x["w"]))
@@ -46,24 +46,23 @@ def token_group_pairs(sets: DataFrame, threshold: float) -> DataFrame:
     is compared with null only) and ``tokens`` (array of distinct strings). Exact: no bucket is
     capped. Sets must be distinct for the cost to stay low: give one for each class of equal ones.
     """
-    rows = stage(weighted_sets(sets).withColumn("block", F.coalesce(F.col("block").cast("string"), F.lit("?"))))
-    # the group of a class: its block and its rarest token
-    members = rows.withColumn("grp", F.xxhash64("block", F.col("items")[0]["token"]))
-    unions = members.select("grp", "block", F.explode("items.token").alias("token")).groupBy("grp", "block").agg(F.collect_set("token").alias("union"))
-    matrix = stage(unions)
-    # rarest items of which a partner must have one: those before the rest weighs less than the threshold's share
     need = F.lit(threshold) * F.col("weight")
-    ahead = rows.withColumn(
-        "probe",
-        F.aggregate(
-            "items",
-            F.struct(F.array().cast("array<string>").alias("kept"), F.col("weight").alias("rest")),
-            lambda s, x: F.when(s["rest"] >= need, F.struct(F.concat(s["kept"], F.array(x["token"])).alias("kept"), (s["rest"] - x["w"]).alias("rest"))).otherwise(s),
-        )["kept"],
-    )
-    probes = ahead.select(F.col("id").alias("a"), "block", F.explode("probe").alias("token"))
-    cells = matrix.select("grp", "block", F.explode("union").alias("token"))
-    asked = probes.join(cells, ["block", "token"]).select("a", "grp").distinct()
+    weighed = weighted_sets(sets).withColumn("block", F.coalesce(F.col("block").cast("string"), F.lit("?")))
+    # the rarest items, up to where the rest weighs less than the threshold's share: partners' probes meet
+    probe = F.aggregate(
+        "items",
+        F.struct(F.array().cast("array<string>").alias("kept"), F.col("weight").alias("rest")),
+        lambda s, x: F.when(s["rest"] >= need, F.struct(F.concat(s["kept"], F.array(x["token"])).alias("kept"), (s["rest"] - x["w"]).alias("rest"))).otherwise(s),
+    )["kept"]
+    # the group of a set: its block and its rarest token
+    rows = stage(weighed.withColumn("probe", probe).withColumn("grp", F.xxhash64("block", F.col("items")[0]["token"])))
+    members = rows
+    unions = members.select("grp", F.explode("items.token").alias("token")).groupBy("grp").agg(F.collect_set("token").alias("union"))
+    matrix = stage(unions)
+    probes = rows.select(F.col("id").alias("a"), "block", "weight", F.explode("probe").alias("token"))
+    cells = rows.select("grp", "block", "weight", F.explode("probe").alias("token")).groupBy("block", "token", "grp").agg(F.min("weight").alias("lightest"), F.max("weight").alias("heaviest"))
+    fits = (F.col("lightest") * F.lit(threshold) <= F.col("weight")) & (F.col("heaviest") >= F.lit(threshold) * F.col("weight"))
+    asked = probes.join(cells, ["block", "token"]).where(fits).select("a", "grp").distinct()
     queries = rows.select(F.col("id").alias("a"), F.col("items").alias("items_a"), F.col("weight").alias("weight_a"))
     # bound from the union: only qualifying groups are opened
     opened = asked.join(matrix.select("grp", "union"), "grp").join(queries, "a").where(_shared(F.col("items_a"), F.col("union")) >= F.lit(threshold) * F.col("weight_a"))
@@ -104,12 +103,13 @@ def entry_groups(refs: DataFrame, key: str = "ref_id", text: str = "text") -> Da
     mark = F.xxhash64("year", "sequel", "pages", F.concat_ws(" ", "tokens"))
     able = read.where(f"words >= {LEAST_WORDS} AND size(tokens) > 0").withColumn("mark", mark)
     classes = stage(able.groupBy("mark").agg(F.min(key).alias("id"), F.first("year").alias("year"), F.first("sequel").alias("sequel"), F.first("pages").alias("pages"), F.first("tokens").alias("tokens")))
-    sets = classes.select("id", F.concat_ws("|", F.coalesce(F.col("year").cast("string"), F.lit("?")), "sequel").alias("block"), "tokens")
-    pairs = token_group_pairs(sets, min(SAME_PAGES, NO_PAGES))
+    when = F.concat_ws("|", F.coalesce(F.col("year").cast("string"), F.lit("?")), "sequel")
+    paged = token_group_pairs(classes.where("pages IS NOT NULL").select("id", F.concat_ws("|", when, "pages").alias("block"), "tokens"), SAME_PAGES)
+    dated = token_group_pairs(classes.select("id", when.alias("block"), "tokens"), NO_PAGES)
     pages = classes.select("id", "pages")
-    judged = pairs.join(pages.toDF("a", "pages_a"), "a").join(pages.toDF("b", "pages_b"), "b")
-    least = F.when(F.col("pages_a").isNull() | F.col("pages_b").isNull(), NO_PAGES).when(F.col("pages_a") == F.col("pages_b"), SAME_PAGES).otherwise(OTHER_PAGES)
-    linked = components(judged.where(F.col("similarity") >= least).select("a", "b"))
+    judged = dated.join(pages.toDF("a", "pages_a"), "a").join(pages.toDF("b", "pages_b"), "b")
+    judged = judged.where((F.col("pages_a").isNull() | F.col("pages_b").isNull()) | (F.col("pages_a") == F.col("pages_b")) | (F.col("similarity") >= OTHER_PAGES))
+    linked = components(paged.select("a", "b").union(judged.select("a", "b")))
     of_class = classes.select("mark", F.col("id").alias("class")).join(linked.withColumnRenamed("node", "class"), "class", "left").select("mark", "class", F.coalesce("component", "class").alias("entry"))
     found = able.select(key, "mark").join(of_class, "mark").select(key, "entry", "class")
     return refs.select(key).join(found, key, "left")
