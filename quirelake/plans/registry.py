@@ -11,9 +11,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules() -> list:
-    from quirelake.plans import pairs
+    from quirelake.plans import pairs, scalars
 
-    return [pairs]
+    return [scalars, pairs]
 
 
 def queries() -> dict[str, Query]:
