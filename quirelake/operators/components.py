@@ -16,6 +16,7 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     log n rounds; a node with many neighbours is a group of rows in a shuffled aggregate, never a
     list in one task. Every round is written, which cuts the lineage. No rows give no rows.
     """
+    edges = stage(edges.select("a", "b"))
     pairs = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     last = None

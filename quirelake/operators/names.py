@@ -203,7 +203,9 @@ def trie_join(names: DataFrame) -> DataFrame:
         "part", F.explode(F.when(F.col("role") == 0, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("name"), F.col("parts").cast("bigint")).cast("int"))))
     )
     spread = spread.select(F.concat_ws("|", "shard", F.col("part").cast("string")).alias("shard"), "role", "name")
-    return spread.repartition("shard").sortWithinPartitions("shard", "role").mapInArrow(search, "a string, b string").distinct()
+    # as many tasks as the session shuffles to: the bytes are few but the search is costly, so they aren't joined again
+    tasks = max(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), names.sparkSession.sparkContext.defaultParallelism)
+    return spread.repartition(4 * tasks, "shard").sortWithinPartitions("shard", "role").mapInArrow(search, "a string, b string").distinct()
 
 
 def _vocabulary(forms: DataFrame) -> DataFrame:
