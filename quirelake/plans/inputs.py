@@ -88,7 +88,9 @@ def regions(spark: SparkSession, root: str) -> DataFrame:
 
 REGIONS = (
     PARAGRAPHS + f", labelled AS (SELECT doc_id, idx, paragraph, CAST(idx // 12 + 1 AS INTEGER) AS page, CAST(idx % 12 AS INTEGER) AS k, {_REGION_LABEL} AS label FROM paragraphs)"
-    ", regions AS (SELECT doc_id, page, k AS position, label, paragraph AS content FROM labelled)"
+    # a page of one column has only wide regions, which stay in index order
+    ", swapped AS (SELECT *, CAST(CASE WHEN k % 6 = 1 THEN k + 1 WHEN k % 6 = 2 THEN k - 1 ELSE k END AS INTEGER) AS idx_in_page, max(k) OVER (PARTITION BY doc_id, page) AS top FROM labelled)"
+    ", regions AS (SELECT doc_id, page, idx_in_page AS idx, CASE WHEN top <= 5 THEN CAST(row_number() OVER (PARTITION BY doc_id, page ORDER BY idx_in_page) - 1 AS INTEGER) ELSE k END AS position, label, paragraph AS content FROM swapped)"
 )
 
 

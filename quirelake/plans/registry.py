@@ -11,9 +11,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules() -> list:
-    from quirelake.plans import pairs, scalars
+    from quirelake.plans import citations, documents, pairs, scalars
 
-    return [scalars, pairs]
+    return [scalars, documents, citations, pairs]
 
 
 def queries() -> dict[str, Query]:
