@@ -11,9 +11,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules() -> list:
-    from quirelake.plans import citations, documents, pairs, scalars
+    from quirelake.plans import citations, documents, figures, pairs, scalars
 
-    return [scalars, documents, citations, pairs]
+    return [scalars, documents, citations, figures, pairs]
 
 
 def queries() -> dict[str, Query]:
