@@ -1,7 +1,7 @@
 """Problem 5: records of two catalogues that share no key, matched with a confidence.
 
-Candidate pairs come from MinHash blocks that join a title's words with a second attribute (year,
-author or DOI), so that a title that many works have makes no hot block. A logistic classifier is
+Candidate pairs come from MinHash blocks that join a title's words with a second attribute (author,
+DOI, or year where authors are missing), so that a title that many works have makes no hot block. A logistic classifier is
 trained on weak labels that the data gives itself, and its scores are calibrated on pairs it wasn't
 trained on.
 """
@@ -24,8 +24,10 @@ from quirelake.functions.fold import bare
 from quirelake.functions.trie import osa
 from quirelake.session import stage
 
-#: Bands of two MinHash rows for titles with years; single rows for titles with authors and with a DOI.
-BANDS, ROWS, SINGLES, DOI_ROWS = 10, 2, 4, 3
+#: Bands of four MinHash rows for titles with years; single rows for titles with authors and with a DOI.
+BANDS, ROWS, SINGLES, DOI_ROWS = 12, 4, 4, 3
+#: Letters at the start and at the end of a name that make a block: one edit leaves one of them whole in a long name.
+HEAD, TAIL = 5, 6
 #: Pairs that the classifier is trained on at most: the first by a hash of both ids.
 SAMPLE = 20_000
 CONFIDENT = 0.3
@@ -81,19 +83,31 @@ def _key(*parts) -> int:
 
 
 def record(title: str | None, authors, year: int | None, doi: str | None, venue: str | None, asks: bool) -> Record:
-    """A record with its block keys; ``asks`` for the side that looks a year to either side."""
+    """A record with its block keys; ``asks`` tells the two sides apart.
+
+    Records meet in blocks of a title's MinHash, the start or end of an author's name, and the year:
+    each year belongs to two overlapping pairs of years, so that neighbours share one. What a record
+    lacks (authors, year) no block of its may ask for: for each side there are blocks without it, which
+    the lacking records of that side and all records of the other file. So two complete records never
+    meet on less than all three attributes.
+    """
     tokens, sequel = title_tokens(title)
     names, number = author_words(authors), doi_form(doi)
     keys: set[int] = set()
     if tokens:
         h = np.array([xxhash.xxh32_intdigest(t) for t in tokens], np.uint64)
         low = ((h[:, None] * _A + _B) % _PRIME).min(0).tolist()
-        years = [] if year is None else [year - 1, year, year + 1] if asks else [year]
+        own, other = int(asks), int(not asks)
+        years = [] if year is None else [("e", year // 2), ("o", (year + 1) // 2)]
+        # blocks without a year: filed for the other side's records that lack it, and for the own one where this one lacks it
+        yearless = [("n", other)] + [("n", own)] * (year is None)
+        long = {max(a.split(), key=len) for a in names}
+        ends = {w[:HEAD] + "-" for w in long} | {"-" + w[-TAIL:] for w in long if len(w) > TAIL}
+        keys.update(_key("a", i, low[i], w, *y) for i in range(SINGLES) for w in ends for y in years + yearless)
         for band in range(BANDS):
             mark = low[band * ROWS : (band + 1) * ROWS]
-            keys.update(_key("y", band, *mark, y) for y in years)
-        lead = {w[:4] for a in names for w in a.split()}
-        keys.update(_key("a", i, low[i], w) for i in range(SINGLES) for w in lead)
+            for lacking in [other] + [own] * (not names):
+                keys.update(_key("t", lacking, band, *mark, *y) for y in years + yearless)
         if number:
             keys.update(_key("d", i, low[i], number) for i in range(DOI_ROWS))
     return Record(tokens, sequel, year, number, names, sorted({w[:3] for w in _WORD.findall(bare(venue) or "") if len(w) > 2 and w not in _STOP}), sorted(keys))
@@ -140,7 +154,7 @@ def _author_share(left: list[str], right: list[str]) -> float:
     for a in left:
         words = sorted(a.split(), key=len, reverse=True)[:3]
         long = [w for w in words if len(w) >= 5] or words
-        if any(w in others for w in long[:2]) or any(abs(len(w) - len(o)) < 2 and len(w) > 5 and osa(w, o) <= 1 for w in long[:1] for o in others):
+        if any(w in others for w in long[:2]) or any(abs(len(w) - len(o)) < 2 and len(w) > 5 and (w[:3] == o[:3] or w[-3:] == o[-3:]) and osa(w, o) <= 1 for w in long[:1] for o in others):
             hits += 1
     return hits / len(left)
 
@@ -149,7 +163,9 @@ def pair_features(a: dict, b: dict) -> list[float]:
     """The values of :data:`FEATURES` for two prepared records."""
     x, y = set(a["tokens"] or ()), set(b["tokens"] or ())
     shared = len(x & y)
-    gx, gy = _grams(a["tokens"] or []), _grams(b["tokens"] or [])
+    # titles with hardly a word in common are compared no further: every rule turns them down
+    far = shared < 0.34 * min(len(x), len(y))
+    gx, gy = (set(), set()) if far else (_grams(a["tokens"] or []), _grams(b["tokens"] or []))
     years = a["year"] is not None and b["year"] is not None
     names = bool(a["authors"]) and bool(b["authors"])
     dois = a["doi"] is not None and b["doi"] is not None
@@ -162,7 +178,7 @@ def pair_features(a: dict, b: dict) -> list[float]:
         float((a["sequel"] or "") == (b["sequel"] or "")),
         min(3.0, abs(a["year"] - b["year"])) if years else 0.0,
         float(not years),
-        _author_share(a["authors"], b["authors"]) if names else 0.0,
+        _author_share(a["authors"], b["authors"]) if names and not far else 0.0,
         float(not names),
         float(dois and a["doi"] == b["doi"]),
         float(dois and a["doi"] != b["doi"]),
