@@ -20,9 +20,9 @@ IGNORABLE_RANGES = (
 )
 # Letters of Cyrillic and Greek script that look like a Latin letter, each pair written together.
 LOOKALIKES = (
-    "аa еe оo рp сc уy хx іi јj ѕs һh ԁd ԛq ԝw ӏl ѵv ɡg ԍg кk мm тt вb нh гr "
+    "аa еe оo рp сc уy хx іi јj ѕs һh ԁd ԛq ԝw ӏl ѵv "
     "АA ВB ЕE КK МM НH ОO РP СC ТT УY ХX ІI ЈJ ЅS ԌG ԚQ ԜW ҺH ӀI ЗZ "
-    "αa οo νv ρp τt υu ιi κk χx εe γy ηn ωw "
+    "αa οo νv ρp υu ιi "
     "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX"
 )
 

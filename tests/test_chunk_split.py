@@ -1,0 +1,115 @@
+"""Chunking and splitting: rules, invariants on random texts, defined results for odd input."""
+
+from __future__ import annotations
+
+from conftest import rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from quirelake.config import ChunkConfig
+from quirelake.operators import chunk as C
+from quirelake.operators import splitting as S
+
+TEXT = st.lists(st.sampled_from(["# Head\n\n", "word ", "Sentence one. ", "Two! ", "\n\n", "\n", "<page_number>3</page_number>\n\n", "```\ncode\n```\n", "x" * 90]), max_size=120).map("".join)
+
+
+@given(TEXT)
+@settings(max_examples=150, deadline=None)
+def test_overlap_is_a_suffix_within_the_window(text):
+    config = ChunkConfig(max_chars=400, min_chars=80, overlap_min=30, overlap_max=70, overlap_ideal=50, drop_back_matter=False)
+    for c in C.chunk_document(text, config):
+        assert c.idx == 0 or 0 < c.overlap_chars <= 70
+    for before in C.merge_pieces([p for s in C.sections(text) for p in C.subsplit(s, 400)], 80):
+        over, mode = C.overlap_of(before, config)
+        assert before.endswith(over) and (mode == "ALL" or mode == "HARD" or 30 <= len(over) <= 70)
+
+
+def test_hard_overlap_rule():
+    assert C.overlap_of("a" * 400, ChunkConfig()) == ("a" * 100, "HARD")
+    assert C.overlap_of("a" * 300, ChunkConfig()) == ("a" * 300, "ALL")
+
+
+def test_pages_are_inherited():
+    text = "<page_number>1</page_number>\n\n" + "A. " * 30 + "\n\n# B\n\n" + "B. " * 30 + "\n\n# C\n\n<page_number>2</page_number>\n\n<page_number>4</page_number>\n\n" + "C. " * 30
+    chunks = C.chunk_document(text, ChunkConfig(max_chars=200, min_chars=40, overlap_min=10, overlap_max=30, overlap_ideal=20))
+    assert [(c.page_start, c.page_end) for c in chunks] == [(1, 1), (1, 1), (2, 4)]
+    assert all("<page_number>" not in c.text for c in chunks)
+
+
+def test_headed_references_go_with_their_page():
+    refs = "\n\n".join(f"[{i}] Boyd, S. Title. {1990 + i}." for i in range(1, 5))
+    text = f"# Body\n\nText here.\n\n# References\n\n{refs}\n\n<page_number>9</page_number>\n\n# Appendix\n\nMore."
+    assert C.drop_headed_back_matter(text).split("\n\n") == ["# Body", "Text here.", "# Appendix", "<page_number>9</page_number>", "More."] or "[1]" not in C.drop_headed_back_matter(text)
+    prose = "# References\n\nThis section is about how to refer.\n\nIt has prose only.\n\nAnd more of it."
+    assert C.drop_headed_back_matter(prose) == prose
+
+
+def test_unheaded_runs():
+    entries = "\n\n".join(f"[{i}] Boyd, S. Title. {1990 + i}." for i in range(1, 12))
+    assert "Boyd" not in C.drop_unheaded_runs(f"Body.\n\n{entries}\n\nEnd.")
+    few = "\n\n".join(f"[{i}] Boyd, S. Title. {1990 + i}." for i in range(1, 6))
+    assert C.drop_unheaded_runs(f"Body.\n\n{few}") == f"Body.\n\n{few}"
+
+
+def test_native_merge_equals_python(spark):
+    pieces = [["a" * 5, "b" * 20, "c" * 3, "d" * 30, "e"], ["x"], []]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pieces)], "i int, p array<string>")
+    got = {r.i: r.m for r in df.select("i", C.merge_small(df.p, 10).alias("m")).collect()}
+    assert got == {i: C.merge_pieces(p, 10) for i, p in enumerate(pieces)}
+
+
+def test_corpus_equals_documents(spark):
+    texts = [(1, "# A\n\nText.", "x"), (2, None, "x"), (3, "", "x"), (4, "B " * 9000, "x")]
+    df = spark.createDataFrame(texts, "doc_id bigint, markdown string, idx string")
+    got = rows(C.chunk_markdown(df))
+    assert got == sorted(((k, *c) for k, t, _ in texts for c in C.chunk_document(t)), key=repr)
+    assert C.chunk_markdown(df.limit(0)).count() == 0
+
+
+@given(TEXT, st.integers(60, 200))
+@settings(max_examples=200, deadline=None)
+def test_pieces_cover_and_overlap(text, limit):
+    low, high = limit // 20, limit // 9
+    made = S.pieces(text, limit, (low, high))
+    if not text:
+        assert made == []
+        return
+    assert made[0].start == 0 and made[-1].end == len(text)
+    for before, p in zip([None, *made], made):
+        assert p.end - p.start <= limit
+        if before:
+            assert p.start == before.end - p.overlap and low <= p.overlap <= high + 1 and p.end > before.end
+
+
+def brute(text: str, low: int, high: int) -> int:
+    strength = {}
+    for value, pattern in reversed(S.STRENGTHS):
+        for m in pattern.finditer(text):
+            strength[m.end()] = value
+    for m in S.WHOLE.finditer(text):
+        for p in range(m.start() + 1, m.end()):
+            if p in strength:
+                strength[p] -= 7
+    able = [(v, p) for p, v in strength.items() if low <= p <= high]
+    return max(able)[1] if able else high
+
+
+@given(TEXT, st.integers(0, 400), st.integers(1, 200))
+@settings(max_examples=200, deadline=None)
+def test_sparse_table_equals_scan(text, low, width):
+    high = min(len(text), low + width)
+    if low < high:
+        assert S.StrongestCut(text).best(low, high) == brute(text, low, high)
+
+
+def test_split_table(spark):
+    texts = [(1, "a. " * 4000), (2, None), (3, ""), (4, "short"), (5, "z" * 13000), (1, "a. " * 4000)]
+    df = spark.createDataFrame([(i, t, "clash") for i, t in texts], "rec_id bigint, text string, piece string")
+    out = S.split_oversized(df, ("rec_id",))
+    by = {}
+    for r in out.collect():
+        by.setdefault(r.rec_id, []).append(r)
+    assert set(by) == {1, 3 + 1, 5} and len(by[4]) == 1 and len(by[1]) % 2 == 0
+    assert all(len(r.piece_text) <= 6000 and r.end_at - r.start == len(r.piece_text) for v in by.values() for r in v)
+    assert all(300 <= r.overlap_chars <= 700 for v in by.values() for r in v if r.piece)
+    assert S.split_oversized(df.limit(0), ("rec_id",)).count() == 0
