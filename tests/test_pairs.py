@@ -1,0 +1,186 @@
+"""Near-duplicates, names, matching and components against brute force and on awkward tables."""
+
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter
+from itertools import combinations
+
+import pytest
+from conftest import rows
+
+from quirelake.functions.entries import read_entry, skeleton
+from quirelake.functions.trie import osa
+from quirelake.operators import matching as M
+from quirelake.operators import names as N
+from quirelake.operators import neardup as D
+from quirelake.operators.components import components
+
+
+def union_find(edges):
+    parent = {}
+
+    def root(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        ra, rb = root(a), root(b)
+        parent[max(ra, rb)] = min(ra, rb)
+    return {x: root(x) for x in parent}
+
+
+@pytest.mark.parametrize("shape", ["random", "path", "star", "loops", "empty"])
+def test_components(spark, shape):
+    rng = random.Random(3)
+    edges = {
+        "random": [(rng.randrange(60), rng.randrange(60)) for _ in range(45)],
+        "path": [(i, i + 1) for i in range(40)],
+        "star": [(0, i) for i in range(1, 40)] + [(0, 1)],
+        "loops": [(5, 5), (7, 7), (7, 8)],
+        "empty": [],
+    }[shape]
+    df = spark.createDataFrame(edges, "a bigint, b bigint")
+    assert {r.node: r.component for r in components(df).collect()} == union_find(edges)
+
+
+def brute_pairs(sets, threshold):
+    df = Counter(t for _, _, ts in sets for t in ts)
+    w = {t: round(1 + math.log(len(sets) / n), 4) for t, n in df.items()}
+    out = set()
+    for (a, x, s), (b, y, t) in combinations(sets, 2):
+        s, t = set(s), set(t)
+        if x == y and s and t:
+            shared, union = sum(w[k] for k in s & t), sum(w[k] for k in s | t)
+            if shared / union >= threshold + 1e-9:
+                out.add((min(a, b), max(a, b)))
+    return out
+
+
+@pytest.mark.parametrize("threshold", [0.4, 0.62, 0.8])
+def test_token_group_matrix_loses_no_pair(spark, threshold):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(30)]
+    sets = []
+    for i in range(120):
+        base = rng.sample(words, 8) if i % 3 == 0 or not sets else list(sets[-1][2])
+        for _ in range(rng.randrange(3)):
+            base[rng.randrange(len(base))] = rng.choice(words)
+        sets.append((i, rng.choice(["p", "q", None]), sorted(set(base))))
+    sets.append((999, "p", []))
+    df = spark.createDataFrame(sets, "id bigint, block string, tokens array<string>")
+    got = {(r.a, r.b) for r in D.token_group_pairs(df, threshold).collect()}
+    want = brute_pairs(sets, threshold)
+    assert want <= got and len(got - want) <= 1
+
+
+ENTRY = "Boyd, S., & Lee, K. ({y}). Variational optodynamics for periodic morphology in surface crystals. Journal of Industrial Mechanics, 22(1), {p}."
+
+
+def test_entry_groups(spark):
+    a = ENTRY.format(y=1998, p="1201-1205")
+    texts = [
+        (1, a), (2, a), (3, a.replace("optodynamics", "optodynarnics")), (4, "BOYD, S.; LEE, K.. Variational\noptody-\nnamics for periodic morphology in surface crystals. J. of Ind. Mechanics, 22, 1998."),
+        (5, ENTRY.format(y=1999, p="1201-1205")), (6, a.replace("crystals.", "crystals, II.")), (7, "Ibid., p. 3."), (8, None), (9, ""), (10, "Boyd, S., & Lee, K. (1998). Quite another title about other things entirely. Journal of Industrial Mechanics, 22(1), 7-9."),
+    ]
+    df = spark.createDataFrame([(i, t, "x") for i, t in texts], "ref_id bigint, text string, entry string")
+    got = {r.ref_id: r.entry for r in D.entry_groups(df).collect()}
+    assert got[1] == got[2] == got[3] == got[4] == 1
+    assert got[5] == 5 and got[6] == 6 and got[10] == 10
+    assert got[7] is None and got[8] is None and got[9] is None and len(got) == 10
+    pairs = rows(D.pairs_within(D.entry_groups(df), "ref_id", "entry", ("ref_id_a", "ref_id_b")))
+    assert pairs == sorted(combinations([1, 2, 3, 4], 2))
+    assert D.entry_groups(df.limit(0)).count() == 0
+
+
+def test_skeleton_joins_scan_readings():
+    for good, bad in (("modern", "modem"), ("could", "c0uld"), ("framework", "framevvork"), ("marine", "manne"), ("uniform", "iiniform"), ("stability", "5tability"), ("synthetic", "syntbetic")):
+        assert skeleton(good) == skeleton(bad)
+    assert read_entry(None).words == 0 and read_entry("x " * 20000).words == 20000
+
+
+def test_trie_join_equals_brute_force(spark):
+    rng = random.Random(7)
+    base = ["".join(rng.choice("abcdeo") for _ in range(rng.randrange(5, 10))) for _ in range(60)]
+    names = set(base)
+    for b in base:
+        k = rng.randrange(len(b) - 1)
+        names |= {b[:k] + b[k + 1] + b[k] + b[k + 2 :], b[:k] + b[k + 1 :], b[:k] + "z" + b[k + 1 :], b + "o"}
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = {tuple(r) for r in N.trie_join(df).collect()}
+    want = {(min(a, b), max(a, b)) for a, b in combinations([n for n in names if len(n) >= N.LEAST_LETTERS], 2) if osa(a, b) == 1}
+    assert got == want
+
+
+def test_link_names(spark):
+    spellings = [
+        (1, "Kopisenunok", "Harold"), (2, "KOPISENUNOK", "H."), (3, "Kopisenunok", "Hal"), (4, "Harold", "Kopisenunok"), (5, "Kopisenunko", "Harold"), (6, "Kopisenunok, Harold", None),
+        (7, "Kopisenunok", "P."), (8, "van der Kopisenunok", "Patricia"), (9, "Кopisеnunok", "Pat"), (10, "Institute for Marine Botany, Hefastusival", None), (11, "The Institute for Marine Botany of Hefastusival", None),
+        (12, "IMB Hefastusival", None), (13, "Marine Botany, Inst. for (Hefastusival)", None), (14, None, None), (15, "", " "), (16, "Center for Applied Optics, Hefastusival", None), (17, "Kopisenunok", "Harold"), (18, "Robert Zelofeshigok", None), (19, "Zelofeshigok", "Bob"), (20, "Zelofeshigok", "B."),
+    ]
+    more = [(100 + i, f"Family{chr(97 + i)}nak", g) for i in range(8) for g in ("Harold",)] + [(200 + i, f"Person{chr(97 + i)}tal", "Robert") for i in range(8)]
+    df = spark.createDataFrame([(*s, 1) for s in spellings + more], "name_id bigint, family string, given string, entity int")
+    aliases = spark.createDataFrame([("Harold", "Hal"), ("Patricia", "Pat"), ("Robert", "Bob")], "given string, alias string")
+    got = {r.name_id: r.entity for r in N.link_names(df, aliases).collect()}
+    assert len({got[i] for i in (1, 2, 3, 4, 5, 6, 17)}) == 1
+    assert got[7] == got[8] == got[9] != got[1]
+    assert len({got[i] for i in (10, 11, 12, 13)}) == 1 and got[16] != got[10]
+    assert got[18] == got[19] == got[20]
+    assert got[14] is None and got[15] is None and len(got) == len(spellings) + len(more)
+    assert N.link_names(df.limit(0), aliases).count() == 0
+
+
+AUTHORS = "array<struct<family:string,given:string>>"
+
+
+def test_match_records(spark):
+    kinds = f"id bigint, title string, authors {AUTHORS}, year int, doi string, container_title string, confidence int"
+    boyd, lee = [("Kopisenunok", "H.")], [("Zelofeshigok", "R.")]
+    left = [
+        (1, "Learning convex optostratification from periodic colour", boyd, 2009, None, None, 0), (2, "LEARNING CONVEX OPTOSTRATIFICATION FROM PERIODIC C0LOUR", [("H.", "Kopisenunok")], 2010, None, None, 0),
+        (3, "Learning convex optostratification from periodic colour", lee, 2009, None, None, 0), (4, None, None, None, None, None, 0), (5, "", [], 2009, None, None, 0), (6, "Annual report", boyd, 1990, None, None, 0), (1 + 6, "Learning convex optostratification from periodic colour", boyd, 2009, None, None, 0),
+    ]
+    right = [
+        (11, "Learning convex optostratification from periodic colour", [("Kopisenunok", "Harold")], 2009, "10.5555/x.1", "J", 0), (12, "Learning convex optostratification from periodic colour: Part II", [("Kopisenunok", "Harold")], 2012, None, None, 0),
+        (13, "Annual report", lee, 1990, None, None, 0), (14, None, None, None, None, None, 0), (15, "Annual report", [("Kopisenunok", "H.")], 1990, None, None, 0),
+    ]
+    a, b = spark.createDataFrame(left, kinds).withColumnRenamed("id", "ext_id"), spark.createDataFrame(right, kinds).withColumnRenamed("id", "cand_id")
+    got = {(r.ext_id, r.cand_id): r.confidence for r in M.match_records(a, b, ("ext_id", "cand_id")).collect()}
+    assert set(got) == {(1, 11), (2, 11), (7, 11), (6, 15)} and all(0 < c <= 1 for c in got.values())
+    assert M.match_records(a.limit(0), b, ("ext_id", "cand_id")).count() == 0
+
+
+def test_blocks_find_what_brute_force_finds(spark, data):
+    """Of all pairs that weak labels call sure, nearly all share a block."""
+    ext = spark.read.parquet(f"{data}/extracted_refs.parquet").limit(10**9).collect()
+    cand = spark.read.parquet(f"{data}/candidates.parquet").collect()
+    make = lambda r, k, asks: (r[k], M.record(r["title"], [a.asDict() for a in r["authors"] or []], r["year"], r["doi"], r["container_title"], asks))
+    left, right = [make(r, "ext_id", True) for r in ext], [make(r, "cand_id", False) for r in cand]
+    index: dict[int, list] = {}
+    for c, r in right:
+        for k in r.keys:
+            index.setdefault(k, []).append(c)
+    sure = found = 0
+    for _, r in left:
+        near = {c for k in r.keys for c in index.get(k, ())}
+        for c, o in right:
+            if len(set(r.tokens) & set(o.tokens)) >= 0.7 * max(1, len(set(r.tokens) | set(o.tokens))) and len(r.tokens) > 4:
+                f = M.pair_features(r._asdict(), o._asdict())
+                if f[7] >= 0.5 and f[5] <= 1 and f[4]:
+                    sure += 1
+                    found += c in near
+    assert sure > 20 and found >= 0.97 * sure
+
+
+def test_calibration_orders_pairs():
+    import numpy as np
+
+    model = M.fit(np.empty((0, len(M.FEATURES))))
+    good = [1, 1, 1, 1, 1, 0, 0, 1, 0, 0, 0, 1]
+    bad = [0.2, 0.3, 1, 0.2, 1, 0, 0, 0.5, 0, 0, 0, 0]
+    p = model.confidence(np.array([good, bad], float))
+    assert p[0] > 0.9 > p[1]
