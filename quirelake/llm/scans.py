@@ -114,8 +114,11 @@ def _title(text: str) -> str:
 
 
 def without_edges(prose: str, title: str) -> tuple[str, int]:
-    """``prose`` without its edge lines, and how many there were; a blank line beside one goes with it where a sentence runs on."""
-    if "\n" not in prose and len(prose) > 90:
+    """``prose`` without its edge lines, and how many there were; a blank line beside one goes with it where a sentence runs on.
+
+    A single line has no edge: it is the whole text, not a line within one.
+    """
+    if "\n" not in prose:
         return prose, 0
     lines = prose.split("\n")
     kept: list[str] = []
