@@ -82,11 +82,12 @@ def column_runs(regions: DataFrame) -> DataFrame:
     order = page.orderBy(F.coalesce("idx", F.lit(0)))
     good = F.coalesce(F.size("bbox") == 4, F.lit(False)) & ~F.exists(F.coalesce("bbox", F.array(F.lit(None).cast("double"))), lambda v: v.isNull())
     rows = regions.withColumn("__good", F.min(good).over(page))
-    width = F.max(F.col("bbox")[2]).over(page) - F.min(F.col("bbox")[0]).over(page)
+    at = lambda box, i: F.get(box, F.lit(i))
+    width = F.max(at(F.col("bbox"), 2)).over(page) - F.min(at(F.col("bbox"), 0)).over(page)
     rows = rows.withColumn("__w", F.when(width == 0, 1.0).otherwise(width)).withColumn("__b", F.lag("bbox").over(order))
     a, b = F.col("__b"), F.col("bbox")
-    wide = lambda x: (x[2] - x[0]) > WIDE * F.col("__w")
-    shared = F.least(a[2], b[2]) - F.greatest(a[0], b[0]) > OVERLAP * F.least(a[2] - a[0], b[2] - b[0])
+    wide = lambda x: (at(x, 2) - at(x, 0)) > WIDE * F.col("__w")
+    shared = F.least(at(a, 2), at(b, 2)) - F.greatest(at(a, 0), at(b, 0)) > OVERLAP * F.least(at(a, 2) - at(a, 0), at(b, 2) - at(b, 0))
     goes_on = F.coalesce(a.isNotNull() & ~wide(a) & ~wide(b) & shared, F.lit(False))
     rows = rows.withColumn("__new", F.when(goes_on, 0).otherwise(1))
     return rows.withColumn("run", F.when(F.col("__good"), F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))).drop("__good", "__b", "__new").withColumnRenamed("__w", "page_width")
@@ -110,7 +111,7 @@ def reading_order(regions: DataFrame) -> DataFrame:
     rows = column_runs(regions).withColumn("__k", F.row_number().over(Window.partitionBy("doc_id", "page").orderBy(F.coalesce("idx", F.lit(0)))))
     rows = rows.withColumn("__run", F.coalesce("run", F.lit(0)))
     runs = rows.groupBy("doc_id", "page", "__run").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("__k").alias("k"), F.when(F.col("run").isNotNull(), F.col("bbox")[1]).alias("top")))).alias("items"), F.first("page_width").alias("width")
+        F.array_sort(F.collect_list(F.struct(F.col("__k").alias("k"), F.when(F.col("run").isNotNull(), F.get("bbox", F.lit(1))).alias("top")))).alias("items"), F.first("page_width").alias("width")
     )
 
     def over(items: pd.Series, width: pd.Series) -> pd.Series:
