@@ -10,7 +10,7 @@ from quirelake import schemas
 
 def read_pdfs(spark: SparkSession, path: str) -> DataFrame:
     """``path``, ``content``, ``sha256`` and ``n_pages`` of PDF files; pages are counted by their objects, null where a file hides them in streams."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", "true").load(path)
     body = F.decode("content", "ISO-8859-1")
     pages = F.size(F.regexp_extract_all(body, F.lit(r"/Type\s*/Page\b(?!s)"), F.lit(0)))
     return files.select("path", "content", F.sha2("content", 256).alias("sha256"), F.when(pages > 0, pages).alias("n_pages"))
@@ -23,7 +23,7 @@ def read_regions(spark: SparkSession, path: str) -> DataFrame:
 
 def read_markdown(spark: SparkSession, path: str) -> DataFrame:
     """``path``, ``doc_id`` (the folder's name) and ``markdown`` of whole files."""
-    files = spark.read.option("wholetext", "true").text(path).select(F.input_file_name().alias("path"), F.col("value").alias("markdown"))
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("markdown"))
     return files.withColumn("doc_id", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1))
 
 
