@@ -281,7 +281,7 @@ def link_names(rows: DataFrame, aliases: DataFrame, key: str = "name_id", family
     meant = itself.unionByName(only.join(itself.select("word"), "word", "left_anti"))
     forms_of = low.select("full", F.substring("alias", 1, 1).alias("other")).union(low.select("full", F.substring("full", 1, 1))).distinct()
     people = placed.where("kind = 'p' AND initial <> ''").select("fam", "initial", "word").distinct()
-    same = people.where("word <> ''").join(F.broadcast(meant), "word").join(F.broadcast(forms_of), "full").select("fam", "initial", "other").where("initial <> other")
+    same = people.where("word <> ''").join(meant, "word").join(forms_of, "full").select("fam", "initial", "other").where("initial <> other")
     edges = same.select(node(F.lit("p"), "fam", "initial").alias("a"), node(F.lit("p"), "fam", "other").alias("b"))
     # organisations of one place share at least two initials
     orgs = placed.where("kind = 'o'").select("fam", "initial", F.explode("keys").alias("k")).distinct()

@@ -36,8 +36,8 @@ def restore_labels(regions: DataFrame, raw: DataFrame) -> DataFrame:
 def dispatch(regions: DataFrame) -> DataFrame:
     """Each region with ``kind`` (abandon, body, caption, reference, reference_number, figure) and ``out``, its markdown.
 
-    The native label counts before the coarse one; an unknown or missing label is body text. Only
-    tables and algorithms go through Python.
+    The native label counts before the coarse one; an unknown or missing label is body text. Python
+    sees the content of tables and algorithms only.
     """
     label = F.coalesce(X.or_null(F.col("native_label")), F.col("label"), F.lit(""))
     c = F.trim(F.coalesce("content", F.lit("")), F.lit(" \t\n\r"))
@@ -62,10 +62,8 @@ def dispatch(regions: DataFrame) -> DataFrame:
     chain = F
     for condition, value in rules:
         chain = chain.when(condition, value)
-    plain = regions.where(~label.isin("table", "algorithm")).withColumn("__special", empty)
-    tables = regions.where(label == "table").withColumn("__special", blocks.html_table_column(c))
-    fenced = regions.where(label == "algorithm").withColumn("__special", blocks.fence_code_column(c))
-    return plain.unionByName(tables).unionByName(fenced).withColumn("__d", chain.otherwise(one("body", c))).withColumns({"kind": F.col("__d.kind"), "out": F.col("__d.out")}).drop("__d", "__special")
+    special = F.when(label == "table", blocks.html_table_column(F.when(label == "table", c))).when(label == "algorithm", blocks.fence_code_column(F.when(label == "algorithm", c)))
+    return regions.withColumn("__special", special).withColumn("__d", chain.otherwise(one("body", c))).withColumns({"kind": F.col("__d.kind"), "out": F.col("__d.out")}).drop("__d", "__special")
 
 
 def keep(regions: DataFrame) -> DataFrame:
@@ -115,16 +113,16 @@ def reading_order(regions: DataFrame) -> DataFrame:
     )
 
     def over(items: pd.Series, width: pd.Series) -> pd.Series:
-        return pd.Series([_sorted_run([(x["k"], x["top"]) for x in i], w) for i, w in zip(items, width)])
+        return pd.Series([None if i is None else _sorted_run([(x["k"], x["top"]) for x in i], w) for i, w in zip(items, width)])
 
     over.__annotations__ = {"items": pd.Series, "width": pd.Series, "return": pd.Series}
     tops = F.array_sort(F.transform("items", lambda x: x["top"]))
     close = F.exists(F.sequence(F.lit(1), F.greatest(F.size("items") - 1, F.lit(1))), lambda i: (F.size("items") > 1) & (F.get(tops, i) - F.get(tops, i - 1) <= LEVEL * F.col("width")))
     close = F.coalesce(close, F.lit(False)) & (F.col("__run") > 0)
     native = F.transform(F.array_sort(F.transform("items", lambda x: F.struct(x["top"].alias("top"), x["k"].alias("k")))), lambda x: x["k"])
-    plain = runs.where(~close).withColumn("ks", F.when(F.col("__run") == 0, F.transform("items", lambda x: x["k"])).otherwise(native))
-    fuzzy = runs.where(close).withColumn("ks", F.pandas_udf(over, "array<int>")("items", "width"))
-    placed = plain.unionByName(fuzzy).select("doc_id", "page", "__run", F.posexplode("ks").alias("__at", "__k"))
+    fuzzy = F.pandas_udf(over, "array<int>")(F.when(close, F.col("items")), "width")
+    ks = F.when(F.col("__run") == 0, F.transform("items", lambda x: x["k"])).when(close, fuzzy).otherwise(native)
+    placed = runs.select("doc_id", "page", "__run", F.posexplode(ks).alias("__at", "__k"))
     joined = rows.drop("__run").join(placed, ["doc_id", "page", "__k"])
     order = Window.partitionBy("doc_id", "page").orderBy("__run", "__at")
     return joined.withColumn("position", F.row_number().over(order) - 1).drop("__k", "__run", "__at", "run", "page_width")

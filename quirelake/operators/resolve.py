@@ -18,6 +18,7 @@ from quirelake.config import CitationConfig
 from quirelake.functions import blocks
 from quirelake.functions import text as X
 from quirelake.functions.fold import fold_name
+from quirelake.session import stage
 
 _LATIN = re.compile(r"[a-z][a-z' .-]*")
 DEFAULT = CitationConfig()
@@ -170,7 +171,7 @@ def resolve(refs: DataFrame, candidates: DataFrame, own: DataFrame | None = None
     """The cascade: the document's own pool, then a DOI printed in the raw text, then titles; the first route that hits counts.
 
     ``own`` has ``doc_id`` besides a candidate's columns. Each route sees only what is left. Gives R3's
-    columns with T18's ``type`` and the near miss of unverified references.
+    columns with T18's ``type`` and the near miss of unverified references. The judged pairs are written once.
     """
     matched = None
     left = refs
@@ -182,7 +183,7 @@ def resolve(refs: DataFrame, candidates: DataFrame, own: DataFrame | None = None
         candidates = candidates.unionByName(own.select(*candidates.columns))
     by_doi = match_by_doi(left, candidates, X.extract_doi("raw_text")).withColumn("route", F.lit("doi"))
     rest = left.join(by_doi, ["doc_id", "ref_idx"], "left_anti")
-    pairs = title_pairs(rest, candidates, config)
+    pairs = stage(title_pairs(rest, candidates, config))
     by_title = chain_match(pairs, config).select("doc_id", "ref_idx", "cand_id", F.col("source").alias("route"))
     found = by_doi.unionByName(by_title) if matched is None else matched.unionByName(by_doi).unionByName(by_title)
     out = merge(refs, found, candidates).join(near_misses(pairs), ["doc_id", "ref_idx"], "left")
