@@ -14,15 +14,17 @@ from pyspark.sql import functions as F
 
 from quirelake.session import stage
 
-#: Buckets of each source's shuffled order. Rows of a bucket are summed by one task.
-BUCKETS = 512
+#: Rows of a bucket, about: the part of a source's shuffled order that one task sums.
+BUCKET_ROWS = 50_000
+#: Target rows up to which they are sent to all tasks; more are joined as any table.
+SENT_ROWS = 10_000
 
 
-def mix_sources(sizes: DataFrame, targets: DataFrame, seed: int = 1, buckets: int = BUCKETS, budget: int | None = None) -> tuple[DataFrame, DataFrame]:
+def mix_sources(sizes: DataFrame, targets: DataFrame, seed: int = 1, buckets: int | None = None, budget: int | None = None) -> tuple[DataFrame, DataFrame]:
     """The mix and its report.
 
     ``sizes`` has ``doc_id``, ``source`` and ``n_tokens``; ``targets`` has ``source``,
-    ``target_share`` and ``max_repeats`` and is small by its nature: a row for each source.
+    ``target_share`` and ``max_repeats``. ``buckets`` of each source follow from the number of rows.
     Documents of other sources and of no tokens take no part. A source without tokens can hold no
     share; the others' shares are then scaled up to a sum of 1. The budget is the largest for which no
     source runs out of its repeats, or ``budget`` if that is smaller. A source's first pass holds
@@ -34,8 +36,10 @@ def mix_sources(sizes: DataFrame, targets: DataFrame, seed: int = 1, buckets: in
     (the most of any document), ``n_rows``, ``n_tokens`` and ``actual_share``.
     """
     wanted = targets.where("target_share > 0 AND max_repeats > 0").select("source", F.col("target_share").cast("double").alias("target_share"), F.col("max_repeats").cast("int").alias("max_repeats"))
-    docs = sizes.where("n_tokens > 0").select("doc_id", "source", F.col("n_tokens").cast("bigint").alias("n_tokens")).join(F.broadcast(wanted), "source", "left_semi")
+    sent = F.broadcast if wanted.count() <= SENT_ROWS else lambda df: df
+    docs = sizes.where("n_tokens > 0").select("doc_id", "source", F.col("n_tokens").cast("bigint").alias("n_tokens")).join(sent(wanted), "source", "left_semi")
     docs = stage(docs)
+    buckets = buckets or max(64, -(-docs.count() // BUCKET_ROWS))
     have = docs.groupBy("source").agg(F.sum("n_tokens").alias("available"))
     everything = Window.partitionBy(F.lit(0))
     plan = stage(
@@ -47,7 +51,7 @@ def mix_sources(sizes: DataFrame, targets: DataFrame, seed: int = 1, buckets: in
         .coalesce(1)
     )
     rows = (
-        docs.join(F.broadcast(plan.select("source", "available", "weight", "budget", "passes")), "source")
+        docs.join(sent(plan.select("source", "available", "weight", "budget", "passes")), "source")
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.greatest("passes", F.lit(1)))))
         .withColumn("place", F.xxhash64(F.lit(seed), "copy", "doc_id"))
         .withColumn("bucket", F.pmod(F.shiftrightunsigned("place", 40), F.lit(buckets)).cast("int"))
@@ -57,9 +61,9 @@ def mix_sources(sizes: DataFrame, targets: DataFrame, seed: int = 1, buckets: in
     offsets = sums.select("source", "copy", "bucket", F.coalesce(F.sum("s").over(ahead), F.lit(0)).alias("before"))
     within = Window.partitionBy("source", "copy", "bucket").orderBy("place", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     timed = (
-        rows.withColumn("sent", F.sum("n_tokens").over(within))
-        .join(F.broadcast(offsets), ["source", "copy", "bucket"])
-        .withColumn("finish_at", ((F.col("copy") - 1) * F.col("available") + F.col("before") + F.col("sent")) / F.col("weight"))
+        rows.withColumn("so_far", F.sum("n_tokens").over(within))
+        .join(offsets, ["source", "copy", "bucket"])
+        .withColumn("finish_at", ((F.col("copy") - 1) * F.col("available") + F.col("before") + F.col("so_far")) / F.col("weight"))
         .where("finish_at <= budget")
     )
     mix = stage(timed.select("doc_id", F.col("copy").cast("int").alias("copy"), "source", "n_tokens", "finish_at"))
