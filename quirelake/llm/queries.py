@@ -106,6 +106,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p10_levels": p10_levels,
 }
 
+_HIDDEN = r"\x{AD}\x{34F}\x{61C}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180F}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{3164}\x{FE00}-\x{FE0F}\x{FEFF}\x{FFA0}\x{FFF0}-\x{FFF8}\x{1BCA0}-\x{1BCA3}\x{1D173}-\x{1D17A}\x{E0000}-\x{E0FFF}\x{0}-\x{8}\x{E}-\x{1B}\x{7F}-\x{84}\x{86}-\x{9F}"
+_SHOWN = (
+    r"[\x{FF01}-\x{FF60}\x{FFE0}-\x{FFE6}\x{FF61}-\x{FF9F}\x{FB00}-\x{FB06}\x{FB13}-\x{FB17}\x{132}\x{133}\x{149}\x{1C4}-\x{1CC}\x{1F1}-\x{1F3}\x{300}-\x{36F}\x{1AB0}-\x{1AFF}\x{1DC0}-\x{1DFF}\x{20D0}-\x{20FF}\x{FE20}-\x{FE2F}"
+    + _HIDDEN + r"\t\n\r\x{B}\x{C}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+)
+_MIXED = r"\p{Latin}\p{L}*[\p{Greek}\p{Cyrillic}]|[\p{Greek}\p{Cyrillic}]\p{L}*\p{Latin}|\p{Greek}\p{L}*\p{Cyrillic}|\p{Cyrillic}\p{L}*\p{Greek}"
+
 ORACLES: dict[str, str] = {
+    "p6_found": f"""WITH t AS (SELECT 'author_names' AS tbl, name_id AS rec_id, family AS text FROM author_names UNION ALL SELECT 'extracted_refs', ext_id, title FROM extracted_refs)
+        SELECT tbl, rec_id FROM t WHERE regexp_matches(text, '{_SHOWN}') OR regexp_matches(regexp_replace(text, '[{_HIDDEN}]', '', 'g'), '{_MIXED}')""",
     "p8_decoded": "SELECT doc_id, coalesce(text, '') AS text, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n_bytes FROM documents",
 }
