@@ -287,6 +287,10 @@ ORACLES = {
         f AS (SELECT *, CASE WHEN d IS NOT NULL THEN row_number() OVER (PARTITION BY doc_id, d ORDER BY cand_idx) = 1 ELSE true END AS first FROM p),
         s AS (SELECT *, coalesce(max(CASE WHEN first THEN 1 END) OVER (PARTITION BY doc_id, t ORDER BY cand_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seen FROM f)
         SELECT doc_id, cand_idx FROM s WHERE first AND (d IS NOT NULL OR t IS NULL OR seen = 0)""",
+    "u1_pools": f"""WITH p AS (SELECT year AS doc_id, row_number() OVER (PARTITION BY year ORDER BY CASE provider WHEN 'crossref' THEN 0 ELSE 1 END, cand_id) - 1 AS cand_idx, title, provider AS source, {_NT} AS t, lower(nullif(doi, '')) AS d FROM candidates WHERE provider IN ('crossref', 'openalex') AND year IS NOT NULL),
+        f AS (SELECT *, CASE WHEN d IS NOT NULL THEN row_number() OVER (PARTITION BY doc_id, d ORDER BY cand_idx) = 1 ELSE true END AS first FROM p),
+        s AS (SELECT *, coalesce(max(CASE WHEN first THEN 1 END) OVER (PARTITION BY doc_id, t ORDER BY cand_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seen FROM f)
+        SELECT doc_id, CAST(cand_idx AS INTEGER) AS cand_idx, title, source FROM s WHERE first AND (d IS NOT NULL OR t IS NULL OR seen = 0)""",
     "r8_semanticscholar": "SELECT cand_id, title, year, doi, provider_type, CAST(CASE WHEN authors IS NULL THEN NULL ELSE len(authors) END AS INTEGER) AS n_authors FROM candidates WHERE provider = 'semantic_scholar'",
     "r9_crossref": "SELECT cand_id, title, year, doi, trim(title) AS abstract, provider_type FROM candidates WHERE provider = 'crossref'",
     "r10_openalex": "SELECT cand_id, title, year, regexp_replace(doi, '^https://doi.org/', '') AS doi, 'Theory of all' AS abstract, provider_type FROM candidates WHERE provider = 'openalex'",

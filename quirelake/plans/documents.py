@@ -182,6 +182,11 @@ ORACLES = {
         whole AS (SELECT p.doc_id, p.page, '<page_number>' || p.page || '</page_number>' || coalesce(chr(10) || chr(10) || body, '') AS part FROM (SELECT DISTINCT doc_id, page FROM regions) p LEFT JOIN each e ON p.doc_id = e.doc_id AND p.page = e.page)
         SELECT doc_id, string_agg(part, chr(10) || chr(10) ORDER BY page) AS markdown FROM whole GROUP BY doc_id""",
     "o1_reading_order": f"WITH {I.REGIONS} SELECT doc_id, page, position, label AS native_label, content FROM regions",
+    "o1_runs": f"WITH {I.REGIONS} SELECT doc_id, page, idx_in_page AS idx, CAST(CASE WHEN top <= 5 THEN row_number() OVER (PARTITION BY doc_id, page ORDER BY idx_in_page) ELSE idx_in_page // 6 + 1 END AS INTEGER) AS run FROM swapped",
+    "c1_sections": f"""WITH {I.LINES}, f AS (SELECT *, starts_with(ltrim(line), '```') AS mark, count(*) FILTER (starts_with(ltrim(line), '```')) OVER (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS marks FROM lines),
+        h AS (SELECT *, sum(CASE WHEN NOT mark AND marks % 2 = 0 AND regexp_matches(line, '^(#{{1,6}})\\s+(.*?)\\s*$') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS s FROM f),
+        t AS (SELECT doc_id, s, trim(string_agg(line, chr(10) ORDER BY line_no), ' ' || chr(9) || chr(10) || chr(13)) AS text FROM h GROUP BY doc_id, s)
+        SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1 AS INTEGER) AS section, text FROM t WHERE text <> ''""",
     "s2_parts": f"""WITH {I.DOCS}, p AS (SELECT doc_id, unnest(list_transform(regexp_extract_all(markdown, '{_MARK}', 1), lambda x: CAST(x AS INTEGER))) AS page FROM docs)
         SELECT doc_id, page, CAST((page - 1) // 100 AS INTEGER) AS part, CAST((page - 1) % 100 + 1 AS INTEGER) AS page_in_part FROM p""",
     "s4_labels": f"WITH {I.REGIONS} SELECT doc_id, page, idx, label AS native_label, trim(content) AS content FROM regions".replace("trim(content)", "trim(regexp_replace(content, '(?i)</?div[^>]*>', '', 'g'))"),

@@ -228,11 +228,27 @@ ORACLES = {
     "s5_checkpoint": "SELECT p.paper_id, d.done_as FROM parse_results p JOIN (SELECT markdown, min(paper_id) AS done_as FROM parse_results GROUP BY markdown) d ON p.markdown = d.markdown WHERE p.paper_id <> d.done_as",
     "b4_missing_parts": "SELECT paper_id FROM parse_results WHERE paper_id NOT IN (SELECT paper_id FROM chunks WHERE paper_id IS NOT NULL)",
     "s8_meta": "SELECT p.paper_id, m.latest FROM parse_results p LEFT JOIN (SELECT docname, max(paper_id) AS latest FROM parse_results WHERE lib_id % 2 = 0 GROUP BY docname) m ON p.docname = m.docname",
-    "f2_crop_names": None,
     "o6_nearest": f"""WITH {I.REGIONS}, r AS (SELECT doc_id, page, idx AS k, CASE WHEN kk < 6 THEN 50.0 ELSE 520.0 END AS x1, 100.0 + 130 * (kk % 6) AS y1, CASE WHEN kk < 6 THEN 480.0 ELSE 950.0 END AS x2, 200.0 + 130 * (kk % 6) AS y2 FROM (SELECT doc_id, page, idx_in_page AS idx, k AS kk FROM swapped)),
         c AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id, page ORDER BY k) - 1 AS INTEGER) AS crop_idx FROM r WHERE k IN (1, 2, 7, 9)), m AS (SELECT *, CAST(k / 6 AS INTEGER) AS cap_idx FROM r WHERE k IN (0, 6)),
         g AS (SELECT c.doc_id, c.page, c.crop_idx, m.cap_idx, greatest(m.x1 - c.x2, c.x1 - m.x2, 0.0) AS gx, greatest(m.y1 - c.y2, c.y1 - m.y2, 0.0) AS gy, (c.x1 + c.x2 - m.x1 - m.x2) / 2 AS cx, (c.y1 + c.y2 - m.y1 - m.y2) / 2 AS cy FROM c LEFT JOIN m ON c.doc_id = m.doc_id AND c.page = m.page),
         q AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page, crop_idx ORDER BY CASE WHEN cap_idx IS NULL OR (gx > 0 AND gy > 0) THEN 1 ELSE 0 END, greatest(gx, gy), cx * cx + cy * cy, cap_idx) AS n FROM g)
         SELECT doc_id, page, crop_idx, CASE WHEN gx > 0 AND gy > 0 THEN NULL ELSE cap_idx END AS cap_idx FROM q WHERE n = 1""",
 }
-ORACLES = {k: v for k, v in ORACLES.items() if v}
+_PAIRED = ORACLES["o6_nearest"].replace("SELECT doc_id, page, crop_idx, CASE WHEN", ", near AS (SELECT doc_id, page, crop_idx, CASE WHEN") + ")"
+ORACLES |= {
+    "j10_pairs": _PAIRED + " SELECT * FROM near WHERE cap_idx IS NOT NULL",
+    "f2_crop_names": _PAIRED + """ SELECT doc_id, page, crop_idx, page || '.' || cap_idx AS number, 'fig_' || page || '.' || cap_idx || CASE WHEN count(*) OVER (PARTITION BY doc_id, page, cap_idx) > 1
+        THEN '_' || row_number() OVER (PARTITION BY doc_id, page, cap_idx ORDER BY crop_idx) ELSE '' END || '.png' AS name FROM near WHERE cap_idx IS NOT NULL""",
+    "w15_promoted": f"""WITH {_HEADS}, t AS (SELECT doc_id, pos, CASE WHEN pos % 3 = 1 THEN (pos + 1) || '-1. ' || text ELSE text END AS text FROM heads),
+        l AS (SELECT *, CASE WHEN {_NORM} = lag({_NORM}) OVER (PARTITION BY doc_id ORDER BY pos) THEN 'not_heading' ELSE 'section' END AS level FROM t),
+        k AS (SELECT doc_id, pos, text, lead(text) OVER (PARTITION BY doc_id ORDER BY pos) AS after FROM l WHERE level <> 'not_heading')
+        SELECT l.doc_id, l.pos, CASE WHEN regexp_matches(trim(k.after), '^\\d+-1\\.') AND upper(rtrim(trim(k.text), '.')) <> 'EXERCISES' THEN 'chapter' ELSE l.level END AS level FROM l LEFT JOIN k ON l.doc_id = k.doc_id AND l.pos = k.pos""",
+    "k5_review": r"""WITH p AS (SELECT paper_id AS doc_id, string_split(markdown, '$$') AS ps FROM parse_results)
+        SELECT doc_id, array_to_string(list_transform(ps, lambda p, i: CASE WHEN i % 2 = 0 AND (len(ps) % 2 = 1 OR i < len(ps)) AND contains(p, chr(10)) THEN trim(regexp_replace(p, '\s*\n\s*', ' ', 'g')) ELSE p END), '$$') AS markdown FROM p""",
+    "g4_manifest_keys": """SELECT paper_id, sha256('{"version":"1","content_id":"' || sha256(markdown) || '","model":"layout"}') AS key FROM parse_results""",
+    "w18_cooldown": f"""WITH RECURSIVE {I.LOOKUPS}, o AS (SELECT *, row_number() OVER (PARTITION BY provider ORDER BY ts, event_id) AS k FROM lookups),
+        fold AS (SELECT provider, k, event_id, true AS asked, CASE WHEN outcome = '429' THEN 1 ELSE 0 END AS streak, CAST(NULL AS TIMESTAMP) AS until FROM o WHERE k = 1
+            UNION ALL SELECT o.provider, o.k, o.event_id, f.until IS NULL OR o.ts >= f.until, CASE WHEN f.until IS NOT NULL AND o.ts < f.until THEN f.streak WHEN o.outcome <> '429' OR f.streak >= 1 THEN 0 ELSE f.streak + 1 END,
+                CASE WHEN f.until IS NOT NULL AND o.ts < f.until THEN f.until WHEN o.outcome = '429' AND f.streak >= 1 THEN o.ts + INTERVAL 600 SECOND END FROM fold f JOIN o ON o.provider = f.provider AND o.k = f.k + 1)
+        SELECT event_id, provider, asked FROM fold""",
+}

@@ -43,13 +43,11 @@ EXTRACTED = (
     ", extracted AS (SELECT r.doc_id, r.ref_idx, r.ref_id, r.text AS raw_text, r.number, r.page, f.ext_id, f.citation_key, f.title, f.authors, f.year, f.doi, f.container_title, f.volume, f.page_range FROM refs r LEFT JOIN firsts f ON r.ref_id = f.ref_id)"
 )
 
-#: Names of the providers in catalogue rows and as the rules know them.
-_PROVIDER = F.when(F.col("provider") == "semantic_scholar", "semanticscholar").otherwise(F.col("provider"))
-
 
 def catalogue(spark: SparkSession, root: str) -> DataFrame:
-    """Catalogue records as candidates."""
-    return table(spark, root, "candidates").select("cand_id", "title", "authors", "year", "doi", F.lit(None).cast("string").alias("abstract"), _PROVIDER.alias("source"), "provider_type")
+    """Catalogue records as candidates, the providers named as the rules know them."""
+    provider = F.when(F.col("provider") == "semantic_scholar", "semanticscholar").otherwise(F.col("provider"))
+    return table(spark, root, "candidates").select("cand_id", "title", "authors", "year", "doi", F.lit(None).cast("string").alias("abstract"), provider.alias("source"), "provider_type")
 
 
 def paragraphs(spark: SparkSession, root: str) -> DataFrame:

@@ -83,7 +83,11 @@ _add(
             THEN CAST(generate_series(CAST(regexp_extract(trim(p), '^(\d{1,3})', 1) AS INTEGER), CAST(regexp_extract(trim(p), '(\d{1,3})$', 1) AS INTEGER)) AS INTEGER[]) END) AS ls FROM g)
         SELECT ext_id, CASE WHEN len(list_filter(ls, lambda x: x IS NULL)) = 0 THEN array_to_string(list_transform(flatten(ls), lambda x: CAST(x AS VARCHAR)), ' ') END AS numbers FROM e""",
 )
-_add("t12_collapsed", "parse_results", "paper_id", {"markdown": lambda: X.collapse_math("markdown")}, None)
+_add(
+    "t12_collapsed", "parse_results", "paper_id", {"markdown": lambda: X.collapse_math("markdown")},
+    r"""WITH p AS (SELECT paper_id, string_split(markdown, '$$') AS ps FROM parse_results)
+        SELECT paper_id, array_to_string(list_transform(ps, lambda p, i: CASE WHEN i % 2 = 0 AND (len(ps) % 2 = 1 OR i < len(ps)) AND contains(p, chr(10)) THEN trim(regexp_replace(p, '\s*\n\s*', ' ', 'g')) ELSE p END), '$$') AS markdown FROM p""",
+)
 _add(
     "t13_formula", "parse_results", "paper_id", {"formula": lambda: X.wrap_formula(F.regexp_extract("markdown", r"(?s)(\$\$.*?\$\$)", 1))},
     r"""WITH f AS (SELECT paper_id, trim(regexp_extract(markdown, '(?s)(\$\$.*?\$\$)', 1)) AS t FROM parse_results)

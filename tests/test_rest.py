@@ -195,6 +195,15 @@ def test_streamed_chunks_equal_the_batch(spark, data):
     assert rows(queries["b2_streamed_chunks"](spark, data)) == rows(queries["c3_chunks"](spark, data))
 
 
+def test_queries_are_listed_without_a_session():
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0 and int(done.stdout.split()[0]) > 100, done.stderr
+
+
 def test_contract(spark, data):
     import __spark_entry__ as entry
 
