@@ -16,7 +16,7 @@ from quirelake.sources import readers, writers
 
 
 def main(argv: list[str] | None = None) -> int:
-    """Exit code 0 when something was done (for ``review``: when nothing was missing), else 1."""
+    """Exit code 0 when something was done (for ``review``: when nothing was missing), else 1."""
     parser = argparse.ArgumentParser(prog="quirelake", description=__doc__)
     parser.add_argument("command", choices=("chunk", "review", "export-citations", "typeset"))
     parser.add_argument("path", help="folder or glob of the saved documents")

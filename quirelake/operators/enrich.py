@@ -185,7 +185,7 @@ def no_describer(paths: list[str]) -> dict | None:
 
 
 def describe_figures(tasks: DataFrame, cache: DataFrame | None = None, describer: Callable[[list[str]], dict | None] = no_describer) -> DataFrame:
-    """tasks with ``figure_type`` and ``description`` from ``cache`` (by ``cache_key``) or from ``describer``.
+    """Tasks with ``figure_type`` and ``description`` from ``cache`` (by ``cache_key``) or from ``describer``.
 
     One failing figure gives nulls and no error; a non-figure is described as such and left out when spliced.
     """

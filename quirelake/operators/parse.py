@@ -218,7 +218,7 @@ def page_parts(pages: DataFrame, most: int = 100) -> DataFrame:
 
 
 def merge_parts(parts: DataFrame, rows: DataFrame) -> DataFrame:
-    """``rows`` (``doc_id``, ``part``, ``page``) with ``page`` counted through the parts before, whose ``n_pages`` ``parts`` tells."""
+    """``rows`` (``doc_id``, ``part``, ``page``) with ``page`` counted through the parts before, whose ``n_pages`` ``parts`` tells."""
     before = F.coalesce(F.sum("n_pages").over(Window.partitionBy("doc_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     shift = parts.select("doc_id", "part", before.alias("__before"))
     return rows.join(shift, ["doc_id", "part"]).withColumn("page", (F.col("page") + F.col("__before")).cast("int")).drop("__before")

@@ -93,7 +93,7 @@ def sort_by_number(refs: DataFrame, doc: str = "doc_id", ties: tuple[str, ...] =
 
 
 def missing_numbers(refs: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """A5: ``doc`` and ``missing``, the numbers from 1 to the greatest that no entry has; for bibliographies whose numbers are clean, unique and incomplete."""
+    """``doc`` and ``missing``, the numbers from 1 to the greatest that no entry has; for bibliographies whose numbers are clean, unique and incomplete."""
     rows = refs.select(doc, sort_key().alias("k"))
     stats = rows.groupBy(doc).agg(F.count("k").alias("clean"), F.count(F.lit(1)).alias("n"), F.collect_set("k").alias("have"), F.max("k").alias("top"))
     good = stats.where("clean = n AND size(have) = n AND top >= 1")

@@ -142,12 +142,24 @@ def w5_without_back_matter(spark: SparkSession, root: str) -> DataFrame:
     return C.drop_back_matter(whole)
 
 
+def b1_refined(spark: SparkSession, root: str) -> DataFrame:
+    """Every paper from regions to chunks: body regions and bibliography pages as one document."""
+    from quirelake.operators.pipeline import refine
+
+    body = I.regions(spark, root)
+    pages = body.groupBy("doc_id").agg(F.max("page").alias("last"))
+    entries = I.refs(spark, root).join(pages, "doc_id")
+    none = F.lit(None).cast("string")
+    cited = entries.select("doc_id", (F.col("last") + 1 + F.floor(F.col("ref_idx") / 40)).cast("int").alias("page"), F.col("ref_idx").alias("idx"), F.lit("text").alias("label"), F.lit("reference_content").alias("native_label"), F.col("text").alias("content"), F.lit(None).cast("array<double>").alias("bbox"), none.alias("image_path"))
+    return refine(body.unionByName(cited), I.catalogue(spark, root)).chunks.select("doc_id", "idx", "page_start", "page_end", "overlap_chars", "overlap_mode", "text")
+
+
 QUERIES = {
     n: f
     for n, f in globals().items()
     if callable(f) and n in (
         "parse1_dispatch parse2_kept parse3_pairs parse4_reclaimed parse5_emitted parse6_markdown parse7_crops o1_runs o1_reading_order s2_parts s4_labels w19_offset_pages w7_merged_entries w8_without_boilerplate "
-        "w9_without_index o2_sorted_refs a5_missing_numbers j16_recovered k6_references_markdown g5_repaired c1_sections c3_chunks w1_pages w2_merged w5_without_back_matter"
+        "w9_without_index o2_sorted_refs a5_missing_numbers j16_recovered k6_references_markdown g5_repaired c1_sections c3_chunks w1_pages w2_merged w5_without_back_matter b1_refined"
     ).split()
 }
 

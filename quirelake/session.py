@@ -47,7 +47,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` as parquet in the shared folder and read it back.
+    """K4: write ``df`` as parquet in the shared folder and read it back.
 
     Cuts the lineage so that a lost executor costs only the tasks that follow, and lets two
     consumers share one computation. The files go when the session's process ends.

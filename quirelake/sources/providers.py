@@ -38,7 +38,7 @@ def with_backoff(call: Callable[[], object], attempts: int = 3, base_s: float =
 
 
 class Client:
-    """Lookups of one provider: cache, cooldown, spacing, retries; None on failure, and failures aren't cached."""
+    """Lookups of one provider: cache, cooldown, spacing, retries; None on failure, and failures aren't cached."""
 
     def __init__(self, provider: str, transport: Callable[[str], object], cache: dict | None = None, spacing_s: float = 0.0, attempts: int = 3, after: int = 3, cooldown_s: float = 600.0, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> None:
         self.provider, self.transport, self.cache = provider, transport, cache if cache is not None else {}

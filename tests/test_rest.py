@@ -144,7 +144,7 @@ def test_manifests_and_readers(spark, tmp_path):
     writers.write_texts(writers.chunk_manifests(chunks), str(tmp_path / "out"))
     assert (tmp_path / "out" / "doc_id=d").exists()
     (tmp_path / "docs" / "one").mkdir(parents=True)
-    (tmp_path / "docs" / "one" / "refinery.md").write_text("# T\n\ntext")
+    (tmp_path / "docs" / "one" / "text.md").write_text("# T\n\ntext")
     assert rows(readers.read_markdown(spark, str(tmp_path / "docs" / "*" / "*.md")).select("doc_id", "markdown")) == [("one", "# T\n\ntext")]
     (tmp_path / "a.pdf").write_bytes(b"%PDF-1.4 /Type /Page x /Type/Page /Type /Pages")
     assert readers.read_pdfs(spark, str(tmp_path)).first().n_pages == 2
@@ -228,3 +228,33 @@ def test_against_sql(spark, data, name):
     got = entry.queries()[name](spark, data)
     assert sorted(got.columns) == sorted(columns)
     assert sorted(map(repr, (tuple(r) for r in got.select(*columns).collect()))) == sorted(map(repr, want.fetchall()))
+
+
+def test_whole_pipeline(spark):
+    from quirelake import schemas
+    from quirelake.operators.pipeline import refine
+
+    items = [("d", 1, 0, "text", "doc_title", "A title", None, None), ("d", 1, 1, "text", "text", "As [1] and [2] show, it holds. " * 40, None, None), ("d", 2, 0, "text", "reference", "[1]", None, None), ("d", 2, 1, "text", "reference_content", "Boyd, S. “Learning convex optostratification from colour,” J. of X, 2009.", None, None)]
+    items += [("d", 2, 2, "text", "text", "[2] Lee, K. “Smooth manifolds and periodic things revisited,” J. of Y, 2012.", None, None), ("void", 1, 0, "text", "header", "h", None, None)]
+    regions = spark.createDataFrame(items, schemas.REGIONS)
+    catalogue = spark.createDataFrame([(1, "Learning convex optostratification from colour", [("Boyd", "S.")], 2009, None, None, "crossref", "book")], "cand_id bigint, title string, authors array<struct<family:string,given:string>>, year int, doi string, abstract string, source string, provider_type string")
+    out = refine(regions, catalogue)
+    assert [(r.ref_idx, r.verified) for r in out.resolved.orderBy("ref_idx").collect()] == [(0, True), (1, False)]
+    text = {r.doc_id: r.markdown for r in out.markdown.collect()}["d"]
+    assert "[boyd_2009]" in text and "[2]" in text and rows(out.failed) == [("void", "no text")]
+    assert {r.doc_id for r in out.chunks.collect()} == {"d"} and rows(out.links.select("doc_id", "style"))[0] == ("d", "numbered-bracket")
+    assert refine(regions.limit(0), catalogue).chunks.count() == 0
+
+
+def test_cache_files(tmp_path):
+    from quirelake.sources import files
+
+    path = files.cache_path(tmp_path / "c", "key")
+    assert files.cache_path(None, "key") is None and files.read_cached(path) is None
+    files.write_cached(path, {"a": 1})
+    assert files.read_cached(path) == {"a": 1}
+    path.write_text("{broken")
+    assert files.read_cached(path) is None and files.read_cached(None) is None
+    for name in ("p1_0.png", "fig_2.1.png", "mine.png"):
+        (tmp_path / name).write_bytes(b"")
+    assert files.clear_crops(tmp_path) == 2 and (tmp_path / "mine.png").exists()
