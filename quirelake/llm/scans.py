@@ -28,7 +28,7 @@ MISREADINGS = (
 )
 #: A correction needs a variant at least so many times as frequent as the word itself: less for a
 #: long word, which rarely resembles another by chance, and least for a digit among letters.
-RATIO = 20
+RATIO = 10
 RATIO_LONG = 5
 RATIO_DIGIT = 2
 LONG = 9

@@ -135,7 +135,7 @@ def test_anagram_hash_matches_brute_force(spark):
                 if w.startswith(bad, at):
                     v = w[:at] + good + w[at + len(bad) :]
                     m = {x: c for _, x, c in counts}.get(v, 0)
-                    ratio = 2 if any(c.isdigit() for c in bad) else 5 if len(w) >= 9 else 20
+                    ratio = 2 if any(c.isdigit() for c in bad) else 5 if len(w) >= 9 else 10
                     if m >= ratio * n:
                         able.append((m, -rank, v))
         if able:
