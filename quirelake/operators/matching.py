@@ -85,7 +85,7 @@ def _key(*parts) -> int:
 def record(title: str | None, authors, year: int | None, doi: str | None, venue: str | None, asks: bool) -> Record:
     """A record with its block keys; ``asks`` tells the two sides apart.
 
-    Records meet in blocks of a title's MinHash, the start or end of an author's name, and the year:
+    Records meet in blocks of a title's MinHash, the start or end of any word of an author's name, and the year:
     each year belongs to two overlapping pairs of years, so that neighbours share one. What a record
     lacks (authors, year) no block of its may ask for: for each side there are blocks without it, which
     the lacking records of that side and all records of the other file. So two complete records never
@@ -101,8 +101,9 @@ def record(title: str | None, authors, year: int | None, doi: str | None, venue:
         years = [] if year is None else [("e", year // 2), ("o", (year + 1) // 2)]
         # blocks without a year: filed for the other side's records that lack it, and for the own one where this one lacks it
         yearless = [("n", other)] + [("n", own)] * (year is None)
-        long = {max(a.split(), key=len) for a in names}
-        ends = {w[:HEAD] + "-" for w in long} | {"-" + w[-TAIL:] for w in long if len(w) > TAIL}
+        # every word of an author: which one is the longest changes with what is shortened, left out or put first
+        words = {w for a in names for w in a.split()}
+        ends = {w[:HEAD] + "-" for w in words} | {"-" + w[-TAIL:] for w in words if len(w) > TAIL}
         keys.update(_key("a", i, low[i], w, *y) for i in range(SINGLES) for w in ends for y in years + yearless)
         for band in range(BANDS):
             mark = low[band * ROWS : (band + 1) * ROWS]

@@ -176,6 +176,15 @@ def test_blocks_find_what_brute_force_finds(spark, data):
     assert sure > 20 and found >= 0.97 * sure
 
 
+@pytest.mark.parametrize("typed, listed", [
+    (("CQI, Brezokoremel", None), ("Center for Quantum Immunology, Brezokoremel", None)), (("Inst. for Theor. Immunology, Puhufupudel", None), ("Institute for Theoretical Immunology, Puhufupudel", None)),
+    (("Gifochalusen, Center for Experimental Cryptology", None), ("Center for Experimental Cryptology, Gifochalusen", None)), (("Boyd", "Alexandrina"), ("Boyd", "A.")),
+])
+def test_any_word_of_an_author_makes_a_block(typed, listed):
+    make = lambda a, asks: M.record("Adaptive growth of crystals in periodic water", [dict(zip(("family", "given"), a))], 2000, None, None, asks)
+    assert set(make(typed, True).keys) & set(make(listed, False).keys)
+
+
 def test_calibration_orders_pairs():
     import numpy as np
 
