@@ -87,17 +87,50 @@ def match_by_doi(refs: DataFrame, candidates: DataFrame, doi: Column) -> DataFra
     return left.join(right, "k").select("doc_id", "ref_idx", "cand_id")
 
 
+def within_bound(x: Column, y: Column, least: float) -> Column:
+    """Whether two titles, normalised, can agree to ``least`` by their edit distance: the letters outside the matching blocks are edits enough. Exact, so it drops nothing."""
+    both = F.length(x) + F.length(y)
+    most = F.floor(F.lit(1 - least) * both + 1e-9).cast("int")
+    return F.levenshtein(x, y) <= most
+
+
+def _first_family(authors: pd.Series) -> pd.Series:
+    return authors.map(first_family)
+
+
+def title_keys(title: str, authors: str, year: str) -> Column:
+    """Blocks of a title as ``struct(k, core)``: pairs of its five longest words (``core``: of its three longest, or a title's only word), each word of up to four, the first and last 16 letters, and first family and year.
+
+    A pair between the two bars is accepted only with equal first families and years, so the last of these loses no such pair.
+    """
+    _first_family.__annotations__ = {"authors": pd.Series, "return": pd.Series}
+    family = F.pandas_udf(_first_family, "string")(F.col(authors))
+    text = X.normalize_title(title)
+    order = lambda x, y: F.when(F.length(x) != F.length(y), F.length(y) - F.length(x)).when(x < y, F.lit(-1)).when(x > y, F.lit(1)).otherwise(F.lit(0))
+    every = F.array_sort(F.array_distinct(F.split(text, " ")), order)
+    w = F.slice(every, 1, 5)
+    block = lambda k, core: F.struct(k.alias("k"), core.alias("core"))
+    two = F.flatten(F.transform(w, lambda x, i: F.transform(F.slice(w, i + 2, F.lit(5)), lambda y, j: block(F.concat_ws(" ", F.array_sort(F.array(x, y))), i + j < 2))))
+    one = F.when(F.size(every) <= 4, F.transform(w, lambda x: block(x, F.size(every) == 1))).otherwise(F.array().cast("array<struct<k:string,core:boolean>>"))
+    close = F.regexp_replace(text, " ", "")
+    rest = F.array(block(F.concat(F.lit("<"), F.left(close, F.lit(16))), F.lit(False)), block(F.concat(F.lit(">"), F.right(close, F.lit(16))), F.lit(False)), block(F.concat(F.lit("@"), family, F.lit("|"), F.col(year).cast("string")), F.lit(False)))
+    return F.filter(F.concat(two, one, rest), lambda x: x["k"].isNotNull())
+
+
 def title_pairs(refs: DataFrame, candidates: DataFrame, config: CitationConfig = DEFAULT) -> DataFrame:
-    """Pairs of references and candidates that share two of a title's three longest words, with ``similarity`` and ``accepted``.
+    """Pairs of references and candidates that meet in a block of :func:`title_keys`, with ``similarity`` and ``accepted``.
 
-    The blocks replace a provider's title search; a pair of titles as similar as the lower bar shares
-    them unless several of its longest words are misspelt. The cheap length bound comes before the similarity.
+    The blocks replace a provider's title search. Pairs on two of the three longest words are kept whatever
+    their similarity, as near misses; those that only the other blocks give must be able to reach the lower bar.
+    The cheap exact bounds come before the similarity.
     """
-    words = lambda t: F.slice(F.array_sort(F.array_distinct(F.split(X.normalize_title(t), " ")), lambda x, y: F.when(F.length(x) != F.length(y), F.length(y) - F.length(x)).when(x < y, F.lit(-1)).when(x > y, F.lit(1)).otherwise(F.lit(0))), 1, 3)
-    two = lambda w: F.when(F.size(w) < 2, w).otherwise(F.array_distinct(F.filter(F.array(F.concat_ws(" ", F.array_sort(F.array(w[0], w[1]))), F.concat_ws(" ", F.array_sort(F.array(w[0], F.get(w, 2)))), F.concat_ws(" ", F.array_sort(F.array(w[1], F.get(w, 2))))), lambda k: k.contains(" "))))
-    left = refs.where(X.searchable("title")).select("doc_id", "ref_idx", "title", "authors", "year").withColumn("__w", words("title")).withColumn("k", F.explode(two(F.col("__w")))).drop("__w")
-    right = candidates.where(X.searchable("title")).select("cand_id", F.col("title").alias("c_title"), F.col("authors").alias("c_authors"), F.col("year").alias("c_year"), "source", "provider_type", F.col("doi").alias("c_doi")).withColumn("__w", words("c_title")).withColumn("k", F.explode(two(F.col("__w")))).drop("__w")
-    pairs = left.join(right, "k").where(length_bound(F.col("title"), F.col("c_title"), config.near)).drop("k").dropDuplicates(["doc_id", "ref_idx", "cand_id"])
+    keyed = lambda df, t, a, y, core: df.withColumn("__k", F.explode(title_keys(t, a, y))).withColumn("k", F.col("__k.k")).withColumn(core, F.col("__k.core")).withColumn(core + "n", X.normalize_title(t)).drop("__k")
+    left = keyed(refs.where(X.searchable("title")).select("doc_id", "ref_idx", "title", "authors", "year"), "title", "authors", "year", "__l")
+    right = keyed(candidates.where(X.searchable("title")).select("cand_id", F.col("title").alias("c_title"), F.col("authors").alias("c_authors"), F.col("year").alias("c_year"), "source", "provider_type", F.col("doi").alias("c_doi")), "c_title", "c_authors", "c_year", "__r")
+    short, long = F.least(F.length("__ln"), F.length("__rn")), F.greatest(F.length("__ln"), F.length("__rn"))
+    pairs = left.join(right, "k").where(2 * short >= F.lit(config.near) * (short + long))
+    pairs = pairs.where((F.col("__l") & F.col("__r")) | within_bound(F.col("__ln"), F.col("__rn"), config.near))
+    pairs = pairs.drop("k", "__l", "__r", "__ln", "__rn").dropDuplicates(["doc_id", "ref_idx", "cand_id"])
     made = judge_columns(config)(*(F.col(c) for c in ("title", "authors", "year", "c_title", "c_authors", "c_year")))
     return pairs.withColumn("__j", made).select("doc_id", "ref_idx", "cand_id", "source", "provider_type", "c_title", "c_year", "c_doi", F.col("__j.similarity").alias("similarity"), F.col("__j.accepted").alias("accepted"))
 

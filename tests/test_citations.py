@@ -133,6 +133,19 @@ def test_best_of_equals_is_first(spark):
     assert R.best_match(R.title_pairs(refs, cands)).first().cand_id == 3
 
 
+def test_misread_long_words_are_found(spark):
+    pairs = [
+        ("Learning longitudinal cytocrystallization from robust carbon via laminar viscosity", "Learning lon9itudinal cytocrystalhzation from robust carbon via laminar viscosity", 0.9),
+        ("Kernel of polysynchronization in localisation of a cold river", "Kernel of polys ynchronization in localization of a cold river", 0.9), ("Compressed sensing", "Compressive sensing", 0.75), ("Quick measured signals", "Quick measuring signal", 0.75),
+    ]
+    a = [("Boyd", "S.")]
+    refs = spark.createDataFrame([("d", i, "raw", y, a, 2009, None, None, None) for i, (_, y, _) in enumerate(pairs)], REF)
+    cands = spark.createDataFrame([(i, x, a, 2009, None, None, "crossref", "book") for i, (x, _, _) in enumerate(pairs)], CAND)
+    got = {(r.ref_idx, r.cand_id): r for r in R.title_pairs(refs, cands).collect()}
+    for i, (_, _, least) in enumerate(pairs):
+        assert got[i, i].similarity >= least and got[i, i].accepted
+
+
 def brute_dedup(pool):
     dois, titles, kept = set(), set(), []
     for i, title, doi in pool:
