@@ -203,7 +203,10 @@ def words_of(text: str | None) -> tuple[list[str], list[str]]:
 
 
 def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    """``kind`` (w: word, b: break), ``word`` and ``n`` over all texts; counts are summed in each task before the shuffle."""
+    """``kind`` (w: word, b: break), ``word`` and ``n`` over all distinct texts; counts are summed in each task before the shuffle.
+
+    A text counts once however many rows hold it: copies are no evidence of how a word is spelt.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter[str] = Counter()
@@ -224,7 +227,7 @@ def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
                 breaks.clear()
         yield made()
 
-    counted = df.select(F.col(text).cast("string")).mapInArrow(run, "kind string, word string, n bigint")
+    counted = df.select(F.col(text).cast("string")).distinct().mapInArrow(run, "kind string, word string, n bigint")
     return counted.groupBy("kind", "word").agg(F.sum("n").alias("n"))
 
 

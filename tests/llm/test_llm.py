@@ -105,6 +105,13 @@ def scanned(spark):
     return spark.createDataFrame([(i, t, "c") for i, t in [*enumerate(clean), *broken]], "rec_id bigint, text string, repaired string")
 
 
+def test_copies_of_a_noisy_text_are_repaired(spark):
+    df = scanned(spark).select("rec_id", "text")
+    copies = spark.createDataFrame([(5000 + i, "the frarnework of 5tability") for i in range(150)], df.schema)
+    out = {r.rec_id: r for r in scans.repair_scans(df.unionByName(copies), ("rec_id",)).collect()}
+    assert all(out[5000 + i].repaired == "the framework of stability" and out[5000 + i].n_misread == 2 for i in range(150))
+
+
 def test_scan_repair(spark):
     df = scanned(spark)
     out = {r.rec_id: r for r in scans.repair_scans(df, ("rec_id",)).collect()}
