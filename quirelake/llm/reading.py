@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Labelled documents the model is fitted on at most, the first by a hash of their id: the model's only bound.
+from quirelake.session import stage
+
+#: Labelled documents the calibration is fitted on at most, the first by a hash of their id; words are graded by all.
 SAMPLE = 6000
-#: Words that take part occur in so many sample documents at least.
+#: Words that take part occur in so many labelled documents at least.
 LEAST_DOCS = 3
 QUANTILES = (0.1, 0.25, 0.5, 0.75, 0.9)
 LEVELS = (1, 2, 3, 4)
@@ -96,6 +98,56 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(1, keepdims=True)
 
 
+def grades_of(counts: dict[str, np.ndarray], total: np.ndarray) -> dict[str, float]:
+    """Acquisition grades of the words with their ``counts`` (occurrences, then documents, by level) among ``total`` words by level."""
+    grades = {}
+    for w, c in counts.items():
+        if c[len(LEVELS) :].sum() >= LEAST_DOCS:
+            share = (c[: len(LEVELS)] + 0.1) / total
+            share /= share.sum()
+            grades[w] = float((np.arange(len(LEVELS)) * share).sum() / (len(LEVELS) - 1))
+    return grades
+
+
+def count_words(rows) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Counts of each word and words in all by level, of (words, level from 0) pairs."""
+    counts: dict[str, np.ndarray] = {}
+    total = np.zeros(len(LEVELS))
+    for words, level in rows:
+        for w, n in Counter(words).items():
+            if w not in counts:
+                counts[w] = np.zeros(2 * len(LEVELS))
+            counts[w][level] += n
+            counts[w][len(LEVELS) + level] += 1
+        total[level] += len(words)
+    return counts, total
+
+
+def _empty() -> Model:
+    return Model({}, np.zeros((len(QUANTILES) + 4, len(LEVELS))), np.zeros(len(QUANTILES) + 3), np.ones(len(QUANTILES) + 3), QUANTILES)
+
+
+def calibrate(rows: list[list[str]], y: np.ndarray, keep: np.ndarray, grades: dict[str, float]) -> Model:
+    """The logistic calibration of levels ``y`` (from 0) on the grades of the words of ``rows``, those of ``keep``."""
+    x = np.array([features(w, grades) for w in rows])
+    mean, scale = x[keep].mean(0), x[keep].std(0) + 1e-6
+    z = np.c_[(x - mean) / scale, np.ones(len(x))]
+    weights = np.zeros((z.shape[1], len(LEVELS)))
+    zk, tk = z[keep], np.eye(len(LEVELS))[y][keep]
+    step = np.zeros_like(weights)
+    for _ in range(600):
+        gradient = zk.T @ (_softmax(zk @ weights) - tk) / len(zk) + 1e-4 * weights
+        step = 0.9 * step - 0.5 * gradient
+        weights += step
+    return Model(grades, weights, mean, scale, QUANTILES)
+
+
+def plausible(words: list[str], level: int, model: Model) -> bool:
+    """Whether ``model`` doesn't find the label ``level`` (from 0) far off."""
+    z = np.append((features(words, model.grades, model.quantiles) - model.mean) / model.scale, 1.0)
+    return bool(_softmax((z @ model.weights)[None])[0, level] > 0.05)
+
+
 def fit(texts: list[str], levels: list[int], rounds: int = 2) -> Model:
     """Grades and calibration from graded texts; a second round leaves out labels the first finds far off.
 
@@ -104,38 +156,11 @@ def fit(texts: list[str], levels: list[int], rounds: int = 2) -> Model:
     rows = [prose_words(t) for t in texts]
     y = np.array(levels, int) - 1
     keep = np.ones(len(y), bool)
-    model = Model({}, np.zeros((len(QUANTILES) + 4, len(LEVELS))), np.zeros(len(QUANTILES) + 3), np.ones(len(QUANTILES) + 3), QUANTILES)
+    model = _empty()
     for _ in range(rounds if len(y) else 0):
-        counts: dict[str, np.ndarray] = {}
-        total = np.ones(len(LEVELS))
-        for words, level, k in zip(rows, y, keep):
-            if k:
-                for w, n in Counter(words).items():
-                    if w not in counts:
-                        counts[w] = np.zeros(2 * len(LEVELS))
-                    counts[w][level] += n
-                    counts[w][len(LEVELS) + level] += 1
-                total[level] += len(words)
-        grades = {}
-        for w, c in counts.items():
-            if c[len(LEVELS) :].sum() >= LEAST_DOCS:
-                share = (c[: len(LEVELS)] + 0.1) / total
-                share /= share.sum()
-                grades[w] = float((np.arange(len(LEVELS)) * share).sum() / (len(LEVELS) - 1))
-        x = np.array([features(w, grades) for w in rows])
-        mean, scale = x[keep].mean(0), x[keep].std(0) + 1e-6
-        z = np.c_[(x - mean) / scale, np.ones(len(x))]
-        weights = np.zeros((z.shape[1], len(LEVELS)))
-        target = np.eye(len(LEVELS))[y]
-        zk, tk = z[keep], target[keep]
-        step = np.zeros_like(weights)
-        for _ in range(600):
-            gradient = zk.T @ (_softmax(zk @ weights) - tk) / len(zk) + 1e-4 * weights
-            step = 0.9 * step - 0.5 * gradient
-            weights += step
-        model = Model(grades, weights, mean, scale, QUANTILES)
-        p = _softmax(z @ weights)
-        keep = p[np.arange(len(y)), y] > 0.05
+        counts, total = count_words((w, k) for w, k, kept in zip(rows, y, keep) if kept)
+        model = calibrate(rows, y, keep, grades_of(counts, total + 1))
+        keep = np.array([plausible(w, k, model) for w, k in zip(rows, y)])
     return model
 
 
@@ -144,12 +169,38 @@ def predict(words: list[str], model: Model) -> int:
     return int(np.argmax(z @ model.weights)) + 1
 
 
-def fit_levels(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """The model of at most ``sample`` labelled documents of ``documents``, chosen by a hash of ``doc_id``."""
-    chosen = labels.where(F.col("level").isin(*LEVELS)).select("doc_id", F.col("level").cast("int").alias("level")).orderBy(F.xxhash64("doc_id"), "level").limit(sample)
-    rows = documents.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").where("text IS NOT NULL").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.level))
-    return fit([r.text for r in rows], [r.level for r in rows])
+def _grades(labelled: DataFrame, model: Model | None) -> dict[str, float]:
+    """Grades from all ``labelled`` texts, with ``model`` those whose labels it doesn't find far off; counted within each task before the shuffle."""
+    shared = labelled.sparkSession.sparkContext.broadcast(model)
+    names = [f"n{i}" for i in range(2 * len(LEVELS))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            rows = ((prose_words(t), k - 1) for t, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            counts, _ = count_words((w, k) for w, k in rows if model is None or plausible(w, k, model))
+            columns = np.array(list(counts.values())).reshape(-1, len(names)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *(pa.array(c) for c in columns.T)], ["word", *names])
+
+    each = labelled.select("text", "level").mapInArrow(run, "word string, " + ", ".join(f"{n} bigint" for n in names))
+    summed = stage(each.groupBy("word").agg(*(F.sum(n).alias(n) for n in names)))
+    total = np.array([v or 0 for v in summed.agg(*(F.sum(n) for n in names[: len(LEVELS)])).first()], float)
+    known = summed.where(" + ".join(names[len(LEVELS) :]) + f" >= {LEAST_DOCS}").orderBy("word")
+    return grades_of({r[0]: np.array(r[1:], float) for r in known.toLocalIterator()}, total + 1)
+
+
+def fit_levels(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int = 2) -> Model:
+    """As :func:`fit`: grades from all labelled documents of ``documents``, calibration on at most ``sample`` of them, chosen by a hash of ``doc_id``."""
+    marked = labels.where(F.col("level").isin(*LEVELS)).select("doc_id", F.col("level").cast("int").alias("level"))
+    labelled = stage(documents.select("doc_id", F.col("text").cast("string").alias("text")).where("text IS NOT NULL").join(marked, "doc_id"))
+    chosen = labelled.orderBy(F.xxhash64("doc_id"), "doc_id", "level").limit(sample).collect()
+    chosen.sort(key=lambda r: (r.doc_id, r.level))
+    rows, y = [prose_words(r.text) for r in chosen], np.array([r.level for r in chosen], int) - 1
+    keep, model = np.ones(len(y), bool), None
+    for _ in range(rounds if len(y) else 0):
+        model = calibrate(rows, y, keep, _grades(labelled, model))
+        keep = np.array([plausible(w, k, model) for w, k in zip(rows, y)])
+    return model or _empty()
 
 
 def reading_levels(documents: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:

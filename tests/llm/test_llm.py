@@ -205,6 +205,15 @@ def test_levels_table(spark):
     assert reading.reading_levels(df.limit(0), empty).count() == 0 and reading.predict(["x"], empty) in (1, 2, 3, 4)
 
 
+def test_words_are_graded_by_all_labelled_texts(spark):
+    easy, hard = "We can see the red hat and the big dog in the sun. ", "The ergodic regularization of the manifold is contingent upon the parametrization of this hypothesis. "
+    docs = [(i, (easy, hard)[i % 2] * 3 + f"word{chr(97 + i // 8)}x") for i in range(80)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, (1, 4)[i % 2]) for i in range(80)], "doc_id bigint, level int")
+    small, whole = reading.fit_levels(df, labels, sample=20), reading.fit([t for _, t in docs], [(1, 4)[i % 2] for i in range(80)])
+    assert small.grades == pytest.approx(whole.grades) and {f"word{chr(97 + i)}x" for i in range(10)} <= set(small.grades)
+
+
 def test_queries_run(spark, data):
     for name, query in queries.QUERIES.items():
         df = query(spark, data)
