@@ -185,6 +185,12 @@ def test_any_word_of_an_author_makes_a_block(typed, listed):
     assert set(make(typed, True).keys) & set(make(listed, False).keys)
 
 
+def test_misspelt_short_titles_are_compared_whole():
+    make = lambda t, asks: M.record(t, [{"family": "Kopisenunok", "given": "H."}], 2000, "10.5555/x.1", None, asks)._asdict()
+    v = dict(zip(M.FEATURES, M.pair_features(make("Optical crystalography methds", True), make("Optical crystallography methods", False))))
+    assert v["trigrams"] > 0.5 and v["author_share"] == 1 and v["doi_same"] == 1
+
+
 def test_calibration_orders_pairs():
     import numpy as np
 
