@@ -24,7 +24,7 @@ MARKED = (("chunks", "chunk_id", "text"), ("parse_results", "paper_id", "markdow
 
 
 def p1_found(spark: SparkSession, root: str) -> DataFrame:
-    made = markup.clean_markup(_texts(spark, root, MARKED), ("tbl", "rec_id"), with_text=False)
+    made = markup.clean_markup(_texts(spark, root, MARKED), ("tbl", "rec_id"))
     return made.where("n_marks > 0").select("tbl", "rec_id")
 
 

@@ -112,6 +112,13 @@ def test_copies_of_a_noisy_text_are_repaired(spark):
     assert all(out[5000 + i].repaired == "the framework of stability" and out[5000 + i].n_misread == 2 for i in range(150))
 
 
+def test_marked_rows_come_from_the_whole_method(spark, data, monkeypatch):
+    asked, whole = [], markup.clean_markup
+    monkeypatch.setattr(markup, "clean_markup", lambda *a, with_text=True: asked.append(with_text) or whole(*a, with_text=with_text))
+    queries.p1_found(spark, data)
+    assert asked == [True]
+
+
 def test_scan_repair(spark):
     df = scanned(spark)
     out = {r.rec_id: r for r in scans.repair_scans(df, ("rec_id",)).collect()}
