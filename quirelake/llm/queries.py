@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirelake.llm import lookalike, markup, mixing, reading, scans, tokens
+from quirelake.llm import lookalike, markup, matching, mixing, names, neardup, reading, scans, splitting, tokens
 from quirelake.session import table
 
 #: The text columns of the domain's tables that problems 1, 3, 6 and 7 name: table, key, text.
@@ -47,6 +47,39 @@ def p3_repaired(spark: SparkSession, root: str) -> DataFrame:
     return _repaired(spark, root, True)
 
 
+def p2_groups(spark: SparkSession, root: str) -> DataFrame:
+    return neardup.entry_groups(table(spark, root, "raw_refs"))
+
+
+def p2_found(spark: SparkSession, root: str) -> DataFrame:
+    return neardup.pairs_within(p2_groups(spark, root), "ref_id", "entry", ("ref_id_a", "ref_id_b"))
+
+
+def p4_entities(spark: SparkSession, root: str) -> DataFrame:
+    return names.link_names(table(spark, root, "author_names"), table(spark, root, "given_aliases"))
+
+
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    return neardup.pairs_within(p4_entities(spark, root), "name_id", "entity", ("name_id_a", "name_id_b"))
+
+
+def p5_matches(spark: SparkSession, root: str) -> DataFrame:
+    return matching.match_records(table(spark, root, "extracted_refs"), table(spark, root, "candidates"), ("ext_id", "cand_id"))
+
+
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    return p5_matches(spark, root).select("ext_id", "cand_id")
+
+
+def p7_pieces(spark: SparkSession, root: str) -> DataFrame:
+    return splitting.split_oversized(_texts(spark, root, MARKED), ("tbl", "rec_id"))
+
+
+def p7_found(spark: SparkSession, root: str) -> DataFrame:
+    made = splitting.split_oversized(_texts(spark, root, MARKED), ("tbl", "rec_id"), with_text=False)
+    return made.where("piece = 1").select("tbl", "rec_id")
+
+
 def p6_unified(spark: SparkSession, root: str) -> DataFrame:
     return lookalike.unify_text(_texts(spark, root, NAMES), "text").select("tbl", "rec_id", "form", F.array_join("traits", ",").alias("traits"))
 
@@ -94,10 +127,18 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_clean": p1_clean,
+    "p2_found": p2_found,
+    "p2_groups": p2_groups,
     "p3_found": p3_found,
     "p3_repaired": p3_repaired,
+    "p4_found": p4_found,
+    "p4_entities": p4_entities,
+    "p5_found": p5_found,
+    "p5_matches": p5_matches,
     "p6_found": p6_found,
     "p6_unified": p6_unified,
+    "p7_found": p7_found,
+    "p7_pieces": p7_pieces,
     "p8_ids": p8_ids,
     "p8_decoded": p8_decoded,
     "p9_mix": p9_mix,
@@ -116,5 +157,7 @@ _MIXED = r"\p{Latin}\p{L}*[\p{Greek}\p{Cyrillic}]|[\p{Greek}\p{Cyrillic}]\p{L}*\
 ORACLES: dict[str, str] = {
     "p6_found": f"""WITH t AS (SELECT 'author_names' AS tbl, name_id AS rec_id, family AS text FROM author_names UNION ALL SELECT 'extracted_refs', ext_id, title FROM extracted_refs)
         SELECT tbl, rec_id FROM t WHERE regexp_matches(text, '{_SHOWN}') OR regexp_matches(regexp_replace(text, '[{_HIDDEN}]', '', 'g'), '{_MIXED}')""",
+    "p7_found": """SELECT 'parse_results' AS tbl, paper_id AS rec_id FROM parse_results WHERE length(markdown) > 6000
+        UNION ALL SELECT 'chunks', chunk_id FROM chunks WHERE length(text) > 6000""",
     "p8_decoded": "SELECT doc_id, coalesce(text, '') AS text, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n_bytes FROM documents",
 }
