@@ -11,9 +11,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules() -> list:
-    from quirelake.plans import citations, documents, figures, pairs, scalars
+    from quirelake.plans import citations, documents, figures, scalars
 
-    return [scalars, documents, citations, figures, pairs]
+    return [scalars, documents, citations, figures]
 
 
 def queries() -> dict[str, Query]:

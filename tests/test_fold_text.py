@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from quirelake.functions import blocks, fold
 from quirelake.functions import text as X
-from quirelake.functions.trie import Trie, osa
 
 
 def one(spark, value, *columns):
@@ -115,13 +114,6 @@ def test_similarity_depends_on_order():
     assert blocks.title_similarity(None, None) == 1.0 or blocks.title_similarity(None, None) == 0.0
 
 
-@given(st.lists(st.text("abc", min_size=1, max_size=6), max_size=20), st.text("abc", min_size=1, max_size=6), st.integers(0, 2))
-@settings(max_examples=300, deadline=None)
-def test_trie_finds_all_within_bound(words, query, bound):
-    found = dict(Trie(words).near(query, bound))
-    assert found == {w: osa(w, query) for w in words if osa(w, query) <= bound}
-
-
 def test_abstract_round_trip(spark):
     df = spark.createDataFrame([({"b": [1, 3], "a": [0], "c": [2]},), ({},), (None,)], "m map<string,array<int>>")
     assert [r.t for r in df.select(X.reconstruct_abstract("m").alias("t")).collect()] == ["a b c b", None, None]
