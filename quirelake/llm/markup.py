@@ -353,40 +353,74 @@ class Block(NamedTuple):
     links: int
 
 
-#: The small labelled table: three neighbouring blocks in source form, and whether the middle one is content (1) or furniture (0).
-LABELLED = (
-    ("# Results", "The error of the motor decreases with the size of the sample.", "As reported earlier, it holds.", 1),
-    ("The error decreases.", "See [the model](https://x.org/a) for more.", "It follows that no link was found.", 1),
-    ("It holds.", "[https://x.org/a the model]", "The record is long and has many words in it.", 1),
-    ("The record is long.", "A [[model]] of the observation.", "The error decreases.", 1),
-    ("The record is long.", "# Methods", "Two sets of data were used to test it.", 1),
-    ("The record is long.", "- one item\n- another item", "Two sets of data were used.", 1),
-    ("The record is long.", "$$\nx = y\n$$", "Two sets of data were used.", 1),
-    ("The record is long.", "```\nx = a[0]\n```", "Two sets of data were used.", 1),
-    ("The record is long.", "| a | b |\n|---|---|\n| 1 | 2 |", "Two sets of data were used.", 1),
-    ("The record is long.", "<page_number>7</page_number>", "Two sets of data were used.", 1),
-    ("The record is long.", "![a curve](crops/p1.png)", "Two sets of data were used.", 1),
-    ("The record is long.", "[[File:a.png|thumb|A curve of the model]]", "Two sets of data were used.", 1),
-    ("Two sets.", "Consult <https://x.org/a> for the value.", "The record is long.", 1),
-    ("", "It is short.", "", 1),
-    ("", "[one](https://x.org/1)", "", 1),
-    ("The record is long.", "[[Category:Models]]", "", 0),
-    ("The record is long.", "[1]: https://x.org/a", "", 0),
-    ("# Results", "__NOTOC__", "The record is long.", 0),
-    ("The record is long.", "<!-- left out -->", "The record is long.", 0),
-    ("", "[Home](/) | [About](/about) | [Contact](/contact) | [Login](/login)", "[Terms](/terms) [Privacy](/privacy)", 0),
-    ("[Home](/) | [About](/about) | [Contact](/contact)", "[Terms](/terms) [Privacy](/privacy) [Imprint](/imprint)", "", 0),
-    ("The record is long.", "<a href='/p'>Previous</a> <a href='/n'>Next</a> <a href='/t'>Top</a>", "", 0),
-    ("[Home](/) | [About](/about)", "# Results", "The record is long.", 1),
-    ("[Home](/) | [About](/about) | [Contact](/contact)", "The record is long and has words.", "[Terms](/terms) [Privacy](/privacy)", 1),
-)
+# The blocks of the labelled table, in source form. Prose with and without links, captions and short lines are content;
+# navigation and lists of links are furniture.
+CONTENT = """\
+The error of the motor decreases with the size of the sample.
+As reported earlier, it holds.
+It is short.
+The record is long and has many words in it, so that it reads as one paragraph of a text about motors.
+Two sets of data were used to test it, and neither showed what the first report had claimed.
+See [the model](https://x.org/a) for more.
+A [[model]] of the observation.
+Consult <https://x.org/a> for the value.
+The method of [Boyd](https://x.org/b) was extended by [Lee and Kahn](https://x.org/l) and then applied by [others](https://x.org/o) to the motors of the second plant without further change.
+Following [earlier work](https://x.org/1), [two surveys](https://x.org/2) and [a later note](https://x.org/3), we measured the error again under the same conditions as before.
+In [[thermodynamics]], the [[entropy]] of a [[closed system]] never decreases, which [[Rudolf Clausius|Clausius]] stated in the form that is still in use today.
+The [[motor]] was built in the [[town]] by the [[company]] that had made the [[pump]].
+<a href='/a'>The first report</a> and <a href='/b'>the second report</a> disagree about the size of the error, as <a href='/c'>a third one</a> points out.
+Figure 3. The error of the motor by the size of the sample.
+Table 2: Values of the sample.
+![a curve of the error](crops/p1.png)
+[[File:a.png|thumb|A curve of the model]]
+Results are given below.
+Proof. It follows from the first lemma.
+We thank [the plant](https://x.org/p) for its help.
+The code is kept [here](https://x.org/code).
+[https://x.org/a the model]
+(see [the appendix](https://x.org/app))
+Keywords: motor, error, sample
+Boyd, S. (2004). Errors of motors. [doi](https://doi.org/10.1/x)
+No effect was found in the second sample (Lee 2001), though the first had shown one ([Boyd 1999](https://x.org/b); [Kahn 2000](https://x.org/k)).
+"""
+FURNITURE = """\
+[Home](/) | [About](/about) | [Contact](/contact) | [Login](/login)
+[Terms](/terms) [Privacy](/privacy) [Imprint](/imprint)
+<a href='/p'>Previous</a> <a href='/n'>Next</a> <a href='/t'>Top</a>
+[Home](/) > [Science](/s) > [Physics](/s/p) > [Motors](/s/p/m)
+[Read more](/more) [Share](/share) [Print](/print)
+[One](/1) [Two](/2) [Three](/3) [Four](/4) [Five](/5) [Six](/6)
+[Jobs](/jobs) / [Press](/press) / [Help](/help) / [Site map](/map)
+<a href='/de'>Deutsch</a> <a href='/fr'>Français</a> <a href='/es'>Español</a> <a href='/it'>Italiano</a>
+[Subscribe](/s) [Follow us](/f) [Newsletter](/n) [Feed](/feed)
+[Top stories of the week](/a) [What the plant does next](/b) [Ten motors that failed](/c)
+"""
+
+
+def labelled() -> list[tuple[str, str, str, int]]:
+    """The small labelled table: a block between two neighbours, and whether it is content (1) or furniture (0).
+
+    Every block stands between prose, at both ends of a text, and beside furniture.
+    """
+    good, bad = CONTENT.splitlines(), FURNITURE.splitlines()
+    out = []
+    for label, blocks in ((1, good), (0, bad)):
+        for i, block in enumerate(blocks):
+            prose = [good[(i + k) % len(good)] for k in (3, 4, 8)]
+            links = [bad[(i + k) % 10] for k in (1, 2)]
+            out += [(prose[0], block, prose[1], label), (prose[2], block, "", label), ("", block, prose[0], label)]
+            if label == 0 or len(block.split()) > 7:
+                out += [(links[0], block, prose[1], label), (prose[0], block, links[1], label)]
+            if label == 0:
+                out += [(links[0], block, links[1], label), ("", block, links[0], label), (links[1], block, "", label)]
+    return out
 
 
 def features(before: Block | None, block: Block, after: Block | None) -> list[float]:
-    """Word count, link density and links of a block, and the first two of its neighbours."""
+    """Word count and link density of a block and of its neighbours."""
     none = Block("", 0, 0.0, 0)
     before, after = before or none, after or none
-    return [block.words, block.density, block.links, before.words, before.density, after.words, after.density]
+    return [block.words, block.density, before.words, before.density, after.words, after.density]
 
 
 class Node(NamedTuple):
@@ -396,7 +430,7 @@ class Node(NamedTuple):
     high: object
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 3) -> Node | float:
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 4) -> Node | float:
     """A classification tree by Gini impurity; the first of equal splits, leaves hold the share of ones."""
     if depth == 0 or len(set(y.tolist())) < 2:
         return float(y.mean())
@@ -416,11 +450,10 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = 3) -> Node | float:
 
 @functools.lru_cache(maxsize=1)
 def tree() -> Node | float:
-    """The tree trained on :data:`LABELLED`, once per process."""
+    """The tree trained on :func:`labelled`, once per process."""
     rows, labels = [], []
-    for before, middle, after, label in LABELLED:
-        a, b, c = (block_of(s) for s in (before, middle, after))
-        rows.append(features(a, b, c))
+    for before, middle, after, label in labelled():
+        rows.append(features(*(block_of(part) if part else None for part in (before, middle, after))))
         labels.append(label)
     return grow(np.array(rows, float), np.array(labels, float))
 
@@ -438,6 +471,15 @@ def block_of(source: str, made: Cleaned | None = None) -> Block:
     return Block(made.text, words, made.linked_words / words if words else float(made.links > 0), made.links)
 
 
+#: Blocks that are never dropped: headings, lists, tables, quotes, code, formulas, images with a caption, page markers.
+_STRUCTURE = re.compile(r"\s*(?:#{1,6}\s|[-*+]\s|\d+[.)]\s|\||```|~~~|\$|<page_number>)")
+
+
+def is_structure(block: Block) -> bool:
+    """Whether a block keeps its place whatever its words and links: its clean text begins a heading, list, table, code, formula or page marker, or has a formula in it."""
+    return bool(_STRUCTURE.match(block.text)) or "$" in block.text or "```" in block.text
+
+
 _CHUNKS = re.compile("|".join(f"(?:{what})" for _, what in PROTECTED[:3]), re.DOTALL)
 
 
@@ -457,22 +499,35 @@ def flat_blocks(text: str) -> list[str]:
     return [c for c in cuts if c.strip()]
 
 
-def clean_text(text: str | None, whole: bool = True) -> tuple[str | None, list[str]]:
-    """The clean text and the kinds of markup that were in it; a text without markup stays as it is.
+class Clean(NamedTuple):
+    text: str | None
+    kinds: list[str]
+    dropped: int
+
+
+def clean_text(text: str | None) -> Clean:
+    """The clean text, the kinds of markup that were in it, and how many blocks with words the tree dropped.
 
-    ``whole`` false leaves the block stage out, for callers that need only the kinds.
+    A text without markup stays as it is, null and empty too. Structure is never dropped, nor is a
+    block without links; blocks that resolve to nothing (comments, categories) fall away uncounted.
     """
     if not text or not SCREEN.search(text):
-        return text, []
+        return Clean(text, [], 0)
     made = resolve(text)
     if not made.kinds:
-        return text, []
-    if not whole:
-        return None, made.kinds
+        return Clean(text, [], 0)
     blocks = [block_of(b) for b in _merged(flat_blocks(text))]
-    kept = [b.text for i, b in enumerate(blocks) if is_content(features(blocks[i - 1] if i else None, b, blocks[i + 1] if i + 1 < len(blocks) else None))]
+    kept, dropped = [], 0
+    for i, b in enumerate(blocks):
+        if not b.text.strip():
+            continue
+        before, after = blocks[i - 1] if i else None, blocks[i + 1] if i + 1 < len(blocks) else None
+        if not b.links or is_structure(b) or is_content(features(before, b, after)):
+            kept.append(b.text)
+        else:
+            dropped += 1
     out = re.sub(r"[ \t]+\n", "\n", "\n\n".join(kept))
-    return re.sub(r"\n{3,}", "\n\n", out).strip(), made.kinds
+    return Clean(re.sub(r"\n{3,}", "\n\n", out).strip(), made.kinds, dropped)
 
 
 _OPENERS = (("{|", "|}"), ("\\begin{", "\\end{"), ("<!--", "-->"), ("<table", "</table"), ("{{", "}}"))
@@ -489,22 +544,18 @@ def _merged(blocks: list[str]) -> list[str]:
     return out
 
 
-def clean_markup(df: DataFrame, keys: tuple[str, ...], text: str = "text", with_text: bool = True) -> DataFrame:
-    """One row for each row of ``df``: ``keys``, ``kinds`` (markup met, sorted, without repeats), ``n_marks`` and ``clean``.
+def clean_markup(df: DataFrame, keys: tuple[str, ...], text: str = "text") -> DataFrame:
+    """One row for each row of ``df``: ``keys``, ``kinds`` (markup met, sorted, without repeats), ``n_marks``, ``n_dropped`` (blocks of furniture) and ``clean``.
 
     A map without shuffle; other columns are not read. Null text gives null ``clean`` and no kinds,
-    empty text stays empty. ``with_text`` false leaves ``clean`` out.
+    empty text stays empty.
     """
-    fields = [T.StructField(k, df.schema[k].dataType) for k in keys] + [T.StructField("kinds", T.StringType()), T.StructField("n_marks", T.IntegerType())]
-    if with_text:
-        fields.append(T.StructField("clean", T.StringType()))
+    fields = [T.StructField(k, df.schema[k].dataType) for k in keys] + [T.StructField("kinds", T.StringType()), T.StructField("n_marks", T.IntegerType()), T.StructField("n_dropped", T.IntegerType()), T.StructField("clean", T.StringType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [clean_text(v, with_text) for v in batch.column(len(keys)).to_pylist()]
-            columns = [*batch.columns[: len(keys)], pa.array([",".join(sorted(set(k))) for _, k in made]), pa.array([len(k) for _, k in made], pa.int32())]
-            if with_text:
-                columns.append(pa.array([c for c, _ in made], pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
+            made = [clean_text(v) for v in batch.column(len(keys)).to_pylist()]
+            columns = [pa.array([",".join(sorted(set(m.kinds))) for m in made], pa.string()), pa.array([len(m.kinds) for m in made], pa.int32()), pa.array([m.dropped for m in made], pa.int32()), pa.array([m.text for m in made], pa.string())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *columns], [f.name for f in fields])
 
     return df.select(*keys, F.col(text).cast("string")).mapInArrow(run, T.StructType(fields))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -25,20 +26,19 @@ KEPT = [
 
 @pytest.mark.parametrize("text, made", CLEAN)
 def test_markup_is_resolved(text, made):
-    out, kinds = markup.clean_text(text)
+    out, kinds, _ = markup.clean_text(text)
     assert out == made and kinds
-    assert markup.clean_text(text, False)[1] == kinds
 
 
 @pytest.mark.parametrize("text", KEPT)
 def test_what_is_no_markup_stays(text):
-    assert markup.clean_text(text) == (text, [])
+    assert markup.clean_text(text) == (text, [], 0)
 
 
 @given(st.text(alphabet="ab *_~[]()<>&;{}|\\$`'=\n#!.", max_size=80))
 @settings(max_examples=400, deadline=None)
 def test_markup_never_fails(text):
-    out, kinds = markup.clean_text(text)
+    out, kinds, _ = markup.clean_text(text)
     assert out is not None and (kinds or out == text)
 
 
@@ -47,6 +47,38 @@ def test_furniture_tree():
     assert markup.clean_text(nav)[0] == "The error of the motor decreases with the size of it."
 
 
+# Blocks that the labelled table doesn't have: content (1) and furniture (0) with their neighbours.
+HELD_OUT = [
+    ("The pump was opened.", "Its [valve](/v) and its [seal](/s) were replaced by parts that [a maker](/m) had sent, and the pump ran again for a year.", "It was closed later.", 1),
+    ("The pump was opened.", "As [[Galileo]] wrote, [[Jupiter]] has four [[moon]]s that can be seen with a small [[telescope]] on a clear night.", "", 1),
+    ("", "We follow [Smith](/a), who follows [Jones](/b), who in turn follows [Brown](/c) in nearly all that matters here.", "[Home](/) [Up](/u) [Down](/d)", 1),
+    ("The pump was opened.", "Details are in [the report](/r).", "It was closed later.", 1), ("The pump was opened.", "See [here](/h) and [there](/t) too.", "It was closed later.", 1),
+    ("", "A survey of [pumps](/p) made in the north before the war and of those made after it.", "", 1), ("Short.", "Fig. 2: [Pump](/p) after a year of use.", "Text goes on here for a while.", 1),
+    ("The pump was opened.", "[Index](/i) | [Glossary](/g) | [Authors](/a) | [Feedback](/f)", "", 0), ("", "[Start](/) [Archive](/a) [Search](/s) [Log in](/l)", "The pump was opened.", 0),
+    ("[Start](/) [Archive](/a)", "[Tags](/t) [Topics](/o) [People](/p) [Places](/x)", "[Terms](/t) [Privacy](/p) [Cookies](/c)", 0), ("The pump was opened.", "<a href='/1'>First</a> <a href='/2'>Second</a> <a href='/3'>Third</a> <a href='/4'>Last</a>", "[Terms](/t) [Privacy](/p) [Cookies](/c)", 0),
+    ("", "[Pumps of the north and their makers](/1) [Why seals fail in winter](/2) [A year with a new valve](/3)", "[Older posts](/o) [Newer posts](/n)", 0),
+]
+
+
+def test_held_out_blocks():
+    made = [markup.is_content(markup.features(*(markup.block_of(p) if p else None for p in (a, b, c)))) == bool(label) for a, b, c, label in HELD_OUT]
+    assert all(m for m, (*_, label) in zip(made, HELD_OUT) if label) and sum(made) >= 0.9 * len(made)
+
+
+@pytest.mark.parametrize("kept", ["# [All](/a) [the](/b) [links](/c)", "- [one](/1)\n- [two](/2)\n- [three](/3)", "```\n[a](/1) [b](/2) [c](/3)\n```", "$$\nx_{[1]}\n$$", "| [a](/1) | [b](/2) |\n|---|---|", "1. [one](/1) [two](/2)"])
+def test_structure_is_never_dropped(kept):
+    out, _, dropped = markup.clean_text(f"<b>x</b> [Home](/) [Up](/u) [Down](/d) [Top](/t)\n\n{kept}\n\n[Terms](/t) [Privacy](/p) [Cookies](/c) [Jobs](/j)")
+    words = [w for w in re.findall(r"\w+", re.sub(r"\]\([^)]*\)", "]", kept))]
+    assert all(w in out for w in words) and dropped <= 2
+
+
+def test_linked_prose_is_kept_and_drops_are_counted():
+    prose = "The work of [A](/a) was used by [B](/b) and then by [C](/c) in the plants of the second town over there, where it had been known for long."
+    out, kinds, dropped = markup.clean_text(f"One paragraph of text.\n\n{prose}\n\nAnother paragraph of text.")
+    assert "The work of A was used by B and then by C" in out and dropped == 0 and kinds == ["link"] * 3
+    assert markup.clean_text("[Home](/) | [About](/about) | [Contact](/contact) | [Login](/login)\n\nThe error of the motor decreases with the size of it.").dropped == 1
+
+
 def test_markup_table(spark):
     df = spark.createDataFrame([(1, "<b>x</b>", "c"), (2, None, "c"), (3, "", "c"), (4, "plain", "c"), (4, "plain", "c"), (5, "**a** " * 50000, "c")], "rec_id bigint, text string, clean string")
     out = {r.rec_id: r for r in markup.clean_markup(df, ("rec_id",)).collect()}
@@ -112,11 +144,10 @@ def test_copies_of_a_noisy_text_are_repaired(spark):
     assert all(out[5000 + i].repaired == "the framework of stability" and out[5000 + i].n_misread == 2 for i in range(150))
 
 
-def test_marked_rows_come_from_the_whole_method(spark, data, monkeypatch):
-    asked, whole = [], markup.clean_markup
-    monkeypatch.setattr(markup, "clean_markup", lambda *a, with_text=True: asked.append(with_text) or whole(*a, with_text=with_text))
-    queries.p1_found(spark, data)
-    assert asked == [True]
+def test_marked_rows_come_from_the_whole_method(spark, data):
+    """p1_found has the rows of the whole cleaning, blocks and tree included."""
+    assert "n_dropped" in queries.p1_clean(spark, data).columns
+    assert rows(queries.p1_found(spark, data)) == rows(queries.p1_clean(spark, data).where("n_marks > 0").select("tbl", "rec_id"))
 
 
 def test_scan_repair(spark):
