@@ -50,7 +50,7 @@ def stage(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """K4: write ``df`` as parquet in the shared folder and read it back.
 
     Cuts the lineage so that a lost executor costs only the tasks that follow, and lets two
-    consumers share one computation. The files go when the session's process ends.
+    consumers share one computation. The files go with :func:`release`, else when the session's process ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
@@ -61,18 +61,32 @@ def stage(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     if not _staged:
         atexit.register(release_stages)
     _staged.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made._quirelake_stage = path
+    return made
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the files of staged ``tables`` that nothing reads any more; what comes after them must be staged itself."""
+    for df in tables:
+        path = getattr(df, "_quirelake_stage", None)
+        for entry in [e for e in _staged if e[1] == path]:
+            _staged.remove(entry)
+            _delete(*entry)
 
 
 def release_stages() -> None:
-    """Delete what :func:`stage` wrote; only for results that are no longer read."""
+    """Delete all that :func:`stage` wrote and that hasn't been released; only for results that are no longer read."""
     while _staged:
-        spark, path = _staged.pop()
-        try:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # the session has ended: a cluster's own cleaning removes the folder
-            if path.startswith("file://"):
-                import shutil
-
-                shutil.rmtree(path[7:], ignore_errors=True)
+        _delete(*_staged.pop())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:  # the session has ended: a cluster's own cleaning removes the folder
+        if path.startswith("file://"):
+            import shutil
+
+            shutil.rmtree(path[7:], ignore_errors=True)
