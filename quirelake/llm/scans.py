@@ -14,12 +14,14 @@ from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quirelake.session import stage
+from quirelake.session import release, stage
 
 # Characters and what scanning makes of them, true form first.
 MISREADINGS = (
@@ -32,8 +34,8 @@ RATIO = 10
 RATIO_LONG = 5
 RATIO_DIGIT = 2
 LONG = 9
-#: Corrections up to this number go to the tasks as a table; beyond it they are joined to the words.
-BROADCAST_ROWS = 200_000
+#: Bits of the filter that tells which words can have a correction at all: its size is fixed, whatever the data.
+FILTER_BITS = 1 << 24
 #: Entries a task holds before it hands its counts on.
 HELD_WORDS = 200_000
 
@@ -41,7 +43,6 @@ _PROTECTED = re.compile(r"(?:(?<=\n)|\A)(`{3,}|~{3,})[^\n]*\n(?:.*?\n)??(?:\1[^\
 _TOKEN = re.compile(r"[^\W_]+(?:-[^\W\d_]+)*")
 _HYPHENS = "-­‐"
 _BREAK = re.compile(rf"(?<=[^\W_])[{_HYPHENS}][ \t]*\n([ \t\n]*)(?=[^\W_])")
-_BEFORE = re.compile(r"[^\W_]{1,60}\Z")
 #: Both halves of a break that has been marked.
 _HALF = re.compile("(?:[^\\W_]*\0)+[^\\W_]+")
 #: A word broken before a page marker, and its rest after it.
@@ -144,7 +145,10 @@ def without_edges(prose: str, title: str) -> tuple[str, int]:
 
 def _halves(m: re.Match) -> tuple[str, str]:
     """The letters on both sides of a break."""
-    return _BEFORE.search(m.string, max(0, m.start() - 60), m.start()).group(), _PLAIN.match(m.string, m.end()).group()
+    text, at = m.string, m.start()
+    while at and text[at - 1].isalnum():
+        at -= 1
+    return text[at : m.start()], _PLAIN.match(text, m.end()).group()
 
 
 def _joined(a: str, b: str) -> bool:
@@ -202,6 +206,47 @@ def words_of(text: str | None) -> tuple[list[str], list[str]]:
     return words, breaks
 
 
+def asked_words(text: str | None, longest: int) -> set[str]:
+    """Every word and break of ``text`` that :func:`repair` may look up, whichever of its breaks are closed.
+
+    A run of halves can become one word in as many ways as it has parts; those of more than ``longest``
+    letters, which no correction has, are left out.
+    """
+    out: set[str] = set()
+    if not text:
+        return out
+
+    def mark(m: re.Match) -> str:
+        a, b = _halves(m)
+        if not _joined(a, b):
+            return m.group()
+        out.add(f"{a}-{b}".lower())
+        return "\0"
+
+    def spread(m: re.Match) -> str:
+        halves = m.group().lower().split("\0")
+        for i in range(len(halves)):
+            run = ""
+            for half in halves[i:]:
+                run += half
+                if len(run) > longest:
+                    break
+                out.add(run)
+        return " "
+
+    for protected, part in without_noise(text)[0]:
+        if protected:
+            continue
+        if "\n" in part:
+            part = _BREAK.sub(mark, part)
+        if "\xad" in part:
+            part = _SOFT.sub("", part)
+        if "\0" in part:
+            part = _HALF.sub(spread, part)
+        out.update(_PLAIN.findall(part.lower()))
+    return out
+
+
 def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """``kind`` (w: word, b: break), ``word`` and ``n`` over all distinct texts; counts are summed in each task before the shuffle.
 
@@ -246,9 +291,9 @@ def corrections(counts: DataFrame, ratio: int = RATIO) -> DataFrame:
     come out as themselves (``a-b`` to ``a-b``): there the hyphen stays.
     """
     words = counts.where("kind = 'w'").select("word", "n")
-    lexicon = words.where("word rlike '^[a-z0-9\\u00df-\\u024f]{3,40}$' AND word rlike '[a-z].*[a-z]'").withColumn(
-        "h", F.expr("aggregate(split(word, ''), 0L, (a, c) -> a + IF(c = '', 0L, CAST(pow(ascii(c), 5) AS BIGINT)))")
-    )
+    # a character's share of the hash: its fifth power, for scripts far up the table a hash of it, so that sums stay exact
+    share = "IF(c = '', 0L, IF(ascii(c) < 1500, CAST(pow(ascii(c), 5) AS BIGINT), pmod(xxhash64(c), 17592186044416L)))"
+    lexicon = words.where("word rlike '^[\\\\p{L}\\\\p{Nd}]{3,}$' AND word rlike '\\\\p{L}.*\\\\p{L}'").withColumn("h", F.expr(f"aggregate(split(word, ''), 0L, (a, c) -> a + {share})"))
     rules = F.array(*(F.struct(F.lit(i).alias("rank"), F.lit(bad).alias("bad"), F.lit(good).alias("good"), F.lit(d).cast("bigint").alias("delta")) for i, (bad, good, d) in enumerate(confusions())))
     asked = lexicon.select("word", "n", "h", F.explode(rules).alias("rule")).where("contains(word, rule.bad)").select("word", "n", "rule.*", F.expr("h + rule.delta").alias("h"))
     needed = f"CASE WHEN bad rlike '[0-9]' THEN {RATIO_DIGIT} WHEN length(word) >= {LONG} THEN {RATIO_LONG} ELSE {ratio} END * n"
@@ -327,59 +372,73 @@ def repair(text: str | None, instead: dict[str, str], one_line: bool = False) ->
     return Repaired(out, *n)
 
 
-def repair_scans(df: DataFrame, keys: tuple[str, ...], text: str = "text", one_line: str | None = None, with_text: bool = True, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """One row for each row of ``df``: ``keys``, ``n_hyphens``, ``n_misread``, ``n_edges`` and ``repaired``.
+def _filter_of(table: DataFrame) -> tuple[np.ndarray, int]:
+    """The Bloom filter of the words of ``table`` and the length of its longest; at most ``FILTER_BITS / 32`` rows come to the driver."""
+    h = F.xxhash64("word")
+    places = F.explode(F.array(F.pmod(h, F.lit(FILTER_BITS)), F.pmod(F.shiftrightunsigned(h, 32), F.lit(FILTER_BITS)))).alias("p")
+    cells = table.select(places).groupBy(F.expr("p DIV 32").alias("cell")).agg(F.expr("bit_or(shiftleft(1L, CAST(p % 32 AS INT)))").alias("bits"))
+    bits = np.zeros(FILTER_BITS // 32, np.uint32)
+    for r in cells.toLocalIterator():
+        bits[r.cell] = r.bits
+    return bits, table.agg(F.coalesce(F.max(F.length("word")), F.lit(0))).first()[0]
 
-    ``one_line`` is an SQL condition for rows that are to become one line. Null text gives null and
-    zeros. Corrections are learnt from all texts of ``df``; up to ``broadcast_rows`` of them go to the
-    tasks as a table, more are joined to the words of each text, with the same result. Other columns
-    are not read.
-    """
-    spark = df.sparkSession
-    source = df.select(*keys, F.col(text).cast("string").alias("__text"), F.expr(one_line or "false").alias("__line"))
-    table = stage(corrections(stage(word_counts(source, "__text"))))
-    if table.count() <= broadcast_rows:
-        shared = spark.sparkContext.broadcast({r.word: r.instead for r in table.toLocalIterator()})
-        asked = source.withColumn("__instead", F.lit(None).cast("map<string,string>"))
-    else:
-        shared = None
-        asked = _with_corrections(source, keys, table)
-    fields = [df.schema[k] for k in keys] + [T.StructField(n, T.IntegerType()) for n in ("n_hyphens", "n_misread", "n_edges")] + [T.StructField("repaired", T.StringType())] * with_text
-    names = [f.name for f in fields]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = shared.value if shared else None
-        for batch in batches:
-            k = len(keys)
-            own = [whole] * len(batch) if whole is not None else [dict(m or ()) for m in batch.column(k + 2).to_pylist()]
-            made = [repair(t, m, line) for t, line, m in zip(batch.column(k).to_pylist(), batch.column(k + 1).to_pylist(), own)]
-            columns = [*batch.columns[:k], *(pa.array([r[i] for r in made], pa.int32()) for i in (1, 2, 3))]
-            if with_text:
-                columns.append(pa.array([r.text for r in made], pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, names)
+class _MayHave:
+    """Asks the filter once for each word; what it says is kept for so many words at a time."""
 
-    return asked.mapInArrow(run, T.StructType(fields))
+    def __init__(self, bits: np.ndarray) -> None:
+        self.bits, self.seen = bits, {}
 
+    def __call__(self, word: str) -> bool:
+        known = self.seen.get(word)
+        if known is None:
+            if len(self.seen) >= HELD_WORDS:
+                self.seen.clear()
+            h = xxhash.xxh64_intdigest(word.encode(), 42)
+            known = self.seen[word] = all(self.bits[(p := q % FILTER_BITS) >> 5] >> (p & 31) & 1 for q in (h, h >> 32))
+        return known
 
-def _with_corrections(source: DataFrame, keys: tuple[str, ...], table: DataFrame) -> DataFrame:
-    """``source`` with the corrections that its own words and breaks have, by a join of distinct words."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def repair_scans(df: DataFrame, keys: tuple[str, ...], text: str = "text", one_line: str | None = None, with_text: bool = True) -> DataFrame:
+    """One row for each row of ``df``: ``keys``, ``n_hyphens``, ``n_misread``, ``n_edges`` and ``repaired``.
+
+    ``one_line`` is an SQL condition for rows that are to become one line. Null text gives null and
+    zeros. Corrections are learnt from all texts of ``df``. A text none of whose words can have one, by a
+    filter of fixed size, is repaired where it is read; the words of the others are joined with the
+    corrections, however many there are. Other columns are not read.
+    """
+    spark = df.sparkSession
+    source = df.select(*keys, F.col(text).cast("string").alias("__text"), F.expr(one_line or "false").alias("__line"), F.monotonically_increasing_id().alias("__row"))
+    counts = stage(word_counts(source, "__text"))
+    table = stage(corrections(counts))
+    release(counts)
+    shared = spark.sparkContext.broadcast(_filter_of(table))
+    told = [T.StructField(n, T.IntegerType()) for n in ("n_hyphens", "n_misread", "n_edges")] + [T.StructField("repaired", T.StringType())] * with_text
+    own, k = [df.schema[c] for c in keys], len(keys)
+    waiting = [T.StructField("__row", T.LongType()), T.StructField("__line", T.BooleanType()), T.StructField("__text", T.StringType()), T.StructField("__words", T.ArrayType(T.StringType()))]
+    kinds = [pa.int32()] * 3 + [pa.string()] * with_text
+    cut = lambda r: (r.hyphens, r.misread, r.edges, *([r.text] * with_text))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, longest = shared.value
+        may = _MayHave(bits)
         for batch in batches:
-            rows, words = [], []
-            for i, value in enumerate(batch.column(len(keys)).to_pylist()):
-                w, b = words_of(value)
-                joined = [x.replace("-", "") for x in b]
-                found = {*w, *b, *joined, *(h for x in b for h in x.split("-"))}
-                rows += [i] * len(found)
-                words += found
-            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(rows, pa.int64())) for c in batch.columns[: len(keys)]), pa.array(words, pa.string())], [*keys, "word"])
-
-    schema = T.StructType([source.schema[k] for k in keys] + [T.StructField("word", T.StringType())])
-    own = source.select(*keys, "__text").mapInArrow(run, schema).join(table, "word")
-    own = own.groupBy(*keys).agg(F.map_from_entries(F.collect_set(F.struct("word", "instead"))).alias("__instead"))
-    same = [F.expr(f"source.`{k}` <=> own.`{k}`") for k in keys]
-    condition = same[0]
-    for s in same[1:]:
-        condition = condition & s
-    return source.alias("source").join(own.alias("own"), condition, "left").select("source.*", "own.__instead")
+            done, wait = [], []
+            for value, line, row in zip(*(c.to_pylist() for c in batch.columns[k:])):
+                words = [w for w in asked_words(value, longest) if may(w)]
+                done.append((None,) * len(kinds) if words else cut(repair(value, {}, line)))
+                wait.append((row, line, value, words) if words else (None,) * 4)
+            columns = [pa.array(c, t) for c, t in zip(zip(*done), kinds)] + [pa.array(c, t) for c, t in zip(zip(*wait), (pa.int64(), pa.bool_(), pa.string(), pa.list_(pa.string())))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:k], *columns], [f.name for f in (*own, *told, *waiting)])
+
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [cut(repair(value, dict(instead or ()), line)) for line, value, instead in zip(*(c.to_pylist() for c in batch.columns[k:]))]
+            columns = [pa.array(c, t) for c, t in zip(zip(*made), kinds)] if made else [pa.array([], t) for t in kinds]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:k], *columns], [f.name for f in (*own, *told)])
+
+    passed = stage(source.select(*keys, "__text", "__line", "__row").mapInArrow(first, T.StructType([*own, *told, *waiting])))
+    rest = passed.where("__row IS NOT NULL")
+    found = rest.select("__row", F.explode("__words").alias("word")).join(table, "word").groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("word", "instead"))).alias("__instead"))
+    late = rest.select(*keys, "__row", "__line", "__text").join(found, "__row", "left").select(*keys, "__line", "__text", "__instead").mapInArrow(second, T.StructType([*own, *told]))
+    return passed.where("__row IS NULL").select(*keys, *(f.name for f in told)).unionByName(late)

@@ -163,9 +163,22 @@ def test_scan_repair(spark):
     assert scans.repair_scans(df.limit(0), ("rec_id",)).count() == 0
 
 
-def test_joined_corrections_equal_broadcast_ones(spark):
-    df = scanned(spark)
-    assert rows(scans.repair_scans(df, ("rec_id",))) == rows(scans.repair_scans(df, ("rec_id",), broadcast_rows=-1))
+def test_joined_corrections_equal_the_whole_table(spark):
+    """Rows repaired by the join are as those repaired with every correction at hand; a word broken twice is one of them."""
+    more = [(2000 + i, f"international θεωρίας теория0l {i}") for i in range(60)] + [(2100, "the inte-\nmatio-\nnal framework"), (2101, "a-\nb-\nc-\nd " * 300), (2102, "intemational"), (2102, "intemational"), (None, "modem")]
+    df = scanned(spark).select("rec_id", "text").unionByName(spark.createDataFrame(more, "rec_id bigint, text string"))
+    table = {r.word: r.instead for r in scans.corrections(scans.word_counts(df)).collect()}
+    assert table["intemational"] == "international"
+    got = rows(scans.repair_scans(df, ("rec_id",)))
+    want = [(r.rec_id, (m := scans.repair(r.text, table)).hyphens, m.misread, m.edges, m.text) for r in df.collect()]
+    assert got == sorted(want, key=repr)
+    assert ("international" in dict((g[0], g[4]) for g in got)[2100]) and scans.repair_scans(df.limit(0), ("rec_id",)).count() == 0
+
+
+def test_corrections_in_other_scripts(spark):
+    df = spark.createDataFrame([(i, f"физикаrnая {i}") for i in range(30)] + [(99, "физикаmая"), (98, "x" * 60 + "rn")] + [(200 + i, "x" * 60 + f"m {i}") for i in range(30)], "id int, text string")
+    table = {r.word: r.instead for r in scans.corrections(scans.word_counts(df)).collect()}
+    assert table == {"физикаmая": "физикаrnая", "x" * 60 + "rn": "x" * 60 + "m"}
 
 
 def test_anagram_hash_matches_brute_force(spark):
