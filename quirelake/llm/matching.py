@@ -1,33 +1,42 @@
 """Problem 5: records of two catalogues that share no key, matched with a confidence.
 
-Candidate pairs come from MinHash blocks that join a title's words with a second attribute (author,
-DOI, or year where authors are missing), so that a title that many works have makes no hot block. A logistic classifier is
-trained on weak labels that the data gives itself, and its scores are calibrated on pairs it wasn't
-trained on.
+Candidate pairs come from MinHash blocks across attributes: a row of the title's MinHash with the
+start or end of an author's name, bands of the title where a side has no authors, and the DOI. Years
+more than one apart never meet; a name's end that many records have is blocked by the year as well,
+which loses no pair. Candidates are verified natively by the words of their titles; a logistic
+classifier is trained on weak labels that the data gives itself, and its scores are calibrated on
+pairs it wasn't trained on.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache, reduce
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quirelake.functions.entries import sequel_of, skeleton
 from quirelake.functions.fold import bare
 from quirelake.llm.trie import osa
-from quirelake.session import stage
+from quirelake.session import release, stage
 
-#: Bands of four MinHash rows for titles with years; single rows for titles with authors and with a DOI.
+#: Bands of four MinHash rows of the title where a side lacks authors; single rows with an author's name and with a DOI.
 BANDS, ROWS, SINGLES, DOI_ROWS = 12, 4, 4, 3
 #: Letters at the start and at the end of a name that make a block: one edit leaves one of them whole in a long name.
 HEAD, TAIL = 5, 6
+#: Ends of names that more records have are blocked by the year too.
+FREQUENT = 1000
+#: Words with which a title can tell a work by itself; shorter ones of records without authors meet by their DOI only.
+TELLING = 4
+#: Share of common title words from which a candidate pair is compared further; titles of fewer than TELLING words are in any case.
+VERIFIED = 0.2
 #: Pairs that the classifier is trained on at most: the first by a hash of both ids.
 SAMPLE = 20_000
 CONFIDENT = 0.3
@@ -49,7 +58,7 @@ class Record(NamedTuple):
     doi: str | None
     authors: list[str]
     venue: list[str]
-    keys: list[int]
+    ends: list[str]
 
 
 def doi_form(text: str | None) -> str | None:
@@ -58,14 +67,19 @@ def doi_form(text: str | None) -> str | None:
     return "10" + m.group().lower()[2:].rstrip(".,;:)]}>'\"") if m else None
 
 
+_skeleton = lru_cache(1 << 16)(skeleton)
+_bare = lru_cache(1 << 16)(bare)
+
+
 def title_tokens(title: str | None) -> tuple[list[str], str]:
     """The distinct skeleton words (three letters or more) of a title, and its sequel signs."""
     low = bare(title) or ""
     lead = low.lstrip("\"'“( ")
     sequel = sequel_of(lead if lead.startswith("further") else low.replace("further", " "))
     signs = {"further", "part", "ii", "iii", "iv", *sequel.split()}
-    found = {skeleton(w) for w in _WORD.findall(low) if len(w) >= 3 and w not in _STOP and w not in signs}
-    return sorted(found or {skeleton(w) for w in _WORD.findall(low)}), sequel
+    every = _WORD.findall(low)
+    found = {_skeleton(w) for w in every if len(w) >= 3 and w not in _STOP and w not in signs}
+    return sorted(found or {_skeleton(w) for w in every}), sequel
 
 
 def author_words(authors) -> list[str]:
@@ -73,77 +87,113 @@ def author_words(authors) -> list[str]:
     out = []
     for a in authors or ():
         if a:
-            out.append(" ".join(w for w in _WORD.findall(bare(f"{a.get('family') or ''} {a.get('given') or ''}")) if len(w) >= 3))
+            out.append(" ".join(w for w in _WORD.findall(_bare(f"{a.get('family') or ''} {a.get('given') or ''}")) if len(w) >= 3))
     return [a for a in out if a]
 
 
-def _key(*parts) -> int:
-    value = xxhash.xxh64_intdigest("|".join(map(str, parts)))
-    return value - (1 << 64) if value >> 63 else value
-
+def record(title: str | None, authors, year: int | None, doi: str | None, venue: str | None) -> Record:
+    """A record in comparable form; ``ends`` are the starts and ends of all words of its authors' names.
 
-def record(title: str | None, authors, year: int | None, doi: str | None, venue: str | None, asks: bool) -> Record:
-    """A record with its block keys; ``asks`` tells the two sides apart.
-
-    Records meet in blocks of a title's MinHash, the start or end of any word of an author's name, and the year:
-    each year belongs to two overlapping pairs of years, so that neighbours share one. What a record
-    lacks (authors, year) no block of its may ask for: for each side there are blocks without it, which
-    the lacking records of that side and all records of the other file. So two complete records never
-    meet on less than all three attributes.
+    Every word counts: which one is the longest changes with what is shortened, left out or put first.
     """
     tokens, sequel = title_tokens(title)
-    names, number = author_words(authors), doi_form(doi)
-    keys: set[int] = set()
-    if tokens:
-        h = np.array([xxhash.xxh32_intdigest(t) for t in tokens], np.uint64)
-        low = ((h[:, None] * _A + _B) % _PRIME).min(0).tolist()
-        own, other = int(asks), int(not asks)
-        years = [] if year is None else [("e", year // 2), ("o", (year + 1) // 2)]
-        # blocks without a year: filed for the other side's records that lack it, and for the own one where this one lacks it
-        yearless = [("n", other)] + [("n", own)] * (year is None)
-        # every word of an author: which one is the longest changes with what is shortened, left out or put first
-        words = {w for a in names for w in a.split()}
-        ends = {w[:HEAD] + "-" for w in words} | {"-" + w[-TAIL:] for w in words if len(w) > TAIL}
-        keys.update(_key("a", i, low[i], w, *y) for i in range(SINGLES) for w in ends for y in years + yearless)
-        for band in range(BANDS):
-            mark = low[band * ROWS : (band + 1) * ROWS]
-            for lacking in [other] + [own] * (not names):
-                keys.update(_key("t", lacking, band, *mark, *y) for y in years + yearless)
-        if number:
-            keys.update(_key("d", i, low[i], number) for i in range(DOI_ROWS))
-    return Record(tokens, sequel, year, number, names, sorted({w[:3] for w in _WORD.findall(bare(venue) or "") if len(w) > 2 and w not in _STOP}), sorted(keys))
-
-
-_FIELDS = "id bigint, form bigint, tokens array<string>, sequel string, year int, doi string, authors array<string>, venue array<string>, keys array<bigint>"
-_ARROW = (pa.int64(), pa.int64(), pa.list_(pa.string()), pa.string(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64()))
-_NAMES = ["id", "form", "tokens", "sequel", "year", "doi", "authors", "venue", "keys"]
-
-
-def prepare(df: DataFrame, key: str, asks: bool) -> DataFrame:
-    """The records of ``df`` (``key``, ``title``, ``authors``, ``year``, ``doi``, ``container_title``) in comparable form.
-
-    ``form`` is equal for records that compare alike. By a map without shuffle.
+    names = author_words(authors)
+    words = {w for a in names for w in a.split()}
+    ends = {w[:HEAD] + "-" for w in words} | {"-" + w[-TAIL:] for w in words if len(w) > TAIL}
+    return Record(tokens, sequel, year, doi_form(doi), names, sorted({w[:3] for w in _WORD.findall(_bare(venue) or "") if len(w) > 2 and w not in _STOP}), sorted(ends))
+
+
+@lru_cache(1 << 16)
+def _hash32(text: str) -> int:
+    return xxhash.xxh32_intdigest(text) - (1 << 31)
+
+
+@lru_cache(1 << 16)
+def _seed(token: str) -> int:
+    return xxhash.xxh32_intdigest(token)
+
+
+def signatures(tokens: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """MinHash rows of each list of tokens that is not empty: the single rows, and a hash for each band."""
+    sizes = np.array([len(t) for t in tokens])
+    h = np.fromiter((_seed(w) for t in tokens for w in t), np.uint64, int(sizes.sum()))
+    rows = np.minimum.reduceat((h[:, None] * _A + _B) % _PRIME, np.r_[0, np.cumsum(sizes)[:-1]])
+    bands = np.zeros((len(tokens), BANDS), np.uint64)
+    for r in range(ROWS):
+        bands = bands * np.uint64(0x9E3779B97F4A7C15) + rows[:, r::ROWS]
+    return rows[:, :SINGLES].astype(np.int64), bands.view(np.int64)
+
+
+def _grams(tokens: list[str]) -> set[str]:
+    text = " " + " ".join(tokens) + " "
+    return {text[i : i + 3] for i in range(len(text) - 2)}
+
+
+_FIELDS = {
+    "id": ("bigint", pa.int64()), "form": ("bigint", pa.int64()), "words": ("array<int>", pa.list_(pa.int32())), "grams": ("array<int>", pa.list_(pa.int32())), "sequel": ("string", pa.string()), "year": ("int", pa.int32()), "doi": ("string", pa.string()),
+    "authors": ("array<string>", pa.list_(pa.string())), "venue": ("array<string>", pa.list_(pa.string())), "ends": ("array<int>", pa.list_(pa.int32())), "rows": ("array<bigint>", pa.list_(pa.int64())), "bands": ("array<bigint>", pa.list_(pa.int64())),
+}
+
+
+def prepare(df: DataFrame, key: str) -> DataFrame:
+    """The records of ``df`` (``key``, ``title``, ``authors``, ``year``, ``doi``, ``container_title``) in comparable form, by a map without shuffle.
+
+    ``form`` is equal for records that compare alike. Records without a title have no rows and bands.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for i, title, authors, year, doi, venue in zip(*(c.to_pylist() for c in batch.columns)):
-                r = record(title, authors, year, doi, venue, asks)
-                rows.append((i, _key(r.tokens, r.sequel, r.year, r.doi, r.authors, r.venue), *r))
-            columns = list(zip(*rows)) if rows else [()] * len(_NAMES)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _ARROW)], _NAMES)
+            ids, *columns = (c.to_pylist() for c in batch.columns)
+            made = [record(*values) for values in zip(*columns)]
+            titled = [i for i, r in enumerate(made) if r.tokens]
+            rows, bands = [None] * len(made), [None] * len(made)
+            if titled:
+                for i, a, b in zip(titled, *(x.tolist() for x in signatures([made[i].tokens for i in titled]))):
+                    rows[i], bands[i] = a, b
+            form = [xxhash.xxh64_intdigest(repr(r)) - (1 << 63) for r in made]
+            values = [ids, form, [[_hash32(t) for t in r.tokens] for r in made], [[_hash32(g) for g in _grams(r.tokens)] if r.tokens else [] for r in made]]
+            values += [[getattr(r, n) for r in made] for n in ("sequel", "year", "doi", "authors", "venue")] + [[[_hash32(e) for e in r.ends] for r in made], rows, bands]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, (_, t) in zip(values, _FIELDS.values())], list(_FIELDS))
 
     chosen = df.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint"), "title", "authors", F.col("year").cast("int"), "doi", "container_title")
-    return chosen.mapInArrow(run, _FIELDS)
+    return chosen.mapInArrow(run, ", ".join(f"{n} {k}" for n, (k, _) in _FIELDS.items()))
 
 
-FEATURES = ("title_jaccard", "title_contained", "title_words", "trigrams", "same_sequel", "year_gap", "year_missing", "author_share", "authors_missing", "doi_same", "doi_other", "venue_share")
+def _near_years(pairs: DataFrame) -> DataFrame:
+    return pairs.where("ya IS NULL OR yb IS NULL OR abs(ya - yb) <= 1")
 
 
-def _grams(tokens: list[str]) -> set[str]:
-    text = " " + " ".join(tokens) + " "
-    return {text[i : i + 3] for i in range(len(text) - 2)}
+def candidate_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Pairs ``fa`` and ``fb`` of classes that share a block and whose years are at most one apart (or missing).
+
+    Classes that have authors meet by a MinHash row of the title and the start or end of a word of an author's name. Where more than
+    ``FREQUENT`` classes share that end, the year is part of the block: each year belongs to two pairs
+    of years, so that neighbours share one, and classes without a year have blocks of their own, which
+    all of the other side are filed in. Classes without authors meet all others by bands of the title;
+    equal DOIs meet with a row of the title.
+    """
+    sides = {"a": a.select(F.col("form").alias("fa"), F.col("year").alias("ya"), "rows", "bands", "ends", "doi", F.size("words").alias("n")).where("rows IS NOT NULL"), "b": b.select(F.col("form").alias("fb"), F.col("year").alias("yb"), "rows", "bands", "ends", "doi", F.size("words").alias("n")).where("rows IS NOT NULL")}
+    named = {s: df.select(f"f{s}", f"y{s}", "rows", F.explode("ends").alias("end")) for s, df in sides.items()}
+    frequent = named["a"].select("end").union(named["b"].select("end")).groupBy("end").agg(F.count("*").alias("n")).where(f"n > {FREQUENT}").select("end", F.lit(True).alias("often"))
+    frequent = stage(frequent)
+
+    def filed(s: str, other: str) -> DataFrame:
+        y = F.col(f"y{s}")
+        dated = F.expr(f"array(y{s} DIV 2 * 4, (y{s} + 1) DIV 2 * 4 + 1, {'2L' if other == 'a' else '3L'})")
+        marks = F.when(F.col("often").isNull(), F.expr("array(-1L)")).when(y.isNull(), F.expr("array(2L, 3L)")).otherwise(dated)
+        rows = named[s].join(frequent, "end", "left").select(f"f{s}", y, "end", F.explode(marks).alias("mark"), "rows")
+        return rows.select(f"f{s}", f"y{s}", "end", "mark", F.posexplode("rows").alias("i", "row")).select(f"f{s}", f"y{s}", F.xxhash64("end", "mark", "i", "row").alias("key"))
+
+    by_name = _near_years(filed("a", "b").join(filed("b", "a"), "key")).select("fa", "fb")
+    banded = {s: df.where(f"n >= {TELLING}").select(f"f{s}", f"y{s}", (F.size("ends") == 0).alias("nameless"), F.posexplode("bands").alias("i", "band")) for s, df in sides.items()}
+    by_title = [_near_years(banded[s].where("nameless").drop("nameless").join(banded[t].drop("nameless"), ["i", "band"])).select("fa", "fb") for s, t in ("ab", "ba")]
+    numbered = {s: df.where("doi IS NOT NULL").select(f"f{s}", f"y{s}", "doi", F.posexplode(F.slice("rows", 1, DOI_ROWS)).alias("i", "row")) for s, df in sides.items()}
+    by_doi = _near_years(numbered["a"].join(numbered["b"], ["doi", "i", "row"])).select("fa", "fb")
+    # one shuffle, by fa, serves the removal of repeats and the join with the classes of a that follows
+    return reduce(DataFrame.union, [by_name, *by_title, by_doi]).repartition("fa").distinct()
+
+
+FEATURES = ("title_jaccard", "title_contained", "title_words", "trigrams", "same_sequel", "year_gap", "year_missing", "author_share", "authors_missing", "doi_same", "doi_other", "venue_share")
 
 
 def _author_share(left: list[str], right: list[str]) -> float:
@@ -160,31 +210,41 @@ def _author_share(left: list[str], right: list[str]) -> float:
     return hits / len(left)
 
 
-def pair_features(a: dict, b: dict) -> list[float]:
-    """The values of :data:`FEATURES` for two prepared records."""
-    x, y = set(a["tokens"] or ()), set(b["tokens"] or ())
-    shared = len(x & y)
-    gx, gy = _grams(a["tokens"] or []), _grams(b["tokens"] or [])
-    years = a["year"] is not None and b["year"] is not None
-    names = bool(a["authors"]) and bool(b["authors"])
-    dois = a["doi"] is not None and b["doi"] is not None
-    va, vb = set(a["venue"] or ()), set(b["venue"] or ())
+def pair_columns() -> list[Column]:
+    """The values of :data:`FEATURES` for a row with two prepared classes ``a`` and ``b``, all but the authors' share native."""
+    a, b = (lambda n: F.col(f"a.{n}")), (lambda n: F.col(f"b.{n}"))
+    both = lambda n: F.size(F.array_intersect(a(n), b(n)))
+    size = lambda n: (F.size(a(n)), F.size(b(n)))
+    years, dois = a("year").isNotNull() & b("year").isNotNull(), a("doi").isNotNull() & b("doi").isNotNull()
+    names = (F.size(a("authors")) > 0) & (F.size(b("authors")) > 0)
+    venues = (F.size(a("venue")) > 0) & (F.size(b("venue")) > 0)
+    of = lambda c: F.when(c, 1.0).otherwise(0.0)
     return [
-        shared / max(1, len(x | y)),
-        shared / max(1, min(len(x), len(y))),
-        min(len(x), len(y), 8) / 8,
-        2 * len(gx & gy) / max(1, len(gx) + len(gy)),
-        float((a["sequel"] or "") == (b["sequel"] or "")),
-        min(3.0, abs(a["year"] - b["year"])) if years else 0.0,
-        float(not years),
-        _author_share(a["authors"], b["authors"]) if names else 0.0,
-        float(not names),
-        float(dois and a["doi"] == b["doi"]),
-        float(dois and a["doi"] != b["doi"]),
-        len(va & vb) / max(1, min(len(va), len(vb))) if va and vb else 0.5,
+        both("words") / F.greatest(F.lit(1), sum(size("words"), F.lit(0)) - both("words")),
+        both("words") / F.greatest(F.lit(1), F.least(*size("words"))),
+        F.least(*size("words"), F.lit(8)) / 8,
+        2 * both("grams") / F.greatest(F.lit(1), sum(size("grams"), F.lit(0))),
+        of(F.coalesce(a("sequel"), F.lit("")) == F.coalesce(b("sequel"), F.lit(""))),
+        F.when(years, F.least(F.lit(3.0), F.abs(a("year") - b("year")).cast("double"))).otherwise(0.0),
+        of(~years),
+        F.when(names, author_share(a("authors"), b("authors"))).otherwise(0.0),
+        of(~names),
+        of(dois & (a("doi") == b("doi"))),
+        of(dois & (a("doi") != b("doi"))),
+        F.when(venues, both("venue") / F.greatest(F.lit(1), F.least(*size("venue")))).otherwise(0.5),
     ]
 
 
+def author_share(left: Column, right: Column) -> Column:
+    """:func:`_author_share` as an Arrow column function."""
+
+    def over(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series([_author_share(list(x), list(y)) if x is not None and y is not None and len(x) and len(y) else 0.0 for x, y in zip(left, right)], dtype=float)
+
+    over.__annotations__ = {"left": pd.Series, "right": pd.Series, "return": pd.Series}
+    return F.pandas_udf(over, "double")(left, right)
+
+
 #: Share of eight words that a title needs to tell a work by itself: five, more than stock titles
 #: have; and what is left of a title without its second part, where authors agree: four.
 DISTINCTIVE, SHORTENED = 5 / 8, 4 / 8
@@ -210,12 +270,23 @@ class Classifier(NamedTuple):
     offset: float
 
     def confidence(self, f: np.ndarray) -> np.ndarray:
-        """Calibrated probabilities; 0 where years, signs of a sequel or wholly other authors rule a match out."""
+        """Calibrated probabilities of a match."""
         z = np.c_[(f - self.mean) / self.scale, np.ones(len(f))] @ self.weights
-        p = 1 / (1 + np.exp(-np.clip(self.slope * z + self.offset, -30, 30)))
-        v = dict(zip(FEATURES, f.T))
-        others = (v["authors_missing"] == 0) & (v["author_share"] == 0)
-        return np.where((v["same_sequel"] == 0) | (v["year_gap"] > 1) | others, 0.0, p)
+        return 1 / (1 + np.exp(-np.clip(self.slope * z + self.offset, -30, 30)))
+
+    def column(self, f: Column) -> Column:
+        """:meth:`confidence` of an array of features, natively."""
+        z = F.lit(float(self.weights[-1]))
+        for i in range(len(FEATURES)):
+            z = z + (F.get(f, F.lit(i)) - float(self.mean[i])) / float(self.scale[i]) * float(self.weights[i])
+        z = F.least(F.lit(30.0), F.greatest(F.lit(-30.0), float(self.slope) * z + float(self.offset)))
+        return 1 / (1 + F.exp(-z))
+
+
+def admissible(f: Column) -> Column:
+    """The exact check after the classifier: what one work may not have by definition, other signs of a sequel, years more than one apart, or wholly other authors."""
+    v = {n: F.get(f, F.lit(i)) for i, n in enumerate(FEATURES)}
+    return (v["same_sequel"] == 1) & (v["year_gap"] <= 1) & ~((v["authors_missing"] == 0) & (v["author_share"] == 0))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float, rounds: int = 400) -> np.ndarray:
@@ -259,31 +330,19 @@ def match_records(left: DataFrame, right: DataFrame, keys: tuple[str, str], leas
     one class: classes are compared, and a pair of matched classes stands for all its members.
     Records without a title match nothing. The keys must be unique; rows with a null key are left out.
     """
-    a, b = stage(prepare(left, keys[0], True)), stage(prepare(right, keys[1], False))
-    names = ("tokens", "sequel", "year", "doi", "authors", "venue")
-    one = lambda df: df.groupBy("form").agg(*(F.first(c).alias(c) for c in (*names, "keys")))
-    ca, cb = stage(one(a)), stage(one(b))
-    asked = ca.select(F.col("form").alias("fa"), F.explode("keys").alias("key"))
-    filed = cb.select(F.col("form").alias("fb"), F.explode("keys").alias("key"))
-    pairs = asked.join(filed, "key").select("fa", "fb").distinct()
-    told_a = ca.select(F.col("form").alias("fa"), F.struct(*names).alias("ra"))
-    told_b = cb.select(F.col("form").alias("fb"), F.struct(*names).alias("rb"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [pair_features(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values, pa.list_(pa.float64()))], ["fa", "fb", "f"])
-
-    featured = stage(pairs.join(told_a, "fa").join(told_b, "fb").select("fa", "fb", "ra", "rb").mapInArrow(run, "fa bigint, fb bigint, f array<double>"))
+    a, b = stage(prepare(left, keys[0])), stage(prepare(right, keys[1]))
+    told = [n for n in _FIELDS if n not in ("id", "form")]
+    one = lambda df: stage(df.groupBy("form").agg(F.first(F.struct(*told)).alias("r")).select("form", "r.*"))
+    ca, cb = one(a), one(b)
+    pairs = candidate_pairs(ca, cb).join(ca.select(F.col("form").alias("fa"), F.col("words").alias("wa")), "fa").join(cb.select(F.col("form").alias("fb"), F.col("words").alias("wb")), "fb")
+    shared, least_words = F.size(F.array_intersect("wa", "wb")), F.least(F.size("wa"), F.size("wb"))
+    pairs = pairs.where((shared >= VERIFIED * (F.size("wa") + F.size("wb") - shared)) | (least_words < TELLING)).select("fa", "fb")
+    compared = ["words", "grams", "sequel", "year", "doi", "authors", "venue"]
+    records = pairs.join(cb.select(F.col("form").alias("fb"), F.struct(*compared).alias("b")), "fb").join(ca.select(F.col("form").alias("fa"), F.struct(*compared).alias("a")), "fa")
+    featured = stage(records.select("fa", "fb", F.array(*pair_columns()).alias("f")))
+    release(ca, cb)
     chosen = featured.orderBy(F.xxhash64("fa", "fb"), "fa", "fb").limit(sample).select("f").collect()
     model = fit(np.array([r.f for r in chosen], float).reshape(-1, len(FEATURES)))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            f = np.array(batch.column(2).to_pylist(), float).reshape(-1, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(model.confidence(f))], ["fa", "fb", "confidence"])
-
-    schema = T.StructType([T.StructField("fa", T.LongType()), T.StructField("fb", T.LongType()), T.StructField("confidence", T.DoubleType())])
-    kept = featured.mapInArrow(score, schema).where(F.col("confidence") >= least)
+    kept = featured.where(admissible(F.col("f"))).select("fa", "fb", model.column(F.col("f")).alias("confidence")).where(F.col("confidence") >= least)
     of_a, of_b = a.select(F.col("form").alias("fa"), F.col("id").alias(keys[0])), b.select(F.col("form").alias("fb"), F.col("id").alias(keys[1]))
     return kept.join(of_a, "fa").join(of_b, "fb").select(*keys, F.round("confidence", 4).alias("confidence"))

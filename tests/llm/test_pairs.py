@@ -7,8 +7,10 @@ import random
 from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from quirelake.functions.entries import read_entry, skeleton
 from quirelake.llm.trie import osa
@@ -154,46 +156,79 @@ def test_match_records(spark):
     assert M.match_records(a.limit(0), b, ("ext_id", "cand_id")).count() == 0
 
 
+def classes(spark, side, records):
+    """Prepared classes of (id, title, authors, year, doi)."""
+    kinds = f"id bigint, title string, authors {AUTHORS}, year int, doi string, container_title string"
+    return M.prepare(spark.createDataFrame([(*r, None) for r in records], kinds), "id")
+
+
+def features(spark, left, right):
+    a, b = classes(spark, "a", [(1, *left)]), classes(spark, "b", [(2, *right)])
+    row = a.select(F.struct("*").alias("a")).join(b.select(F.struct("*").alias("b"))).select(F.array(*M.pair_columns()).alias("f")).first()
+    return dict(zip(M.FEATURES, row.f))
+
+
+def met(spark, left, right):
+    """Whether two records share a block, with the frequent ends blocked by year and without."""
+    a, b = classes(spark, "a", [(1, *left)]), classes(spark, "b", [(2, *right)])
+    return M.candidate_pairs(a, b).count() > 0
+
+
 def test_blocks_find_what_brute_force_finds(spark, data):
-    """Of all pairs that weak labels call sure, nearly all share a block."""
-    ext = spark.read.parquet(f"{data}/extracted_refs.parquet").limit(10**9).collect()
-    cand = spark.read.parquet(f"{data}/candidates.parquet").collect()
-    make = lambda r, k, asks: (r[k], M.record(r["title"], [a.asDict() for a in r["authors"] or []], r["year"], r["doi"], r["container_title"], asks))
-    left, right = [make(r, "ext_id", True) for r in ext], [make(r, "cand_id", False) for r in cand]
-    index: dict[int, list] = {}
-    for c, r in right:
-        for k in r.keys:
-            index.setdefault(k, []).append(c)
+    """Of all pairs that are like by title, authors and year, nearly all share a block."""
+    a, b = M.prepare(spark.read.parquet(f"{data}/extracted_refs.parquet"), "ext_id"), M.prepare(spark.read.parquet(f"{data}/candidates.parquet"), "cand_id")
+    pairs = {(r.fa, r.fb) for r in M.candidate_pairs(a, b).collect()}
+    left, right = a.collect(), b.collect()
     sure = found = 0
-    for _, r in left:
-        near = {c for k in r.keys for c in index.get(k, ())}
-        for c, o in right:
-            if len(set(r.tokens) & set(o.tokens)) >= 0.7 * max(1, len(set(r.tokens) | set(o.tokens))) and len(r.tokens) > 4:
-                f = M.pair_features(r._asdict(), o._asdict())
-                if f[7] >= 0.5 and f[5] <= 1 and f[4]:
-                    sure += 1
-                    found += c in near
+    for r in left:
+        for o in right:
+            x, y = set(r.words), set(o.words)
+            if len(x) > 4 and len(x & y) >= 0.5 * len(x | y) and r.sequel == o.sequel and (r.year is None or o.year is None or abs(r.year - o.year) <= 1) and r.authors and o.authors and M._author_share(r.authors, o.authors) >= 0.5:
+                sure += 1
+                found += (r.form, o.form) in pairs
     assert sure > 20 and found >= 0.97 * sure
 
 
+def test_frequent_ends_lose_no_pair(spark, data, monkeypatch):
+    """Blocks by year give the pairs that blocks without year give."""
+    a, b = M.prepare(spark.read.parquet(f"{data}/extracted_refs.parquet"), "ext_id"), M.prepare(spark.read.parquet(f"{data}/candidates.parquet"), "cand_id")
+    plain = {tuple(r) for r in M.candidate_pairs(a, b).collect()}
+    monkeypatch.setattr(M, "FREQUENT", 0)
+    assert {tuple(r) for r in M.candidate_pairs(a, b).collect()} == plain
+
+
 @pytest.mark.parametrize("typed, listed", [
     (("CQI, Brezokoremel", None), ("Center for Quantum Immunology, Brezokoremel", None)), (("Inst. for Theor. Immunology, Puhufupudel", None), ("Institute for Theoretical Immunology, Puhufupudel", None)),
     (("Gifochalusen, Center for Experimental Cryptology", None), ("Center for Experimental Cryptology, Gifochalusen", None)), (("Boyd", "Alexandrina"), ("Boyd", "A.")),
 ])
-def test_any_word_of_an_author_makes_a_block(typed, listed):
-    make = lambda a, asks: M.record("Adaptive growth of crystals in periodic water", [dict(zip(("family", "given"), a))], 2000, None, None, asks)
-    assert set(make(typed, True).keys) & set(make(listed, False).keys)
+def test_any_word_of_an_author_makes_a_block(spark, typed, listed):
+    make = lambda a: ("Adaptive growth of crystals in periodic water", [a], 2000, None)
+    assert met(spark, make(typed), make(listed))
 
 
-def test_misspelt_short_titles_are_compared_whole():
-    make = lambda t, asks: M.record(t, [{"family": "Kopisenunok", "given": "H."}], 2000, "10.5555/x.1", None, asks)._asdict()
-    v = dict(zip(M.FEATURES, M.pair_features(make("Optical crystalography methds", True), make("Optical crystallography methods", False))))
-    assert v["trigrams"] > 0.5 and v["author_share"] == 1 and v["doi_same"] == 1
+def test_what_a_record_lacks_does_not_part_it(spark):
+    title = "Adaptive growth of optical crystals in periodic water"
+    full = (title, [("Kopisenunok", "H.")], 2000, "10.5555/x.1")
+    for other in ((title, [], 2000, None), (title, None, None, None), (title, [("Kopisenunok", "H.")], None, None), (title, [("Zelofeshigok", "R.")], 2001, "10.5555/x.1")):
+        assert met(spark, full, other) and met(spark, other, full)
+    assert not met(spark, full, (title, [("Kopisenunok", "H.")], 2002, None)) and not met(spark, full, (None, None, None, None))
 
 
-def test_calibration_orders_pairs():
-    import numpy as np
+def test_misspelt_short_titles_are_compared_whole(spark):
+    make = lambda t: (t, [("Kopisenunok", "H.")], 2000, "10.5555/x.1")
+    v = features(spark, make("Optical crystalography methds"), make("Optical crystallography methods"))
+    assert v["trigrams"] > 0.5 and v["author_share"] == 1 and v["doi_same"] == 1 and 0 < v["title_jaccard"] < 0.34
 
+
+def test_native_confidence_equals_numpy(spark, data):
+    f = [[0.2, 0.3, 1, 0.2, 1, 0, 0, 0.5, 0, 0, 0, 0], [1, 1, 1, 1, 1, 0, 0, 1, 0, 0, 0, 1], [1, 1, 1, 1, 0, 3, 0, 0, 0, 0, 0, 1]]
+    df = spark.createDataFrame([([float(x) for x in r],) for r in f], "f array<double>")
+    model = M.fit(np.empty((0, len(M.FEATURES))))
+    got = df.select(model.column(F.col("f")).alias("p"), M.admissible(F.col("f")).alias("ok")).collect()
+    assert np.allclose([r.p for r in got], model.confidence(np.array(f, float))) and [r.ok for r in got] == [True, True, False]
+
+
+def test_calibration_orders_pairs():
     model = M.fit(np.empty((0, len(M.FEATURES))))
     good = [1, 1, 1, 1, 1, 0, 0, 1, 0, 0, 0, 1]
     bad = [0.2, 0.3, 1, 0.2, 1, 0, 0, 0.5, 0, 0, 0, 0]
