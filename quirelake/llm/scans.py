@@ -206,15 +206,16 @@ def words_of(text: str | None) -> tuple[list[str], list[str]]:
     return words, breaks
 
 
-def asked_words(text: str | None, longest: int) -> set[str]:
-    """Every word and break of ``text`` that :func:`repair` may look up, whichever of its breaks are closed.
+Noise = tuple[list[tuple[bool, str]], int, int]
+
+
+def asked_words(noise: Noise, longest: int) -> set[str]:
+    """Every word and break that :func:`repair` may look up in a text (by its :func:`without_noise`), whichever breaks are closed.
 
     A run of halves can become one word in as many ways as it has parts; those of more than ``longest``
     letters, which no correction has, are left out.
     """
     out: set[str] = set()
-    if not text:
-        return out
 
     def mark(m: re.Match) -> str:
         a, b = _halves(m)
@@ -234,7 +235,7 @@ def asked_words(text: str | None, longest: int) -> set[str]:
                 out.add(run)
         return " "
 
-    for protected, part in without_noise(text)[0]:
+    for protected, part in noise[0]:
         if protected:
             continue
         if "\n" in part:
@@ -298,14 +299,15 @@ def corrections(counts: DataFrame, ratio: int = RATIO) -> DataFrame:
     asked = lexicon.select("word", "n", "h", F.explode(rules).alias("rule")).where("contains(word, rule.bad)").select("word", "n", "rule.*", F.expr("h + rule.delta").alias("h"))
     needed = f"CASE WHEN bad rlike '[0-9]' THEN {RATIO_DIGIT} WHEN length(word) >= {LONG} THEN {RATIO_LONG} ELSE {ratio} END * n"
     known = lexicon.where(f"n >= {min(ratio, RATIO_DIGIT)}").select(F.col("word").alias("instead"), F.col("n").alias("n_instead"), "h")
-    pairs = asked.join(known, "h").where(f"n_instead >= {needed}")
+    # tables of words grow with the corpus: none of them is to be broadcast
+    pairs = asked.join(known.hint("merge"), "h").where(f"n_instead >= {needed}")
     at = "concat(array_join(slice(p, 1, k), bad), good, array_join(slice(p, k + 1, size(p)), bad))"
     pairs = pairs.withColumn("p", F.expr("split(word, bad)")).where(F.expr(f"exists(sequence(1, size(p) - 1), k -> {at} = instead)"))
     best = pairs.groupBy("word").agg(F.max_by("instead", F.struct("n_instead", -F.col("rank"), "instead")).alias("instead"))
     broken = counts.where("kind = 'b'").select("word", F.regexp_replace("word", "-", "").alias("closed"))
     kept = (
-        broken.join(words.select("word", F.col("n").alias("n_open")), "word")
-        .join(words.select(F.col("word").alias("closed"), F.col("n").alias("n_closed")), "closed", "left")
+        broken.join(words.select("word", F.col("n").alias("n_open")).hint("merge"), "word")
+        .join(words.select(F.col("word").alias("closed"), F.col("n").alias("n_closed")).hint("merge"), "closed", "left")
         .where("n_open > coalesce(n_closed, 0)")
         .select("word", F.col("word").alias("instead"))
     )
@@ -331,10 +333,10 @@ def _unwrap(prose: str) -> str:
     return "\n".join(out)
 
 
-def repair(text: str | None, instead: dict[str, str], one_line: bool = False) -> Repaired:
+def repair(text: str | None, instead: dict[str, str], one_line: bool = False, noise: Noise | None = None) -> Repaired:
     """``text`` repaired by the corrections ``instead``, with the number of each kind of repair.
 
-    ``one_line`` makes a single line of it, as a bibliography entry is. Null and empty stay as they are.
+    ``one_line`` makes a single line of it, as a bibliography entry is; ``noise`` is its :func:`without_noise` where that is known. Null and empty stay as they are.
     """
     if not text:
         return Repaired(text, 0, 0, 0)
@@ -360,11 +362,11 @@ def repair(text: str | None, instead: dict[str, str], one_line: bool = False) ->
             part = _BREAK.sub(close, part)
         if "\xad" in part:
             part = _SOFT.sub("", part)
-        if not instead.keys().isdisjoint(_PLAIN.findall(part.lower())):
+        if instead and not instead.keys().isdisjoint(_PLAIN.findall(part.lower())):
             part = _PLAIN.sub(correct, part)
         return _unwrap(part) if "\n" in part else part
 
-    parts, n[2], n[0] = without_noise(text)
+    parts, n[2], n[0] = noise or without_noise(text)
     joined = [part if protected else prose(part) for protected, part in parts]
     out = "".join(joined)
     if one_line:
@@ -383,20 +385,19 @@ def _filter_of(table: DataFrame) -> tuple[np.ndarray, int]:
     return bits, table.agg(F.coalesce(F.max(F.length("word")), F.lit(0))).first()[0]
 
 
-class _MayHave:
-    """Asks the filter once for each word; what it says is kept for so many words at a time."""
+class _MayHave(dict):
+    """What the filter says of each word, asked once; kept for so many words at a time."""
 
     def __init__(self, bits: np.ndarray) -> None:
-        self.bits, self.seen = bits, {}
+        super().__init__()
+        self.bits = bits
 
-    def __call__(self, word: str) -> bool:
-        known = self.seen.get(word)
-        if known is None:
-            if len(self.seen) >= HELD_WORDS:
-                self.seen.clear()
-            h = xxhash.xxh64_intdigest(word.encode(), 42)
-            known = self.seen[word] = all(self.bits[(p := q % FILTER_BITS) >> 5] >> (p & 31) & 1 for q in (h, h >> 32))
-        return known
+    def __missing__(self, word: str) -> bool:
+        if len(self) >= HELD_WORDS:
+            self.clear()
+        h = xxhash.xxh64_intdigest(word.encode(), 42)
+        made = self[word] = all(self.bits[(p := q % FILTER_BITS) >> 5] >> (p & 31) & 1 for q in (h, h >> 32))
+        return made
 
 
 def repair_scans(df: DataFrame, keys: tuple[str, ...], text: str = "text", one_line: str | None = None, with_text: bool = True) -> DataFrame:
@@ -425,8 +426,9 @@ def repair_scans(df: DataFrame, keys: tuple[str, ...], text: str = "text", one_l
         for batch in batches:
             done, wait = [], []
             for value, line, row in zip(*(c.to_pylist() for c in batch.columns[k:])):
-                words = [w for w in asked_words(value, longest) if may(w)]
-                done.append((None,) * len(kinds) if words else cut(repair(value, {}, line)))
+                noise = without_noise(value) if value else None
+                words = [w for w in asked_words(noise, longest) if may[w]] if noise else []
+                done.append((None,) * len(kinds) if words else cut(repair(value, {}, line, noise)))
                 wait.append((row, line, value, words) if words else (None,) * 4)
             columns = [pa.array(c, t) for c, t in zip(zip(*done), kinds)] + [pa.array(c, t) for c, t in zip(zip(*wait), (pa.int64(), pa.bool_(), pa.string(), pa.list_(pa.string())))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:k], *columns], [f.name for f in (*own, *told, *waiting)])
@@ -439,6 +441,6 @@ def repair_scans(df: DataFrame, keys: tuple[str, ...], text: str = "text", one_l
 
     passed = stage(source.select(*keys, "__text", "__line", "__row").mapInArrow(first, T.StructType([*own, *told, *waiting])))
     rest = passed.where("__row IS NOT NULL")
-    found = rest.select("__row", F.explode("__words").alias("word")).join(table, "word").groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("word", "instead"))).alias("__instead"))
-    late = rest.select(*keys, "__row", "__line", "__text").join(found, "__row", "left").select(*keys, "__line", "__text", "__instead").mapInArrow(second, T.StructType([*own, *told]))
+    found = rest.select("__row", F.explode("__words").alias("word")).join(table.hint("merge"), "word").groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("word", "instead"))).alias("__instead"))
+    late = rest.select(*keys, "__row", "__line", "__text").join(found.hint("merge"), "__row", "left").select(*keys, "__line", "__text", "__instead").mapInArrow(second, T.StructType([*own, *told]))
     return passed.where("__row IS NULL").select(*keys, *(f.name for f in told)).unionByName(late)
