@@ -32,7 +32,7 @@ BANDS, ROWS, SINGLES, DOI_ROWS = 12, 4, 4, 3
 #: Letters at the start and at the end of a name that make a block: one edit leaves one of them whole in a long name.
 HEAD, TAIL = 5, 6
 #: Ends of names that more records have are blocked by the year too.
-FREQUENT = 1000
+FREQUENT = 5000
 #: Words with which a title can tell a work by itself; shorter ones of records without authors meet by their DOI only.
 TELLING = 4
 #: Share of common title words from which a candidate pair is compared further; titles of fewer than TELLING words are in any case.
