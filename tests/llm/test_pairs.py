@@ -50,21 +50,24 @@ def test_components(spark, shape):
     assert {r.node: r.component for r in components(df).collect()} == union_find(edges)
 
 
-def brute_pairs(sets, threshold):
+def brute_pairs(sets, threshold, rarest=1 << 16):
     df = Counter(t for _, _, ts in sets for t in ts)
-    w = {t: round(1 + math.log(len(sets) / n), 4) for t, n in df.items()}
+    w = {t: round(1000 * (1 + math.log(len(sets) / max(n, len(sets) / rarest)))) for t, n in df.items()}
     out = set()
     for (a, x, s), (b, y, t) in combinations(sets, 2):
         s, t = set(s), set(t)
         if x == y and s and t:
             shared, union = sum(w[k] for k in s & t), sum(w[k] for k in s | t)
-            if shared / union >= threshold + 1e-9:
+            if shared / union >= threshold:
                 out.add((min(a, b), max(a, b)))
     return out
 
 
-@pytest.mark.parametrize("threshold", [0.4, 0.62, 0.8])
-def test_token_group_matrix_loses_no_pair(spark, threshold):
+@pytest.mark.parametrize("threshold, group, rarest", [(0.4, 256, 1 << 16), (0.62, 3, 1 << 16), (0.8, 256, 8), (0.4, 1, 8)])
+def test_token_group_matrix_loses_no_pair(spark, monkeypatch, threshold, group, rarest):
+    """As brute force, also where groups are split and rare tokens weigh alike."""
+    monkeypatch.setattr(D, "GROUP", group)
+    monkeypatch.setattr(D, "RAREST", rarest)
     rng = random.Random(5)
     words = [f"w{i}" for i in range(30)]
     sets = []
@@ -75,9 +78,12 @@ def test_token_group_matrix_loses_no_pair(spark, threshold):
         sets.append((i, rng.choice(["p", "q", None]), sorted(set(base))))
     sets.append((999, "p", []))
     df = spark.createDataFrame(sets, "id bigint, block string, tokens array<string>")
-    got = {(r.a, r.b) for r in D.token_group_pairs(df, threshold).collect()}
-    want = brute_pairs(sets, threshold)
-    assert want <= got and len(got - want) <= 1
+    weighed = D.weighted_sets(df).select("*", F.lit(threshold).alias("threshold"), F.col("id").alias("tag"))
+    found = D.token_group_pairs(weighed).collect()
+    got = {(r.a, r.b) for r in found}
+    assert got == brute_pairs(sets, threshold, rarest) and len(found) == len(got)
+    assert all((r.tag_a, r.tag_b) == (r.a, r.b) for r in found)
+    assert D.token_group_pairs(weighed.limit(0)).count() == 0
 
 
 ENTRY = "Boyd, S., & Lee, K. ({y}). Variational optodynamics for periodic morphology in surface crystals. Journal of Industrial Mechanics, 22(1), {p}."
