@@ -379,10 +379,13 @@ def link_names(rows: DataFrame, aliases: DataFrame, key: str = "name_id", family
     chosen = stage(chosen.select("form", "kind", "fam", "word", "initial", "keys", "tail", "n"))
     people = chosen.where("kind = 'p'")
     people = people.join(_given_initials(aliases, people.where("word <> ''")), ["fam", "initial"], "left").withColumn("initial", F.coalesce("meant", "initial")).drop("meant", "keys")
+    people = stage(people)
     alone = people.where("initial <> ''").groupBy("fam").agg(F.countDistinct("initial").alias("k"), F.first("initial").alias("sole")).where("k = 1").select("fam", "sole")
     people = people.join(alone, "fam", "left").withColumn("initial", F.when(F.col("initial") == "", F.coalesce("sole", F.lit(""))).otherwise(F.col("initial")))
+    people = stage(people.drop("k", "sole"))
     low = aliases.select(F.lower(F.trim("given")).alias("g"), F.lower(F.trim("alias")).alias("w"))
     known = low.union(low.select("g", F.col("g").alias("w"))).distinct().groupBy("w").agg(F.collect_set("g").alias("of"))
+    known = stage(known)
     people = _apart(_apart(people, "word", known), "tail", known.limit(0))
     persons = people.select("form", F.xxhash64(F.lit("p"), "fam", "initial", "word_apart", "tail_apart").alias("entity"))
     # organisations of one place share at least two initials
