@@ -9,6 +9,7 @@ import difflib
 import re
 import unicodedata
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column
@@ -16,57 +17,74 @@ from pyspark.sql import functions as F
 
 from quirelake.functions.fold import column
 
-_FENCE = re.compile(r"^(`{3,}|~{3,})(.*)$")
+_FENCE = re.compile(r"\s*(`{3,}|~{3,})\s*([^`\s]*)\s*")
+
+
+class Fence(NamedTuple):
+    """A line that opens or closes fenced code: its mark, repeated, and its info word."""
+
+    mark: str
+    info: str
+
+    def ended_by(self, other: Fence | None) -> bool:
+        return other is not None and not other.info and other.mark.startswith(self.mark)
+
+
+def fence_of(line: str) -> Fence | None:
+    found = _FENCE.fullmatch(line)
+    return Fence(*found.groups()) if found else None
 
 
 def fence_code(content: str | None) -> str | None:
-    """Code in a fence longer than any run of backticks in it; one outer fence that it has already goes, its info stays."""
+    """Code in a fence longer than any run of backticks in it; one outer fence that it has already goes, closed or not, its info stays."""
     if content is None:
         return None
-    lines = content.strip("\n").split("\n")
-    info = ""
-    opened = _FENCE.match(lines[0].strip())
-    if opened and len(lines) > 1:
-        mark, last = opened.group(1), lines[-1].strip()
-        if last and set(last) == {mark[0]} and len(last) >= len(mark):
-            info, lines = opened.group(2).strip(), lines[1:-1]
-    body = "\n".join(lines)
-    longest = max((len(m) for m in re.findall("`+", body)), default=0)
-    fence = "`" * max(3, longest + 1)
-    return f"{fence}{info}\n{body}\n{fence}"
+    lines = content.split("\n")
+    opened = fence_of(lines[0])
+    if opened:
+        closed = len(lines) > 1 and opened.ended_by(fence_of(lines[-1]))
+        lines = lines[1 : len(lines) - closed]
+    longest = max(map(len, re.findall("`+", "\n".join(lines))), default=0)
+    mark = "`" * max(3, longest + 1)
+    return "\n".join([mark + (opened.info if opened else ""), *lines, mark])
 
 
 def repair_doubled_fences(text: str | None) -> str | None:
-    """A bare fence that wraps a fenced block right inside it goes, with its closing one.
+    """A block between two bare fences of three backticks that has fences within becomes one block, fenced by T15.
 
-    Only a line of exactly three backticks starts a wrapper, and only where the next line opens a
-    fence with more marks or with an info word; a wrapper or block that never ends is left alone.
-    Applying it twice changes nothing more.
+    One walk over the lines knows the block that is open and the fence open within it; the line after a
+    bare opener may open one too. Blocks with an info word or another mark are passed over whole, and
+    what is never closed is left alone. Applying it twice changes nothing more.
     """
     if not text or "```" not in text:
         return text
-    lines, out, i = text.split("\n"), [], 0
-    while i < len(lines):
-        inner = _FENCE.match(lines[i + 1].strip()) if lines[i] == "```" and i + 1 < len(lines) else None
-        if inner and (len(inner.group(1)) > 3 or inner.group(2).strip() or inner.group(1)[0] == "~"):
-            mark = inner.group(1)
-            close = next((k for k in range(i + 2, len(lines)) if (s := lines[k].strip()) and set(s) == {mark[0]} and len(s) >= len(mark)), None)
-            if close is not None and close + 1 < len(lines) and lines[close + 1] == "```":
-                out += lines[i + 1 : close + 1]
-                i = close + 2
-                continue
-        plain = _FENCE.match(lines[i].strip())
-        if plain:
-            # an ordinary block is passed over whole, so that its end is not taken for a wrapper
-            mark = plain.group(1)
-            close = next((k for k in range(i + 1, len(lines)) if (s := lines[k].strip()) and set(s) == {mark[0]} and len(s) >= len(mark)), None)
-            if close is not None:
-                out += lines[i : close + 1]
-                i = close + 1
-                continue
-        out.append(lines[i])
-        i += 1
-    return "\n".join(out)
+    out: list[str] = []
+    block: list[str] = []
+    outer: Fence | None = None
+    inner: Fence | None = None
+    fences = 0
+    for line in text.split("\n"):
+        mark = fence_of(line)
+        if outer is None:
+            if mark is None:
+                out.append(line)
+            else:
+                outer, inner, block, fences = mark, None, [line], 0
+            continue
+        block.append(line)
+        wrapper = block[0] == "```"
+        fences += wrapper and mark is not None
+        if not wrapper:
+            done = outer.ended_by(mark)
+        elif inner is not None:
+            done, inner = False, None if inner.ended_by(mark) else inner
+        else:
+            done = line == "```" and len(block) > 2
+            inner = None if done else mark
+        if done:
+            out += fence_code("\n".join(block[1:-1]).strip()).split("\n") if fences > 1 else block
+            outer = None
+    return "\n".join(out + (block if outer else []))
 
 
 class _Rows(HTMLParser):
@@ -181,8 +199,8 @@ def relative_links(text: str | None, base: str) -> str | None:
 
 
 def words(text: str | None) -> list[str]:
-    """Words of letters and digits of the decomposed lower-case text."""
-    return [w for w in re.split(r"[\W_]+", unicodedata.normalize("NFKD", text or "").lower()) if w]
+    """Words of Latin letters and digits of the decomposed lower-case text; letters of other scripts part words as signs do."""
+    return re.findall("[a-z0-9]+", unicodedata.normalize("NFKD", text or "").lower())
 
 
 def normal_title(title: str | None) -> str:

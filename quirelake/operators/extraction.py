@@ -24,50 +24,62 @@ _LEADING = re.compile(r"^\s*\[?(\d+)[\]. ]?\s")
 AUTHORS = "array<struct<family: string, given: string>>"
 
 
+def _printed_number(raw: str | None) -> str | None:
+    found = _LEADING.match(raw or "")
+    return found.group(1) if found else None
+
+
+def _key_number(row: dict) -> str | None:
+    found = _NUMERIC.fullmatch((row.get("citation_key") or "").strip())
+    return found.group(1) if found else None
+
+
 def row_fits(row: dict, raw: str | None) -> bool:
     """Whether a row can have been read from an entry.
 
     A purely numeric key must be the number printed in front, where there is one. Of the first six
     title words longer than three letters (else the first three words) six tenths, one at least, must
-    be printed; an untitled row needs all words of its first surname. A row with neither fits nothing.
+    be printed; where the title has no such word, all words of the first surname. With nothing to check the row fits.
     """
-    raw = raw or ""
-    printed, key = _LEADING.match(raw), _NUMERIC.fullmatch((row.get("citation_key") or "").strip())
-    if printed and key and printed.group(1) != key.group(1):
+    key, printed = _key_number(row), _printed_number(raw)
+    if key and printed and key != printed:
         return False
-    have = set(words(raw))
-    title = words(row.get("title"))
-    if title:
-        probe = [w for w in title if len(w) > 3][:6] or title[:3]
+    have, title = set(words(raw)), words(row.get("title"))
+    probe = [w for w in title if len(w) > 3][:6] or title[:3]
+    if probe:
         return sum(w in have for w in probe) >= max(1, 0.6 * len(probe))
     authors = row.get("authors") or []
-    surname = words(authors[0].get("family") if authors and authors[0] else "")
-    return bool(surname) and all(w in have for w in surname)
+    return have.issuperset(words(authors[0].get("family")) if authors and authors[0] else ())
 
 
-def align_rows(rows: list[dict], raws: list[str]) -> list[dict | None]:
-    """For each raw entry the row that belongs to it, or none.
+def claims(rows: list[dict], raws: list[str]) -> Iterator[tuple[int, int]]:
+    """J1, what is asked: (row, place) of every place a row may belong to, row by row, the likeliest place first.
 
-    Row by row, the first free place that it fits: the line it declares, the place with the same
-    printed number, and its own place where rows and entries are as many and no line is declared twice.
+    These are the line it declares, the first place with the number of its key printed, and its own place where rows and
+    entries are as many and no valid line is declared twice. A line out of range is no declaration.
     """
-    out: list[dict | None] = [None] * len(raws)
-    lines = [r.get("line") for r in rows if r.get("line") is not None]
-    own_place = len(rows) == len(raws) and len(set(lines)) == len(lines)
-    by_number = {m.group(1): i for i in range(len(raws) - 1, -1, -1) if (m := _LEADING.match(raws[i] or ""))}
-    for k, row in enumerate(rows):
-        asked = []
-        if row.get("line") is not None and 1 <= row["line"] <= len(raws):
-            asked.append(row["line"] - 1)
-        key = _NUMERIC.fullmatch((row.get("citation_key") or "").strip())
-        if key and key.group(1) in by_number:
-            asked.append(by_number[key.group(1)])
-        if own_place:
-            asked.append(k)
-        place = next((i for i in asked if out[i] is None and row_fits(row, raws[i])), None)
-        if place is not None:
-            out[place] = row
-    return out
+    lines = [line if line is not None and 0 < line <= len(raws) else None for line in (r.get("line") for r in rows)]
+    valid = [line for line in lines if line]
+    number_at: dict[str | None, int] = {}
+    for place, raw in enumerate(raws):
+        number_at.setdefault(_printed_number(raw), place)
+    in_order = len(rows) == len(raws) and len(valid) == len(set(valid))
+    for k, (row, line) in enumerate(zip(rows, lines)):
+        key = _key_number(row)
+        for place in (line - 1 if line else None, number_at.get(key) if key else None, k if in_order else None):
+            if place is not None:
+                yield k, place
+
+
+def align_rows(rows: list[dict], raws: list[str]) -> list[dict | None]:
+    """For each raw entry the row that belongs to it, or none: of the :func:`claims`, in order, each that fits, whose row has no place yet and whose place is free."""
+    held: dict[int, int] = {}
+    settled: set[int] = set()
+    for k, place in claims(rows, raws):
+        if k not in settled and place not in held and row_fits(rows[k], raws[place]):
+            held[place] = k
+            settled.add(k)
+    return [rows[held[i]] if i in held else None for i in range(len(raws))]
 
 
 def batches(refs: DataFrame, size: int = 50) -> DataFrame:
@@ -150,61 +162,122 @@ def invented_fields(rows: DataFrame, key: str = "ext_id") -> DataFrame:
     return rows.select(key, "text", "title", "authors", "year", "doi", "volume", "page_range").mapInArrow(run, schema)
 
 
+_PERSON = r"(?!and\b)[^\W\d_][\w'’-]+"
+#: ``Family, I. J.`` and ``I. J. Family``, the two ways in which bibliographies print a name.
+_INVERTED = re.compile(rf"((?:{_PERSON} )*{_PERSON}), ((?:[^\W\d_]\.[ -]?)+)")
+_STRAIGHT = re.compile(rf"((?:[^\W\d_]\.[ -]?)+) ?((?:{_PERSON} )*{_PERSON})")
+_VOLUME = re.compile(r"\b(\d{1,4})\s*(?:\(\d+(?:[-–]\d+)?\))?\s*[,:]\s*(?:pp?\.\s*)?(\d+\s*[-–]\s*\d+)")
+_DOI = re.compile(r"10\.\d{4,9}/[^\s\"'<>]+")
+
+
+def rule_authors(lead: str) -> list[dict]:
+    """The names at the head of an entry, in either way of printing them; none where it begins otherwise."""
+    out: list[dict] = []
+    at = 0
+    while at < len(lead):
+        found = _INVERTED.match(lead, at) or _STRAIGHT.match(lead, at)
+        if not found:
+            break
+        inverted = found.re is _INVERTED
+        family, given = (found.group(1), found.group(2)) if inverted else (found.group(2), found.group(1))
+        out.append({"family": family.strip(" ."), "given": given.strip() or None})
+        at = found.end()
+        joint = re.compile(r"[\s,;.]*(?:\band\b|&)?\s*").match(lead, at)
+        at = joint.end() if joint and joint.end() > at else len(lead)
+    return out
+
+
 def rule_extractor(raws: list[str]) -> list[dict]:
-    """The offline stand-in for the model: key, year and a rough title of each line, in order; a line that says nothing gives no row."""
+    """The offline stand-in for the model: key, authors, year, a rough title, journal, volume, pages and DOI of each line, in order; a line that says nothing gives no row."""
     out = []
     for i, raw in enumerate(raws, 1):
         entry = read_entry(raw)
+        if not entry.words:
+            continue
         line = one_line(raw or "")
-        quoted = re.search(r"[“\"]([^”\"]{8,}?)[,.]?[”\"]", line)
-        parts = [p for p in re.split(r"(?<=[a-z)]{2})\.\s+", line) if len(p) > 20]
+        number = _LEADING.match(line)
+        body = line[number.end() :] if number else line
+        quoted = re.search(r"[“\"]([^”\"]{8,}?)[,.]?[”\"]", body)
+        parts = [p for p in re.split(r"(?<=[a-z)]{2})\.\s+", body) if len(p) > 20]
         title = quoted.group(1) if quoted else (parts[1] if len(parts) > 1 else None)
-        if entry.words:
-            number = _LEADING.match(line)
-            out.append({"line": i, "citation_key": f"[{number.group(1)}]" if number else None, "title": title, "year": entry.year, "authors": []})
+        after = body[body.find(title) + len(title) :] if title else ""
+        journal = re.match(r"[\s,.”\"]*(?:in:?\s+)?([^\W\d_][^,\d]{4,80}?)[,.]?\s*(?:vol\.?\s*)?(?=\d|,)", after, re.IGNORECASE)
+        volume, doi = _VOLUME.search(after or body), _DOI.search(line)
+        lead = body[: body.find(title)] if title else body
+        out.append({
+            "line": i, "citation_key": f"[{number.group(1)}]" if number else None, "title": title, "authors": rule_authors(lead.lstrip()), "year": entry.year,
+            "container_title": journal.group(1).strip() if journal else None, "volume": volume.group(1) if volume else None, "page_range": volume.group(2) if volume else None, "doi": doi.group().rstrip(".,;:)]}") if doi else None,
+        })
     return out
 
 
-def extract_all(refs: DataFrame, model: Callable[[list[str]], list[dict]] = rule_extractor, size: int = 50) -> DataFrame:
-    """``doc_id``, ``ref_idx``, ``citation_key``, ``title`` and ``year`` of every reference, nulls where the model gave nothing.
+#: The fields of an extracted row, in the order of the output.
+FIELDS = {"citation_key": "string", "title": "string", "authors": AUTHORS, "year": "int", "container_title": "string", "volume": "string", "page_range": "string", "doi": "string"}
+ROW = ", ".join(f"{n}: {k}" for n, k in FIELDS.items())
 
-    A batch of ``size`` goes to the model at once. Lines it leaves out are asked again once, and then
-    the rest in halves down to single lines; a batch on which it fails gives nulls, never an error.
-    """
-    schema = T.StructType([refs.schema["doc_id"], refs.schema["ref_idx"], T.StructField("citation_key", T.StringType()), T.StructField("title", T.StringType()), T.StructField("year", T.IntegerType())])
 
-    def ask(raws: list[str], again: bool = True) -> list[dict | None]:
+def ask_model(model: Callable[[list[str]], list[dict]], raws: list[str]) -> list[dict | None]:
+    """The row of each line, or none. Lines that the model leaves out are asked again once, then in halves down to single lines; a call that fails gives none."""
+
+    def ask(places: list[int]) -> list[int]:
+        """Asks for lines by their places; gives those that stay open."""
         try:
-            got = align_rows(model(raws), raws)
+            for i, row in zip(places, align_rows(model([raws[i] for i in places]), [raws[i] for i in places])):
+                got[i] = row or got[i]
         except Exception:  # a failing batch must not end the job
-            got = [None] * len(raws)
-        holes = [i for i, g in enumerate(got) if g is None]
-        if not holes or len(raws) == 1:
-            return got
-        if again:
-            parts = [holes]
-        else:
-            middle = (len(holes) + 1) // 2
-            parts = [holes[:middle], holes[middle:]] if len(holes) < len(raws) or len(raws) > 1 else []
-        for part in parts:
-            if part and (again or len(part) < len(raws)):
-                for i, g in zip(part, ask([raws[i] for i in part], False)):
-                    got[i] = g
-        return got
+            pass
+        return [i for i in places if got[i] is None]
+
+    got: list[dict | None] = [None] * len(raws)
+    left = ask(list(range(len(raws))))
+    pending = [left] if left and len(raws) > 1 else []
+    while pending:
+        part = pending.pop(0)
+        rest = ask(part)
+        if rest and len(part) > 1:
+            middle = (len(rest) + 1) // 2
+            pending += [half for half in (rest[:middle], rest[middle:]) if half and len(half) < len(part)]
+    return got
+
+
+def extract_batches(refs: DataFrame, model: Callable[[list[str]], list[dict]] = rule_extractor, size: int = 50, cache: DataFrame | None = None, settings: str = "") -> DataFrame:
+    """Every reference (``doc_id``, ``batch``, ``ref_idx``) with the :data:`FIELDS`, nulls where the model gave nothing, and its batch's ``cache_key`` and ``cached``.
+
+    A batch of ``size`` goes to the model at once, unless ``cache`` (as :func:`cache_entries` gives it) has its key: then
+    the model isn't asked. ``settings`` names what else the answer depends on, such as the model.
+    """
+    kept = batches(refs, size)
+    lines = kept.groupBy("doc_id", "batch").agg(F.array_sort(F.collect_list(F.struct("line", "ref_idx", "text"))).alias("lines")).join(batch_keys(kept, settings), ["doc_id", "batch"])
+    known = cache.groupBy("cache_key").agg(F.first("items").alias("items")) if cache is not None else None
+    asked = lines.join(known, "cache_key", "left") if known is not None else lines.withColumn("items", F.lit(None).cast(f"array<struct<{ROW}>>"))
+    index = refs.schema["ref_idx"]
+    schema = T.StructType([refs.schema["doc_id"], T.StructField("batch", T.IntegerType()), T.StructField("cache_key", T.StringType()), T.StructField("cached", T.BooleanType()), index, *T._parse_datatype_string(f"struct<{ROW}>").fields])
+    people = pa.list_(pa.struct([("family", pa.string()), ("given", pa.string())]))
+    kinds = [pa.bool_(), pa.int64() if index.dataType == T.LongType() else pa.int32(), *(people if n == "authors" else pa.int32() if n == "year" else pa.string() for n in FIELDS)]
 
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_:
-            docs, rows = [], []
-            for i, lines in enumerate(batch.column(1).to_pylist()):
-                for x, g in zip(lines, ask([v["text"] or "" for v in lines])):
-                    docs.append(i)
-                    rows.append((x["ref_idx"], (g or {}).get("citation_key"), (g or {}).get("title"), (g or {}).get("year")))
-            columns = list(zip(*rows)) if rows else [()] * 4
-            index = pa.int64() if schema["ref_idx"].dataType == T.LongType() else pa.int32()
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(docs, pa.int64())), *(pa.array(c, t) for c, t in zip(columns, (index, pa.string(), pa.string(), pa.int32())))], schema.names)
+            at, rows = [], []
+            for i, (own, items) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())):
+                hit = items is not None and len(items) == len(own)
+                for x, g in zip(own, items if hit else ask_model(model, [v["text"] or "" for v in own])):
+                    at.append(i)
+                    rows.append((hit, x["ref_idx"], *((g or {}).get(n) for n in FIELDS)))
+            columns = list(zip(*rows)) if rows else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at, pa.int64())) for c in batch.columns[:3]), *(pa.array(c, t) for c, t in zip(columns, kinds))], schema.names)
+
+    return asked.select("doc_id", "batch", "cache_key", "lines", "items").mapInArrow(run, schema)
+
+
+def extract_all(refs: DataFrame, model: Callable[[list[str]], list[dict]] = rule_extractor, size: int = 50, cache: DataFrame | None = None, settings: str = "") -> DataFrame:
+    """``doc_id``, ``ref_idx`` and the :data:`FIELDS` of every reference, as :func:`extract_batches`."""
+    return extract_batches(refs, model, size, cache, settings).select("doc_id", "ref_idx", *FIELDS)
+
 
-    grouped = batches(refs, size).groupBy("doc_id", "batch").agg(F.array_sort(F.collect_list(F.struct("ref_idx", "text"))).alias("lines"))
-    return grouped.select("doc_id", "lines").mapInArrow(run, schema)
+def cache_entries(extracted: DataFrame) -> DataFrame:
+    """``cache_key`` and ``items``, the rows in order, of the batches of :func:`extract_batches` of which every line has a row; others are asked again next time."""
+    whole = extracted.groupBy("doc_id", "batch", "cache_key").agg(F.bool_and(F.coalesce("title", "citation_key", F.get("authors", F.lit(0))["family"]).isNotNull()).alias("all"), F.array_sort(F.collect_list(F.struct("ref_idx", F.struct(*FIELDS).alias("row")))).alias("rows"))
+    return whole.where("all").groupBy("cache_key").agg(F.first(F.transform("rows", lambda r: r["row"])).alias("items"))
 
 
 def extraction_quality(rows: DataFrame) -> DataFrame:

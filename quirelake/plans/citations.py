@@ -112,6 +112,26 @@ def x1_extracted(spark: SparkSession, root: str) -> DataFrame:
     return E.extract_all(I.refs(spark, root))
 
 
+def _fields(df: DataFrame) -> DataFrame:
+    authors = F.array_join(F.transform("authors", lambda a: F.concat_ws(", ", a["family"], a["given"])), "; ")
+    return df.withColumn("authors", authors)
+
+
+def x1_printed(spark: SparkSession, root: str) -> DataFrame:
+    """Entries printed in one style from the catalogue's fields and read back: two authors, year, title in quotes, journal, volume and pages."""
+    text = F.expr("concat('[', cand_id, '] Family', cand_id % 97, ', A. and Other', cand_id % 89, ', B. “Title ', cand_id, ' on crystals,” Journal of Optics, ', cand_id % 50 + 1, '(2), 1', cand_id % 9, '-', 20 + cand_id % 9, ', ', 1950 + cand_id % 70, '. doi:10.5555/x.', cand_id)")
+    printed = table(spark, root, "candidates").select((F.col("cand_id") % 211).alias("doc_id"), F.col("cand_id").alias("ref_idx"), text.alias("text"))
+    return _fields(E.extract_all(printed)).select("ref_idx", *E.FIELDS)
+
+
+def x1_cached(spark: SparkSession, root: str) -> DataFrame:
+    """A second run over whole bibliographies with the first one's cache: by whether a batch of which every line was read is asked again."""
+    first = E.extract_batches(I.refs(spark, root))
+    again = E.extract_batches(I.refs(spark, root), cache=E.cache_entries(first))
+    whole = E.cache_entries(first).select("cache_key", F.lit(True).alias("whole"))
+    return again.join(whole, "cache_key", "left").groupBy((F.coalesce("whole", F.lit(False)) == F.col("cached")).alias("agrees")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def x1_batches(spark: SparkSession, root: str) -> DataFrame:
     return E.batches(I.refs(spark, root)).select("ref_id", "batch", "line")
 
@@ -253,13 +273,11 @@ def b6_citations(spark: SparkSession, root: str) -> DataFrame:
     kept = drop_index_entries(I.refs(spark, root), ties=("ref_id",))
     guess = E.extract_all(kept.select("doc_id", "ref_idx", "text"))
     rows = kept.select("doc_id", "ref_idx", F.col("text").alias("raw_text")).join(guess, ["doc_id", "ref_idx"], "left")
-    none = F.lit(None).cast("string")
-    rows = rows.withColumns({"authors": F.lit(None).cast("array<struct<family:string,given:string>>"), "doi": none, "container_title": none, "volume": none})
     return R.resolve(rows, I.catalogue(spark, root)).select("doc_id", "ref_idx", "title", "verified", "match")
 
 
 _NAMES = (
-    "a1_style j8_numbers j9_names t10_citekeys l1_markers l5_styles j12_uncited j15_rewritten a2_forms a8_equation_tags j2_zipped r7_keys parse15_fits parse16_invented a9_quality x1_extracted x1_batches a11_cache j4_by_doi r1_judged "
+    "a1_style j8_numbers j9_names t10_citekeys l1_markers l5_styles j12_uncited j15_rewritten a2_forms a8_equation_tags j2_zipped r7_keys parse15_fits parse16_invented a9_quality x1_extracted x1_printed x1_cached x1_batches a11_cache j4_by_doi r1_judged "
     "j5_chain o3_near_misses j3_best r4_resolved r3_merged r6_pool u1_pools r8_semanticscholar r9_crossref r10_openalex r11_bundles r5_abstracts j6_sources j7_hydrated j17_caller a6_routes a6_outcomes a7_difference k7_report k8_export "
     "g6_descriptions k3_manifests b6_citations"
 ).split()
@@ -280,6 +298,9 @@ ORACLES = {
     "j2_zipped": f"{_X} SELECT ref_id, title, year FROM extracted",
     "r7_keys": f"""{_X} SELECT ext_id, CASE WHEN NOT regexp_matches(citation_key, '^\\[?\\(?(\\d+)[\\]).]?$') OR regexp_extract(citation_key, '^\\[?\\(?(\\d+)[\\]).]?$', 1) = nullif(regexp_extract(raw_text, '^\\s*\\[?(\\d+)[\\]. ]?\\s', 1), '') THEN citation_key END AS citation_key FROM extracted WHERE ext_id IS NOT NULL""",
     "x1_batches": f"WITH {I.REFS}, p AS (SELECT ref_id, row_number() OVER (PARTITION BY doc_id ORDER BY ref_idx) - 1 AS p FROM refs) SELECT ref_id, CAST(p // 50 AS INTEGER) AS batch, CAST(p % 50 + 1 AS INTEGER) AS line FROM p",
+    "x1_printed": """SELECT cand_id AS ref_idx, '[' || cand_id || ']' AS citation_key, 'Title ' || cand_id || ' on crystals' AS title, 'Family' || cand_id % 97 || ', A.; Other' || cand_id % 89 || ', B.' AS authors,
+        CAST(1950 + cand_id % 70 AS INTEGER) AS year, 'Journal of Optics' AS container_title, CAST(cand_id % 50 + 1 AS VARCHAR) AS volume, '1' || cand_id % 9 || '-' || (20 + cand_id % 9) AS page_range, '10.5555/x.' || cand_id AS doi FROM candidates""",
+    "x1_cached": "SELECT true AS agrees, count(*) AS n FROM raw_refs",
     "j4_by_doi": f"{_BYDOI} SELECT doc_id, ref_idx, cand_id FROM hits",
     "r3_merged": f"""{_BYDOI} SELECT e.doc_id, e.ref_idx, coalesce(nullif(c.title, ''), e.title) AS title, CASE WHEN c.year IS NULL OR c.year = 0 OR c.year < coalesce(e.year, 0) THEN e.year ELSE c.year END AS year,
         c.cand_id IS NOT NULL AS verified, {_SOURCE} AS source FROM extracted e LEFT JOIN hits h ON e.doc_id = h.doc_id AND e.ref_idx = h.ref_idx LEFT JOIN candidates c ON h.cand_id = c.cand_id""",

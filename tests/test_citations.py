@@ -72,7 +72,12 @@ def test_row_fits_and_alignment():
     assert E.align_rows(echoed, raws) == [echoed[0], None, echoed[2]]
     assert E.align_rows([row(2, "[3]", "Deep networks explained")], raws) == [None, None, row(2, "[3]", "Deep networks explained")]
     assert not E.row_fits(row(1, "[2]", "Convex optimization methods"), raws[0]) and not E.row_fits(row(1, None, "Other things entirely"), raws[0])
-    assert E.row_fits({"title": None, "authors": [{"family": "Boyd"}]}, raws[0]) and not E.row_fits({"title": None, "authors": []}, raws[0])
+    assert E.row_fits({"title": None, "authors": [{"family": "Boyd"}]}, raws[0]) and not E.row_fits({"title": None, "authors": [{"family": "Lee"}]}, raws[0])
+    assert E.row_fits({"title": None, "authors": []}, raws[0]) and E.row_fits({"title": "Оптика", "authors": None}, raws[0])
+    odd = [row(2, None, "Smooth manifolds"), row(2, None, "Smooth manifolds again"), row(9, None, "nowhere"), row(1, None, "Convex optimization")]
+    assert E.align_rows(odd, raws) == [odd[3], odd[0], None]
+    beyond = [row(57, None, "Convex optimization methods"), row(57, None, "Smooth manifolds revisited"), row(58, None, "Deep networks explained")]
+    assert E.align_rows(beyond, raws) == beyond
     assert E.invented({"year": 1999, "title": "Convex optimization methods", "doi": "10.1/x", "authors": [{"family": "Lee"}]}, raws[0]) == ["year", "doi", "author"]
 
 
@@ -90,6 +95,21 @@ def test_extract_all_survives_a_bad_model(spark):
     assert E.extract_all(refs.limit(0)).count() == 0
 
 
+def test_extraction_reads_all_fields_and_asks_once(spark):
+    entries = ["[1] Boyd, S. P., and Lee, K. “Convex methods for all,” Journal of Optics, 22(1), 7-9, 2004. doi:10.5555/x.1.", "[2] A. Kim and B. van Dyk. “Smooth manifolds revisited,” Acta Optica, 3, 11-12, 2012.", None]
+    refs = spark.createDataFrame([("d", i, t) for i, t in enumerate(entries)], "doc_id string, ref_idx int, text string")
+    first = E.extract_batches(refs, size=2)
+    got = {r.ref_idx: r for r in first.collect()}
+    assert [(a.family, a.given) for a in got[0].authors] == [("Boyd", "S. P."), ("Lee", "K.")] and [(a.family, a.given) for a in got[1].authors] == [("Kim", "A."), ("van Dyk", "B.")]
+    assert (got[0].container_title, got[0].volume, got[0].page_range, got[0].doi, got[0].year) == ("Journal of Optics", "22", "7-9", "10.5555/x.1", 2004) and got[2].title is None
+
+    def never(raws):
+        raise AssertionError("asked again")
+
+    again = {r.ref_idx: r for r in E.extract_batches(refs, never, size=2, cache=E.cache_entries(first)).collect()}
+    assert [again[i].cached for i in range(3)] == [True, True, False] and all(again[i].title == got[i].title and again[i].authors == got[i].authors for i in range(3))
+
+
 def test_acceptance():
     a = [{"family": "Höhn", "given": "A."}]
     ok = lambda *x: R.judge(*x)[1]

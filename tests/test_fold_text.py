@@ -92,6 +92,16 @@ def test_fences():
     assert blocks.repair_doubled_fences(once) == once
     assert blocks.repair_doubled_fences("```\n```py\nx") == "```\n```py\nx"
     assert blocks.fence_code(None) is None and blocks.repair_doubled_fences(None) is None
+    assert blocks.fence_code("```python\nx=1") == "```python\nx=1\n```"
+    assert blocks.fence_code("Listing:\n```py\nx\n```") == "````\nListing:\n```py\nx\n```\n````"
+
+
+@pytest.mark.parametrize("text, made", [
+    ("```\n```\nx\n```\n```\nafter", "```\nx\n```\nafter"), ("```\nSnip\n\n```py\nx\n```\n```\n\n## Next", "````\nSnip\n\n```py\nx\n```\n````\n\n## Next"), ("a\n\n```\nfor x:\n    y\n```\n\nb", "a\n\n```\nfor x:\n    y\n```\n\nb"),
+    ("```\n~~~py\nx\n~~~\n```\nu", "```py\nx\n```\nu"), ("```\n````\n```\nno closer\n```\n````\n```\nu", "````\n```\nno closer\n```\n````\nu"), ("t\n```\nx\nnever closed", "t\n```\nx\nnever closed"), ("```py\n```\n```\nx\n```", "```py\n```\n```\nx\n```"),
+])
+def test_doubled_fences(text, made):
+    assert blocks.repair_doubled_fences(text) == made and blocks.repair_doubled_fences(made) == made
 
 
 def test_tables():
