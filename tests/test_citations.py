@@ -14,27 +14,31 @@ from quirelake.operators import resolve as R
 AUTHORS = "array<struct<family:string,given:string>>"
 REFS = f"doc_id string, ref_idx int, citation_key string, authors {AUTHORS}, year int"
 NUMBERS = {1: 0, 2: 1, 3: 2, 7: 6, 8: 7}
+NUMBERED = [
+    ("a [1] b [7,8] c [2-3]", "bracket", [[0], [6, 7], [1, 2]], []), ("unit [0,1] square", "bracket", [], ["[0,1]"]), ("in $x_{[1]}$ and $$[2]$$", "bracket", [], []), ("[3-2] [1-90]", "bracket", [], []),
+    ("see (1, 2) here", "paren", [[0, 1]], []), ("Eq. (2) and equations (3)", "paren", [], ["(2)", "(3)"]), ("x\n\n(2)\n\ny", "paren", [], ["(2)"]), (r"\tag{[2]} equations (7, 8)", "paren", [[6, 7]], []), ("", "bracket", [], []), (None, "paren", [], []),
+    ("(see [1]) and [[2]]", "bracket", [[0], [1]], []), ("(2)", "paren", [], ["(2)"]), ("😀 [1] $a$ [3] $b$", "bracket", [[0], [2]], []),
+]
 
 
-@pytest.mark.parametrize(
-    "text, form, kept, rejected",
-    [
-        ("a [1] b [7,8] c [2-3]", "bracket", [[0], [6, 7], [1, 2]], []), ("unit [0,1] square", "bracket", [], ["[0,1]"]), ("in $x_{[1]}$ and $$[2]$$", "bracket", [], []), ("[3-2] [1-90]", "bracket", [], []),
-        ("see (1, 2) here", "paren", [[0, 1]], []), ("Eq. (2) and equations (3)", "paren", [], ["(2)", "(3)"]), ("x\n\n(2)\n\ny", "paren", [], ["(2)"]), (r"\tag{[2]} equations (7, 8)", "paren", [[6, 7]], []), ("", "bracket", [], []),
-    ],
-)
-def test_numbered(text, form, kept, rejected):
-    got, out = L.numbered_markers(text, NUMBERS, form)
-    assert [g[3] for g in got] == kept and out == rejected
-    assert all(text[a:b] == t for a, b, t, _ in got)
+def test_numbered(spark):
+    docs = spark.createDataFrame([(str(i), t[0]) for i, t in enumerate(NUMBERED)], "doc_id string, markdown string")
+    numbers = spark.createDataFrame([(str(i), k, v) for i in range(len(NUMBERED)) for k, v in NUMBERS.items()], "doc_id string, number int, ref_idx int")
+    tops = spark.createDataFrame([("7", 2)], "doc_id string, top int")
+    got = L.numbered_tokens(L.tokens(docs), tops, numbers).orderBy("start").collect()
+    for i, (text, form, kept, rejected) in enumerate(NUMBERED):
+        own = [r for r in got if r.doc_id == str(i) and r.form == form]
+        assert [list(r.refs) for r in own if r.good] == kept and [r.token for r in own if not r.good] == rejected
+        assert all(text[r.start : r.end_at] == r.token for r in own)
 
 
-def test_author_year():
-    index = {("hohn", 2020): 0, ("lee", 2021): 1}
+def test_author_year(spark):
     text = "As (see Höhn et al., 2020; Lee, 2021) and Lee and Kim (2021b) say, (Doe, 1999) not. (Lee, 2021) Doe (1999)."
-    got, out = L.author_year_markers(text, index)
-    assert [g[3] for g in got] == [[0, 1], [1], [1]] and out == ["(2021b)", "(Doe, 1999)", "(1999)", "Doe (1999)"]
-    assert [g[0] for g in got] == sorted(g[0] for g in got)
+    docs = spark.createDataFrame([("d", text)], "doc_id string, markdown string")
+    names = spark.createDataFrame([("d", "hohn", 2020, 0), ("d", "lee", 2021, 1)], "doc_id string, family string, year int, ref_idx int")
+    got = L.named_tokens(L.tokens(docs), names).orderBy("start").collect()
+    assert [list(r.refs) for r in got if r.good] == [[0, 1], [1], [1]] and [r.token for r in got if not r.good] == ["(2021b)", "(Doe, 1999)", "Doe (1999)", "(1999)"]
+    assert all(text[r.start : r.end_at] == r.token for r in got)
 
 
 def test_links_end_to_end(spark):
