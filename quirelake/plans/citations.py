@@ -10,6 +10,7 @@ from quirelake.operators import extraction as E
 from quirelake.operators import linking as L
 from quirelake.operators import resolve as R
 from quirelake.plans import inputs as I
+from quirelake.plans.planted import fold
 from quirelake.session import table
 from quirelake.sources import writers
 
@@ -233,8 +234,13 @@ def j17_caller(spark: SparkSession, root: str) -> DataFrame:
     return R.caller_references(rows).select("cand_idx", "title", "doi", "year")
 
 
+def _by_doi(spark: SparkSession, root: str) -> DataFrame:
+    """All references resolved by their DOI alone, which SQL can follow."""
+    return R.merge(I.extracted(spark, root), j4_by_doi(spark, root).withColumn("route", F.lit("doi")), I.catalogue(spark, root))
+
+
 def a6_routes(spark: SparkSession, root: str) -> DataFrame:
-    return R.route_counts(_resolved(spark, root))
+    return R.route_counts(_by_doi(spark, root))
 
 
 def a6_outcomes(spark: SparkSession, root: str) -> DataFrame:
@@ -294,6 +300,12 @@ ORACLES = {
     "a1_style": f"""{_X}, c AS (SELECT doc_id, count(*) AS n, count(*) FILTER (trim(coalesce(citation_key, '')) <> '') AS present, count(*) FILTER (regexp_matches(trim(coalesce(citation_key, '')), '^\\[?\\(?\\d+[\\]).]?$')) AS numbered FROM extracted GROUP BY doc_id)
         SELECT doc_id, CASE WHEN present > 0 AND present * 2 >= n AND numbered * 2 >= present THEN 'numbered' ELSE 'author-year' END AS style FROM c""",
     "j8_numbers": f"{_X} SELECT doc_id, coalesce(try_cast(nullif(regexp_extract(citation_key, '(\\d+)', 1), '') AS INTEGER), ref_idx + 1) AS number, max(ref_idx) AS ref_idx FROM extracted GROUP BY 1, 2",
+    "j9_names": f"""{_X}, k AS (SELECT doc_id, {fold('authors[1].family')} AS family, year, ref_idx FROM extracted WHERE len(authors) > 0 AND authors[1].family <> '' AND year IS NOT NULL)
+        SELECT doc_id, family, year, CAST(max(ref_idx) AS INTEGER) AS ref_idx FROM k GROUP BY doc_id, family, year HAVING count(*) = 1""",
+    "t10_citekeys": f"""{_X}, k AS (SELECT doc_id, ref_idx, year, CASE WHEN len(authors) > 0 THEN regexp_replace({fold('authors[1].family')}, '[^a-z0-9]+', '', 'g') ELSE '' END AS f FROM extracted) SELECT doc_id, ref_idx, CASE WHEN f <> '' THEN f || '_' || year END AS citekey FROM k""",
+    "a6_routes": f"{_BYDOI} SELECT CASE WHEN h.cand_id IS NULL THEN 'unverified' ELSE 'doi' END AS route, count(*) AS n FROM extracted e LEFT JOIN hits h ON e.doc_id = h.doc_id AND e.ref_idx = h.ref_idx GROUP BY 1",
+    "a11_cache": f"""WITH {I.REFS}, b AS (SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY ref_idx) - 1) // 50 AS batch, ref_idx, text FROM refs), k AS (SELECT doc_id, batch, to_json(list(text ORDER BY ref_idx)) AS key FROM b GROUP BY doc_id, batch)
+        SELECT CASE WHEN key IN (SELECT key FROM k WHERE doc_id % 2 = 0) THEN 'cached' ELSE 'extracted' END AS outcome, count(*) AS n FROM k GROUP BY 1""",
     "a8_equation_tags": f"WITH {I.DOCS} SELECT doc_id, coalesce(list_max(list_transform(regexp_extract_all(markdown, '\\\\tag\\{{\\[?(\\d{{1,3}})\\]?\\}}', 1), lambda x: CAST(x AS INTEGER))), 0) AS top FROM docs",
     "j2_zipped": f"{_X} SELECT ref_id, title, year FROM extracted",
     "r7_keys": f"""{_X} SELECT ext_id, CASE WHEN NOT regexp_matches(citation_key, '^\\[?\\(?(\\d+)[\\]).]?$') OR regexp_extract(citation_key, '^\\[?\\(?(\\d+)[\\]).]?$', 1) = nullif(regexp_extract(raw_text, '^\\s*\\[?(\\d+)[\\]. ]?\\s', 1), '') THEN citation_key END AS citation_key FROM extracted WHERE ext_id IS NOT NULL""",

@@ -78,21 +78,25 @@ def f2_renamed(spark: SparkSession, root: str) -> DataFrame:
     return E.rename_placeholders(docs, _named(spark, root))
 
 
-def f3_tasks(spark: SparkSession, root: str) -> DataFrame:
+def _tasks(spark: SparkSession, root: str) -> DataFrame:
     pairs = j10_pairs(spark, root)
     files = pairs.select("doc_id", "page", "crop_idx", F.concat_ws("/", "doc_id", "page", "crop_idx").alias("path")).withColumn("sha256", F.sha2("path", 256))
     return E.describe_tasks(pairs, files)
 
 
+def f3_tasks(spark: SparkSession, root: str) -> DataFrame:
+    return _tasks(spark, root).withColumn("paths", F.array_join("paths", ","))
+
+
 def f4_described(spark: SparkSession, root: str) -> DataFrame:
-    tasks = f3_tasks(spark, root)
+    tasks = _tasks(spark, root)
     cache = tasks.where("page = 1").select("cache_key", F.lit("line_plot").alias("figure_type"), F.lit("A curve.").alias("description"))
     made = E.describe_figures(tasks, cache, lambda paths: {"figure_type": "bar_chart", "description": f"{len(paths)} bars."})
     return made.select("doc_id", "page", "cap_idx", "figure_type", "description")
 
 
 def a10_figure_stats(spark: SparkSession, root: str) -> DataFrame:
-    tasks = f3_tasks(spark, root)
+    tasks = _tasks(spark, root)
     cache = tasks.where("page = 1").select("cache_key", F.lit("line_plot").alias("figure_type"), F.lit("A curve.").alias("description"))
     return E.figure_stats(E.describe_figures(tasks, cache), cache)
 
@@ -252,3 +256,45 @@ ORACLES |= {
                 CASE WHEN f.until IS NOT NULL AND o.ts < f.until THEN f.until WHEN o.outcome = '429' AND f.streak >= 1 THEN o.ts + INTERVAL 600 SECOND END FROM fold f JOIN o ON o.provider = f.provider AND o.k = f.k + 1)
         SELECT event_id, provider, asked FROM fold""",
 }
+
+_SPACES = r"[\s\x{a0}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}\x{1680}\x{2028}\x{2029}\x{85}\x{1c}-\x{1f}\x{b}]+"
+_flat = lambda value: f"trim(regexp_replace({value}, '{_SPACES}', ' ', 'g'))"
+_told = lambda value: f"trim(regexp_replace({value}, '{_SPACES}', ' ', 'g'), '* ')"
+_EDGES = "' ' || chr(9) || chr(10)"
+_IS_PROSE = (
+    r"(s <> '' AND NOT (regexp_matches(s, '^<page_number>\s*(\d+)\s*</page_number>$') OR regexp_matches(s, '^(?:#|!\[|\$\$|>|\|)')"
+    r" OR regexp_matches(s, '^[ \t]*\**[ \t]*(FIGURE|Figure|FIG|Fig)\.?[ \t]*(\d+(?:\.\d+)?)\b[.:]?[ \t]*([^\n]*)$')))"
+)
+_TASKS = _PAIRED + """, tasks AS (SELECT doc_id, page, cap_idx, count(*) AS n, string_agg(doc_id || '/' || page || '/' || crop_idx, ',' ORDER BY crop_idx) AS paths,
+    sha256(string_agg(sha256(doc_id || '/' || page || '/' || crop_idx), '|' ORDER BY crop_idx)) AS cache_key FROM near WHERE cap_idx IS NOT NULL GROUP BY doc_id, page, cap_idx)"""
+_CHOSEN = f"""{_DLINES}, placed AS (SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM dlines),
+    picked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, number ORDER BY upper DESC, line_no) AS pick FROM caps), chosen AS (SELECT p.doc_id, p.line_no, p.number, l.start FROM picked p JOIN placed l ON p.doc_id = l.doc_id AND p.line_no = l.line_no WHERE pick = 1)"""
+ORACLES |= {
+    "f2_renamed": _PAIRED + """, named AS (SELECT doc_id, page, crop_idx, page || '.' || cap_idx AS number, 'fig_' || page || '.' || cap_idx || CASE WHEN count(*) OVER (PARTITION BY doc_id, page, cap_idx) > 1
+        THEN '_' || row_number() OVER (PARTITION BY doc_id, page, cap_idx ORDER BY crop_idx) ELSE '' END || '.png' AS name FROM near WHERE cap_idx IS NOT NULL)
+        SELECT c.doc_id, string_agg(CASE WHEN n.name IS NULL THEN '![FIGURE_CROP ' || c.page || ':' || c.crop_idx || '](crops/x.png)' ELSE '![FIGURE ' || n.number || '](' || n.name || ')' END, chr(10) || chr(10) ORDER BY c.page, c.crop_idx) AS markdown
+        FROM near c LEFT JOIN named n ON c.doc_id = n.doc_id AND c.page = n.page AND c.crop_idx = n.crop_idx GROUP BY c.doc_id""",
+    "f3_tasks": _TASKS + " SELECT doc_id, page, cap_idx, paths, cache_key FROM tasks",
+    "f4_described": _TASKS + " SELECT doc_id, page, cap_idx, CASE WHEN page = 1 THEN 'line_plot' ELSE 'bar_chart' END AS figure_type, CASE WHEN page = 1 THEN 'A curve.' ELSE n || ' bars.' END AS description FROM tasks",
+    "a10_figure_stats": _TASKS + " SELECT CASE WHEN page = 1 THEN 'cached' ELSE 'failed' END AS outcome, count(*) AS n FROM tasks GROUP BY 1",
+    "f5_spliced": f"""WITH {_CHOSEN} SELECT l.doc_id, string_agg(line || CASE WHEN c.number IS NULL THEN '' ELSE chr(10) || chr(10) || '> **Figure description (auto, line plot):** Figure ' || c.number END, chr(10) ORDER BY l.line_no) AS markdown
+        FROM dlines l LEFT JOIN chosen c ON l.doc_id = c.doc_id AND l.line_no = c.line_no GROUP BY l.doc_id""",
+    "w12_headers": f"""WITH {I.PARAGRAPHS}, t AS (SELECT doc_id, idx, trim(paragraph, {_EDGES}) AS s FROM paragraphs),
+        h AS (SELECT doc_id, arg_min({_told("regexp_replace(s, '^[# ]+', '')")}, idx) AS title FROM t WHERE starts_with(s, '# ') GROUP BY doc_id), a AS (SELECT doc_id, arg_min({_flat('s')}[1:2000], idx) AS abstract FROM t WHERE {_IS_PROSE} AND length(s) >= 300 GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(title, '') AS title, coalesce(abstract, '') AS abstract FROM (SELECT paper_id AS doc_id FROM parse_results) d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN a ON d.doc_id = a.doc_id""",
+    "w11_context": f"""WITH {_CHOSEN}, ps AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10) || chr(10)) AS ps FROM documents), p AS (SELECT doc_id, unnest(generate_series(0, len(ps) - 1)) AS idx, unnest(ps) AS p FROM ps),
+        q AS (SELECT doc_id, idx, p, trim(p, {_EDGES}) AS s, coalesce(sum(length(p) + 2) OVER (PARTITION BY doc_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM p),
+        own AS (SELECT c.doc_id, c.number, max(q.idx) AS own FROM chosen c JOIN q ON c.doc_id = q.doc_id AND q.at <= c.start GROUP BY c.doc_id, c.number), prose AS (SELECT doc_id, idx, {_flat('p')} AS p FROM q WHERE {_IS_PROSE}),
+        b AS (SELECT o.doc_id, number, idx, p, row_number() OVER (PARTITION BY o.doc_id, number ORDER BY idx DESC) AS n FROM own o JOIN prose r ON o.doc_id = r.doc_id AND idx < own), f AS (SELECT o.doc_id, number, idx, p, row_number() OVER (PARTITION BY o.doc_id, number ORDER BY idx) AS n FROM own o JOIN prose r ON o.doc_id = r.doc_id AND idx > own),
+        bs AS (SELECT doc_id, number, string_agg(p, chr(10) || chr(10) ORDER BY idx) AS before FROM b WHERE n <= 2 GROUP BY doc_id, number), fs AS (SELECT doc_id, number, string_agg(p, chr(10) || chr(10) ORDER BY idx) AS after FROM f WHERE n <= 2 GROUP BY doc_id, number)
+        SELECT o.doc_id, o.number, coalesce(before, '') AS before, coalesce(after, '') AS after FROM own o LEFT JOIN bs ON o.doc_id = bs.doc_id AND o.number = bs.number LEFT JOIN fs ON o.doc_id = fs.doc_id AND o.number = fs.number""",
+    "j11_known_captions": f"""WITH {_DLINES}, k AS (SELECT doc_id, regexp_extract(substring(line, 1, 40), '{_CAPTION}', 2) AS number, {_told('substring(line, 1, 40)')} AS k FROM dlines WHERE line_no % 2 = 1 AND regexp_matches(line, '{_CAPTION}')),
+        lined AS (SELECT c.*, {_told('l.line')} AS told FROM caps c JOIN dlines l ON c.doc_id = l.doc_id AND c.line_no = l.line_no),
+        good AS (SELECT * FROM lined l WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.doc_id = l.doc_id AND k.number = l.number AND k.number <> '') OR EXISTS (SELECT 1 FROM k WHERE k.doc_id = l.doc_id AND k.number = l.number AND (starts_with(k.k, l.told) OR starts_with(l.told, k.k)))),
+        p AS (SELECT *, row_number() OVER (PARTITION BY doc_id, number ORDER BY upper DESC, line_no) AS n FROM good) SELECT doc_id, number, caption FROM p WHERE n = 1""",
+    "w17_notes": rf"""WITH p AS (SELECT paper_id AS doc_id, string_split(replace(markdown, chr(10) || chr(10) || 'Let ', chr(10) || chr(10) || '> **Footnote:** Let '), chr(10) || chr(10)) AS ps FROM parse_results), q AS (SELECT doc_id, unnest(generate_series(0, len(ps) - 1)) AS idx, unnest(ps) AS p FROM p),
+        n AS (SELECT *, idx > 0 AND regexp_matches(trim(p, {_EDGES}), '(?s)^> \*\*Footnote:\*\* (.+)$') AS note FROM q), k AS (SELECT *, sum(CASE WHEN note THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY idx) AS k, coalesce(lead(note) OVER (PARTITION BY doc_id ORDER BY idx), false) AS next FROM n)
+        SELECT doc_id, string_agg(CASE WHEN note THEN '[^' || k || ']: ' || substring(trim(p, {_EDGES}), 17) ELSE p END || CASE WHEN next THEN '[^' || (k + 1) || ']' ELSE '' END, chr(10) || chr(10) ORDER BY idx) AS markdown FROM k GROUP BY doc_id""",
+    "o7_errors": rf"""WITH {_DLINES}, e AS (SELECT doc_id, line_no, CASE WHEN regexp_matches(line, '^\S+ \S+') THEN regexp_extract(line, '^(\S+) \S+', 1) WHEN regexp_matches(line, '^! (.+)$') THEN regexp_extract(line, '^! (.+)$', 1) END AS error FROM dlines),
+        c AS (SELECT doc_id, error, count(*) AS n, min(line_no) AS first FROM e WHERE error IS NOT NULL GROUP BY doc_id, error) SELECT doc_id, error, n, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first) AS INTEGER) AS rank FROM c""",
+}

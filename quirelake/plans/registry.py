@@ -11,9 +11,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules() -> list:
-    from quirelake.plans import citations, documents, figures, scalars
+    from quirelake.plans import citations, documents, figures, planted, scalars
 
-    return [scalars, documents, citations, figures]
+    return [scalars, documents, citations, figures, planted]
 
 
 def queries() -> dict[str, Query]:

@@ -11,6 +11,7 @@ from quirelake.functions import blocks
 from quirelake.functions import text as X
 from quirelake.functions.fold import fold_name_column
 from quirelake.plans import inputs as I
+from quirelake.plans.planted import decomposed, fold
 from quirelake.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,13 +46,13 @@ _add(
         SELECT paper_id, list_transform(regexp_extract_all(markdown, '<page_number>\s*(\d+)\s*</page_number>', 1), lambda x: CAST(x AS INTEGER)) AS ps, regexp_replace(markdown, '<page_number>\s*(\d+)\s*</page_number>', '', 'g') AS bare FROM parse_results)""",
 )
 _add("t2_leading_number", "raw_refs", "ref_id", {"number": lambda: X.leading_number("text")}, r"SELECT ref_id, nullif(regexp_extract(text, '^\s*\[?(\d+)[\]. ]?\s', 1), '') AS number FROM raw_refs")
-_add("t3_fold_name", "author_names", "name_id", {"folded": lambda: fold_name_column("family")}, None)
+_add("t3_fold_name", "author_names", "name_id", {"folded": lambda: fold_name_column("family")}, f"SELECT name_id, {fold('family')} AS folded FROM author_names")
 _add(
     "t4_extract_doi", "raw_refs", "ref_id", {"doi": lambda: X.extract_doi("text")},
     r"""SELECT ref_id, nullif(regexp_replace(regexp_extract(text, '(?i)(10\.\d{4,9}/[^\s"''<>]+)', 1), '[.,;:)\]}]+$', ''), '') AS doi FROM raw_refs""",
 )
 _add("t5_normal_title", "candidates", "cand_id", {"title": lambda: X.normalize_title("title")}, "SELECT cand_id, trim(regexp_replace(regexp_replace(lower(title), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g')) AS title FROM candidates")
-_add("t7_words", "raw_refs", "ref_id", {"n_words": lambda: F.size(blocks.words_column("text"))}, None)
+_add("t7_words", "raw_refs", "ref_id", {"n_words": lambda: F.size(blocks.words_column("text"))}, f"SELECT ref_id, CAST(len(regexp_extract_all({decomposed('text')}, '[a-z0-9]+')) AS INTEGER) AS n_words FROM raw_refs")
 
 
 def _full_names(spark: SparkSession, root: str) -> DataFrame:
@@ -94,7 +95,6 @@ _add(
         SELECT paper_id, '$$' || chr(10) || trim(regexp_replace(trim(regexp_replace(t, '^\$\$', '')), '\$\$$', '')) || chr(10) || '$$' AS formula FROM f""",
 )
 _add("t14_heading", I.lines, ("doc_id", "line_no"), {"text": lambda: X.strip_heading_prefix("line")}, f"WITH {I.LINES} SELECT doc_id, line_no, regexp_replace(regexp_replace(trim(line), '^[-*] \\s*', ''), '^#+\\s*', '') AS text FROM lines")
-_add("t16_fences", "parse_results", "paper_id", {"markdown": lambda: blocks.repair_fences_column("markdown")}, None)
 _add(
     "t18_csl_type", "candidates", "cand_id", {"type": lambda: X.csl_type("provider", "provider_type", "container_title")},
     """SELECT cand_id, CASE
@@ -111,8 +111,8 @@ _add(
     "t21_query", "candidates", "cand_id", {"query": lambda: X.catalogue_query("title")},
     r"SELECT cand_id, regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace(regexp_replace(title, '[?*~]', ' ', 'g'), '[ \t\n\r\f\x{b}]+', ' ', 'g')), '\bAND\b', 'and', 'g'), '\bOR\b', 'or', 'g'), '\bNOT\b', 'not', 'g') AS query FROM candidates",
 )
-_add("t22_orphans", "extracted_refs", "ext_id", {"title": lambda: blocks.orphan_marks_column("title")}, None)
-_add("t24_math", "parse_results", "paper_id", {"markdown": lambda: blocks.normalise_math_column("markdown")}, None)
+_add("t22_orphans", "extracted_refs", "ext_id", {"title": lambda: blocks.orphan_marks_column("title")}, r"SELECT ext_id, regexp_replace(regexp_replace(title, '(\p{L}\p{Mn})\p{Mn}+', '\1', 'g'), '(^|[^\p{L}\p{Mn}])\p{Mn}+', '\1', 'g') AS title FROM extracted_refs")
+_add("t24_math", "parse_results", "paper_id", {"markdown": lambda: blocks.normalise_math_column("markdown")}, r"SELECT paper_id, regexp_replace(markdown, '(?s)(\$\$)\s*(.*?)\s*\$\$|(\$)\s*(.*?)\s*\$', '\1\3\2\4\1\3', 'g') AS markdown FROM parse_results")
 _add("t25_heading_text", "documents", "doc_id", {"heading": lambda: X.heading_text("title")}, f"SELECT doc_id, upper(rtrim({_squeezed('title')}, '.')) AS heading FROM documents")
 _add("t26_caption_text", "documents", "doc_id", {"caption": lambda: X.caption_text("title")}, f"SELECT doc_id, trim({_squeezed('title')}, '* ') AS caption FROM documents")
 _add("t27_layer_text", "raw_refs", "ref_id", {"text": lambda: X.layer_text("text")}, f"SELECT ref_id, regexp_replace(regexp_replace(text, '-\\n([a-z])', '\\1', 'g'), '{_SPACE}+', ' ', 'g') AS text FROM raw_refs")
