@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quirelake.functions import requests as Q
 from quirelake.functions import text as X
 from quirelake.operators import extraction as E
 from quirelake.operators import linking as L
@@ -125,6 +126,19 @@ def x1_printed(spark: SparkSession, root: str) -> DataFrame:
     return _fields(E.extract_all(printed)).select("ref_idx", *E.FIELDS)
 
 
+def x6_requests(spark: SparkSession, root: str) -> DataFrame:
+    """The requests that each extracted reference would lead to: a search at each service, and by its DOI."""
+    rows = table(spark, root, "extracted_refs")
+    urls = {f"search_{p}": Q.search_url(p, F.col("title"), 5, "a@b.org") for p in Q.BASES} | {f"doi_{p}": Q.doi_url(p, F.col("doi"), "a@b.org") for p in ("semanticscholar", "openalex")}
+    return rows.select("ext_id", *(u.alias(n) for n, u in urls.items()))
+
+
+def x6_lists(spark: SparkSession, root: str) -> DataFrame:
+    """The requests for the works that each service's records name, in batches of ids."""
+    rows = j7_hydrated(spark, root).groupBy("doc_id", "batch").agg(F.array_sort(F.collect_list(F.struct("cand_idx", F.concat(F.lit("W"), F.col("work_id").cast("string")).alias("w")))).alias("ws"))
+    return rows.select("doc_id", "batch", Q.works_url(F.transform("ws", lambda x: x["w"]), "a@b.org").alias("url"))
+
+
 def x1_cached(spark: SparkSession, root: str) -> DataFrame:
     """A second run over whole bibliographies with the first one's cache: by whether a batch of which every line was read is asked again."""
     first = E.extract_batches(I.refs(spark, root))
@@ -184,9 +198,10 @@ def r6_pool(spark: SparkSession, root: str) -> DataFrame:
 
 
 def u1_pools(spark: SparkSession, root: str) -> DataFrame:
-    pool = I.catalogue(spark, root).select(F.col("year").alias("doc_id"), F.col("cand_id").alias("cand_idx"), "title", "doi", "source")
-    both = R.union_pools(pool.where("source = 'crossref'"), pool.where("source = 'openalex'"))
-    return both.where("doc_id IS NOT NULL").select("doc_id", "cand_idx", "title", "source")
+    """Each year's records (those without a year as one pool too), the published catalogue's before those of all others."""
+    pool = I.catalogue(spark, root).select(F.coalesce("year", F.lit(0)).alias("doc_id"), F.col("cand_id").alias("cand_idx"), "title", "doi", "source")
+    both = R.union_pools(pool.where("source = 'crossref'"), pool.where("source IS NULL OR source <> 'crossref'"))
+    return both.select("doc_id", "cand_idx", "title", "source")
 
 
 def r8_semanticscholar(spark: SparkSession, root: str) -> DataFrame:
@@ -214,8 +229,8 @@ def r11_bundles(spark: SparkSession, root: str) -> DataFrame:
 
 def r5_abstracts(spark: SparkSession, root: str) -> DataFrame:
     pool = I.catalogue(spark, root).withColumn("abstract", F.when(F.col("source") == "openalex", F.concat(F.lit("On "), "title")))
-    resolved = R.resolve(I.extracted(spark, root), pool)
-    return R.fill_abstracts(resolved, pool).select("doc_id", "ref_idx", "match", "abstract")
+    hits = j4_by_doi(spark, root).join(pool.select("cand_id", F.col("source").alias("route")), "cand_id")
+    return R.fill_abstracts(R.merge(I.extracted(spark, root), hits, pool), pool).select("doc_id", "ref_idx", "match", "abstract")
 
 
 def j6_sources(spark: SparkSession, root: str) -> DataFrame:
@@ -258,7 +273,7 @@ def k7_report(spark: SparkSession, root: str) -> DataFrame:
 
 
 def k8_export(spark: SparkSession, root: str) -> DataFrame:
-    return R.export_citations(_resolved(spark, root))
+    return R.export_citations(_by_doi(spark, root))
 
 
 def g6_descriptions(spark: SparkSession, root: str) -> DataFrame:
@@ -283,7 +298,7 @@ def b6_citations(spark: SparkSession, root: str) -> DataFrame:
 
 
 _NAMES = (
-    "a1_style j8_numbers j9_names t10_citekeys l1_markers l5_styles j12_uncited j15_rewritten a2_forms a8_equation_tags j2_zipped r7_keys parse15_fits parse16_invented a9_quality x1_extracted x1_printed x1_cached x1_batches a11_cache j4_by_doi r1_judged "
+    "a1_style j8_numbers j9_names t10_citekeys l1_markers l5_styles j12_uncited j15_rewritten a2_forms a8_equation_tags j2_zipped r7_keys parse15_fits parse16_invented a9_quality x1_extracted x1_printed x6_requests x6_lists x1_cached x1_batches a11_cache j4_by_doi r1_judged "
     "j5_chain o3_near_misses j3_best r4_resolved r3_merged r6_pool u1_pools r8_semanticscholar r9_crossref r10_openalex r11_bundles r5_abstracts j6_sources j7_hydrated j17_caller a6_routes a6_outcomes a7_difference k7_report k8_export "
     "g6_descriptions k3_manifests b6_citations"
 ).split()
@@ -296,6 +311,8 @@ _BYDOI = f"""{_X}, k AS (SELECT {_DOI.format('doi')} AS k, min(cand_id) AS cand_
 _SOURCE = "CASE WHEN provider = 'semantic_scholar' THEN 'semanticscholar' ELSE provider END"
 _SQUEEZE = r"trim(regexp_replace({0}, '[\s\x{{a0}}\x{{2000}}-\x{{200a}}\x{{202f}}\x{{205f}}\x{{3000}}\x{{1680}}\x{{2028}}\x{{2029}}\x{{85}}\x{{1c}}-\x{{1f}}\x{{b}}]+', ' ', 'g'))"
 _NT = "nullif(trim(regexp_replace(regexp_replace(lower(title), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g')), '')"
+_QUOTED = "replace(replace(url_encode({0}), '%2F', '/'), '%7E', '~')"
+_CALM = r"nullif(trim(regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace(regexp_replace(title, '[?*~]', ' ', 'g'), '[ \t\n\r\f\x{{b}}]+', ' ', 'g')), '\bAND\b', 'and', 'g'), '\bOR\b', 'or', 'g'), '\bNOT\b', 'not', 'g')), '')".replace("{{", "{").replace("}}", "}")
 ORACLES = {
     "a1_style": f"""{_X}, c AS (SELECT doc_id, count(*) AS n, count(*) FILTER (trim(coalesce(citation_key, '')) <> '') AS present, count(*) FILTER (regexp_matches(trim(coalesce(citation_key, '')), '^\\[?\\(?\\d+[\\]).]?$')) AS numbered FROM extracted GROUP BY doc_id)
         SELECT doc_id, CASE WHEN present > 0 AND present * 2 >= n AND numbered * 2 >= present THEN 'numbered' ELSE 'author-year' END AS style FROM c""",
@@ -304,6 +321,14 @@ ORACLES = {
         SELECT doc_id, family, year, CAST(max(ref_idx) AS INTEGER) AS ref_idx FROM k GROUP BY doc_id, family, year HAVING count(*) = 1""",
     "t10_citekeys": f"""{_X}, k AS (SELECT doc_id, ref_idx, year, CASE WHEN len(authors) > 0 THEN regexp_replace({fold('authors[1].family')}, '[^a-z0-9]+', '', 'g') ELSE '' END AS f FROM extracted) SELECT doc_id, ref_idx, CASE WHEN f <> '' THEN f || '_' || year END AS citekey FROM k""",
     "a6_routes": f"{_BYDOI} SELECT CASE WHEN h.cand_id IS NULL THEN 'unverified' ELSE 'doi' END AS route, count(*) AS n FROM extracted e LEFT JOIN hits h ON e.doc_id = h.doc_id AND e.ref_idx = h.ref_idx GROUP BY 1",
+    "r5_abstracts": f"""{_BYDOI}, others AS (SELECT {_DOI.format('doi')} AS k, 'On ' || arg_min(title, cand_id) AS a FROM candidates WHERE title IS NOT NULL AND doi IS NOT NULL AND provider = 'openalex' GROUP BY 1)
+        SELECT e.doc_id, e.ref_idx, {_SOURCE} AS "match", CASE WHEN c.provider = 'openalex' THEN 'On ' || c.title WHEN c.provider = 'crossref' THEN o.a END AS abstract
+        FROM extracted e LEFT JOIN hits h ON e.doc_id = h.doc_id AND e.ref_idx = h.ref_idx LEFT JOIN candidates c ON h.cand_id = c.cand_id LEFT JOIN others o ON o.k = {_DOI.format("coalesce(nullif(c.doi, ''), e.doi)")}""",
+    "k8_export": f"""{_BYDOI}, m AS (SELECT e.doc_id, e.ref_idx, coalesce(nullif(c.title, ''), e.title) AS title, coalesce(nullif(c.doi, ''), e.doi) AS doi, CASE WHEN len(c.authors) > 0 THEN c.authors ELSE e.authors END AS authors,
+            CASE WHEN c.year IS NULL OR c.year = 0 OR c.year < coalesce(e.year, 0) THEN e.year ELSE c.year END AS year, e.container_title, e.volume FROM extracted e JOIN hits h ON e.doc_id = h.doc_id AND e.ref_idx = h.ref_idx JOIN candidates c ON h.cand_id = c.cand_id),
+        j AS (SELECT doc_id, ref_idx, [CASE WHEN title <> '' THEN '"article-title":' || to_json(title) END, CASE WHEN doi <> '' THEN '"DOI":' || to_json(doi) END, CASE WHEN len(authors) > 0 AND authors[1].family <> '' THEN '"author":' || to_json(authors[1].family) END,
+            CASE WHEN year IS NOT NULL THEN '"year":"' || year || '"' END, CASE WHEN container_title <> '' THEN '"journal-title":' || to_json(container_title) END, CASE WHEN volume <> '' THEN '"volume":' || to_json(volume) END] AS fs FROM m WHERE coalesce(title, '') <> '' OR coalesce(doi, '') <> '')
+        SELECT doc_id, ref_idx, '{{' || array_to_string(list_filter(fs, lambda f: f IS NOT NULL), ',') || '}}' AS citation FROM j""",
     "a11_cache": f"""WITH {I.REFS}, b AS (SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY ref_idx) - 1) // 50 AS batch, ref_idx, text FROM refs), k AS (SELECT doc_id, batch, to_json(list(text ORDER BY ref_idx)) AS key FROM b GROUP BY doc_id, batch)
         SELECT CASE WHEN key IN (SELECT key FROM k WHERE doc_id % 2 = 0) THEN 'cached' ELSE 'extracted' END AS outcome, count(*) AS n FROM k GROUP BY 1""",
     "a8_equation_tags": f"WITH {I.DOCS} SELECT doc_id, coalesce(list_max(list_transform(regexp_extract_all(markdown, '\\\\tag\\{{\\[?(\\d{{1,3}})\\]?\\}}', 1), lambda x: CAST(x AS INTEGER))), 0) AS top FROM docs",
@@ -312,6 +337,12 @@ ORACLES = {
     "x1_batches": f"WITH {I.REFS}, p AS (SELECT ref_id, row_number() OVER (PARTITION BY doc_id ORDER BY ref_idx) - 1 AS p FROM refs) SELECT ref_id, CAST(p // 50 AS INTEGER) AS batch, CAST(p % 50 + 1 AS INTEGER) AS line FROM p",
     "x1_printed": """SELECT cand_id AS ref_idx, '[' || cand_id || ']' AS citation_key, 'Title ' || cand_id || ' on crystals' AS title, 'Family' || cand_id % 97 || ', A.; Other' || cand_id % 89 || ', B.' AS authors,
         CAST(1950 + cand_id % 70 AS INTEGER) AS year, 'Journal of Optics' AS container_title, CAST(cand_id % 50 + 1 AS VARCHAR) AS volume, '1' || cand_id % 9 || '-' || (20 + cand_id % 9) AS page_range, '10.5555/x.' || cand_id AS doi FROM candidates""",
+    "x6_requests": f"""SELECT ext_id, 'https://api.semanticscholar.org/graph/v1/paper/search?query=' || {_QUOTED.format('title')} || '&fields=title,year,abstract,authors,externalIds,publicationTypes&limit=5' AS search_semanticscholar,
+        'https://api.crossref.org/works?query.bibliographic=' || {_QUOTED.format('title')} || '&rows=5&mailto=a%40b.org' AS search_crossref, 'https://api.openalex.org/works?search=' || {_QUOTED.format(_CALM)} || '&per-page=5&mailto=a%40b.org' AS search_openalex,
+        'https://api.semanticscholar.org/graph/v1/paper/DOI:' || {_QUOTED.format('doi')} || '?fields=title,year,abstract,authors,externalIds,publicationTypes' AS doi_semanticscholar,
+        'https://api.openalex.org/works/doi:' || {_QUOTED.format('doi')} || '?select=id,display_name,publication_year,authorships,doi,abstract_inverted_index,type&mailto=a%40b.org' AS doi_openalex FROM extracted_refs""",
+    "x6_lists": """WITH p AS (SELECT provider AS doc_id, cand_id, row_number() OVER (PARTITION BY provider ORDER BY cand_id) - 1 AS k FROM candidates)
+        SELECT doc_id, CAST(k // 100 AS INTEGER) AS batch, 'https://api.openalex.org/works?filter=openalex_id:' || string_agg('W' || cand_id, '|' ORDER BY k) || '&per-page=100&select=id,display_name,publication_year,authorships,doi,abstract_inverted_index,type&mailto=a%40b.org' AS url FROM p GROUP BY doc_id, k // 100""",
     "x1_cached": "SELECT true AS agrees, count(*) AS n FROM raw_refs",
     "j4_by_doi": f"{_BYDOI} SELECT doc_id, ref_idx, cand_id FROM hits",
     "r3_merged": f"""{_BYDOI} SELECT e.doc_id, e.ref_idx, coalesce(nullif(c.title, ''), e.title) AS title, CASE WHEN c.year IS NULL OR c.year = 0 OR c.year < coalesce(e.year, 0) THEN e.year ELSE c.year END AS year,
@@ -320,7 +351,7 @@ ORACLES = {
         f AS (SELECT *, CASE WHEN d IS NOT NULL THEN row_number() OVER (PARTITION BY doc_id, d ORDER BY cand_idx) = 1 ELSE true END AS first FROM p),
         s AS (SELECT *, coalesce(max(CASE WHEN first THEN 1 END) OVER (PARTITION BY doc_id, t ORDER BY cand_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seen FROM f)
         SELECT doc_id, cand_idx FROM s WHERE first AND (d IS NOT NULL OR t IS NULL OR seen = 0)""",
-    "u1_pools": f"""WITH p AS (SELECT year AS doc_id, row_number() OVER (PARTITION BY year ORDER BY CASE provider WHEN 'crossref' THEN 0 ELSE 1 END, cand_id) - 1 AS cand_idx, title, provider AS source, {_NT} AS t, lower(nullif(doi, '')) AS d FROM candidates WHERE provider IN ('crossref', 'openalex') AND year IS NOT NULL),
+    "u1_pools": f"""WITH p AS (SELECT coalesce(year, 0) AS doc_id, row_number() OVER (PARTITION BY coalesce(year, 0) ORDER BY CASE provider WHEN 'crossref' THEN 0 ELSE 1 END, cand_id) - 1 AS cand_idx, title, {_SOURCE} AS source, {_NT} AS t, lower(nullif(doi, '')) AS d FROM candidates),
         f AS (SELECT *, CASE WHEN d IS NOT NULL THEN row_number() OVER (PARTITION BY doc_id, d ORDER BY cand_idx) = 1 ELSE true END AS first FROM p),
         s AS (SELECT *, coalesce(max(CASE WHEN first THEN 1 END) OVER (PARTITION BY doc_id, t ORDER BY cand_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seen FROM f)
         SELECT doc_id, CAST(cand_idx AS INTEGER) AS cand_idx, title, source FROM s WHERE first AND (d IS NOT NULL OR t IS NULL OR seen = 0)""",

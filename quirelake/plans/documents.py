@@ -97,20 +97,27 @@ def o2_sorted_refs(spark: SparkSession, root: str) -> DataFrame:
     return R.sort_by_number(I.refs(spark, root), ties=TIES).select("ref_id", F.col("position").cast("int").alias("position"))
 
 
+def _numbered(spark: SparkSession, root: str) -> DataFrame:
+    """The first entry of each printed number; entries without one take part with their number read from the text, where no other has it."""
+    rows = I.refs(spark, root).withColumn("number", F.coalesce("number", X.leading_number("text")))
+    first = F.row_number().over(Window.partitionBy("doc_id", "number").orderBy("ref_idx", "ref_id"))
+    return rows.withColumn("__n", first).where("number IS NOT NULL AND __n = 1").drop("__n")
+
+
 def a5_missing_numbers(spark: SparkSession, root: str) -> DataFrame:
-    gaps = R.missing_numbers(I.refs(spark, root).dropDuplicates(["doc_id", "number"]).where("number IS NOT NULL"))
+    gaps = R.missing_numbers(_numbered(spark, root))
     return gaps.select("doc_id", F.explode("missing").alias("number"))
 
 
 def j16_recovered(spark: SparkSession, root: str) -> DataFrame:
-    rows = I.refs(spark, root).where("number IS NOT NULL").dropDuplicates(["doc_id", "number"])
+    rows = _numbered(spark, root)
     layers = rows.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ref_idx", F.concat("number", F.lit(". "), "text").alias("t")))), lambda x: x["t"]), "\n").alias("layer_text"))
     holed = rows.where("number NOT IN ('2', '5')").withColumn("text", F.concat("number", F.lit(". "), "text")).withColumn("number", F.lit(None).cast("string"))
     return R.recover_missing(holed, layers)
 
 
 def k6_references_markdown(spark: SparkSession, root: str) -> DataFrame:
-    return R.render_references(I.refs(spark, root).where("page IS NOT NULL"), ties=TIES)
+    return R.render_references(I.refs(spark, root), ties=TIES)
 
 
 def g5_repaired(spark: SparkSession, root: str) -> DataFrame:
@@ -137,13 +144,13 @@ def w2_merged(spark: SparkSession, root: str) -> DataFrame:
 
 def w5_without_back_matter(spark: SparkSession, root: str) -> DataFrame:
     """Papers with their own bibliography put behind them under a heading, which has to go again."""
-    entries = R.render_references(I.refs(spark, root).where("page IS NOT NULL"), ties=TIES).select("doc_id", F.col("markdown").alias("refs"))
+    entries = R.render_references(I.refs(spark, root), ties=TIES).select("doc_id", F.col("markdown").alias("refs"))
     whole = I.docs(spark, root).join(entries, "doc_id", "left").select("doc_id", F.concat_ws("\n\n", "markdown", F.concat(F.lit("# References\n\n"), "refs")).alias("markdown"))
     return C.drop_back_matter(whole)
 
 
-def b1_refined(spark: SparkSession, root: str) -> DataFrame:
-    """Every paper from regions to chunks: body regions and bibliography pages as one document."""
+def _refined(spark: SparkSession, root: str):
+    """Every paper from regions on: body regions and bibliography pages as one document."""
     from quirelake.operators.pipeline import refine
 
     body = I.regions(spark, root)
@@ -151,7 +158,20 @@ def b1_refined(spark: SparkSession, root: str) -> DataFrame:
     entries = I.refs(spark, root).join(pages, "doc_id")
     none = F.lit(None).cast("string")
     cited = entries.select("doc_id", (F.col("last") + 1 + F.floor(F.col("ref_idx") / 40)).cast("int").alias("page"), F.col("ref_idx").alias("idx"), F.lit("text").alias("label"), F.lit("reference_content").alias("native_label"), F.col("text").alias("content"), F.lit(None).cast("array<double>").alias("bbox"), none.alias("image_path"))
-    return refine(body.unionByName(cited), I.catalogue(spark, root)).chunks.select("doc_id", "idx", "page_start", "page_end", "overlap_chars", "overlap_mode", "text")
+    return refine(body.unionByName(cited), I.catalogue(spark, root))
+
+
+def b1_refined(spark: SparkSession, root: str) -> DataFrame:
+    return _refined(spark, root).chunks.select("doc_id", "idx", "page_start", "page_end", "overlap_chars", "overlap_mode", "text")
+
+
+def b1_links(spark: SparkSession, root: str) -> DataFrame:
+    """Of the same run, by document: its marker style, markers linked and refused, references, those with authors read, those resolved."""
+    made = _refined(spark, root)
+    refs = made.extracted.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_refs"), F.count_if(F.size("authors") > 0).alias("n_with_authors"))
+    resolved = made.resolved.groupBy("doc_id").agg(F.count_if("verified").alias("n_resolved"))
+    links = made.links.select("doc_id", "style", F.size("markers").alias("n_markers"), F.size("ambiguous").alias("n_refused"))
+    return links.join(refs, "doc_id", "left").join(resolved, "doc_id", "left")
 
 
 QUERIES = {
@@ -159,7 +179,7 @@ QUERIES = {
     for n, f in globals().items()
     if callable(f) and n in (
         "parse1_dispatch parse2_kept parse3_pairs parse4_reclaimed parse5_emitted parse6_markdown parse7_crops o1_runs o1_reading_order s2_parts s4_labels w19_offset_pages w7_merged_entries w8_without_boilerplate "
-        "w9_without_index o2_sorted_refs a5_missing_numbers j16_recovered k6_references_markdown g5_repaired c1_sections c3_chunks w1_pages w2_merged w5_without_back_matter b1_refined"
+        "w9_without_index o2_sorted_refs a5_missing_numbers j16_recovered k6_references_markdown g5_repaired c1_sections c3_chunks w1_pages w2_merged w5_without_back_matter b1_refined b1_links"
     ).split()
 }
 
@@ -214,11 +234,12 @@ ORACLES = {
     "w9_without_index": f"""WITH {I.REFS}, r AS (SELECT ref_id, bool_and({_INDEX}) OVER (PARTITION BY doc_id ORDER BY ref_idx DESC, ref_id DESC ROWS UNBOUNDED PRECEDING) AS run FROM refs) SELECT ref_id FROM r WHERE NOT run""",
     "o2_sorted_refs": f"""WITH {I.REFS}, k AS (SELECT *, {_KEY} AS k FROM refs), s AS (SELECT doc_id, count(k) = count(*) AND count(DISTINCT k) = count(*) AND max(k) - min(k) + 1 = count(*) AS sorts FROM k GROUP BY doc_id)
         SELECT ref_id, CAST(row_number() OVER (PARTITION BY k.doc_id ORDER BY CASE WHEN sorts THEN k END NULLS FIRST, ref_idx, ref_id) - 1 AS INTEGER) AS position FROM k JOIN s ON k.doc_id = s.doc_id""",
-    "a5_missing_numbers": f"""WITH {I.REFS}, k AS (SELECT DISTINCT doc_id, number, CASE WHEN regexp_matches(trim(number), '^[+-]?\\d+$') THEN try_cast(trim(number) AS INTEGER) END AS k FROM refs WHERE number IS NOT NULL),
+    "a5_missing_numbers": f"""WITH {I.REFS}, f AS (SELECT doc_id, coalesce(number, nullif(regexp_extract(text, '^\\s*\\[?(\\d+)[\\]. ]?\\s', 1), '')) AS number FROM refs),
+        k AS (SELECT DISTINCT doc_id, number, CASE WHEN regexp_matches(trim(number), '^[+-]?\\d+$') THEN try_cast(trim(number) AS INTEGER) END AS k FROM f WHERE number IS NOT NULL),
         s AS (SELECT doc_id, list(k) AS have, max(k) AS top FROM k GROUP BY doc_id HAVING count(k) = count(*) AND count(DISTINCT k) = count(*) AND max(k) >= 1), n AS (SELECT doc_id, have, unnest(generate_series(1, top)) AS number FROM s)
         SELECT doc_id, CAST(number AS INTEGER) AS number FROM n WHERE NOT list_contains(have, CAST(number AS INTEGER))""",
-    "k6_references_markdown": f"""WITH {I.REFS}, p AS (SELECT doc_id, page, string_agg(CASE WHEN coalesce(number, '') <> '' THEN '[' || number || '] ' || text ELSE text END, chr(10) || chr(10) ORDER BY ref_idx, ref_id) AS body FROM refs WHERE page IS NOT NULL GROUP BY doc_id, page)
-        SELECT doc_id, string_agg('<page_number>' || page || '</page_number>' || chr(10) || chr(10) || body, chr(10) || chr(10) ORDER BY page) AS markdown FROM p GROUP BY doc_id""",
+    "k6_references_markdown": f"""WITH {I.REFS}, p AS (SELECT doc_id, page, string_agg(CASE WHEN coalesce(number, '') <> '' THEN '[' || number || '] ' || text ELSE text END, chr(10) || chr(10) ORDER BY ref_idx, ref_id) AS body FROM refs GROUP BY doc_id, page)
+        SELECT doc_id, string_agg(coalesce('<page_number>' || page || '</page_number>' || chr(10) || chr(10), '') || body, chr(10) || chr(10) ORDER BY page NULLS FIRST) AS markdown FROM p GROUP BY doc_id""",
     "w1_pages": """SELECT chunk_id, coalesce(page_start, l) AS page_start, coalesce(page_end, l) AS page_end FROM (SELECT *, last_value(page_end IGNORE NULLS) OVER (PARTITION BY paper_id ORDER BY chunk_index, chunk_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS l FROM chunks)""",
     "w2_merged": f"""WITH RECURSIVE {I.PARAGRAPHS}, fold AS (SELECT doc_id, 0 AS idx, 0 AS piece, paragraph AS text FROM paragraphs WHERE idx = 0
         UNION ALL SELECT p.doc_id, p.idx, CASE WHEN length(p.paragraph) < 1000 OR length(f.text) < 1000 THEN f.piece ELSE f.piece + 1 END, CASE WHEN length(p.paragraph) < 1000 OR length(f.text) < 1000 THEN f.text || chr(10) || chr(10) || p.paragraph ELSE p.paragraph END

@@ -56,12 +56,12 @@ _add("t7_words", "raw_refs", "ref_id", {"n_words": lambda: F.size(blocks.words_c
 
 
 def _full_names(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "author_names").where("given IS NOT NULL").select("name_id", F.concat_ws(" ", "given", "family").alias("name"))
+    return table(spark, root, "author_names").select("name_id", F.concat_ws(" ", "given", "family").alias("name"))
 
 
 _add(
     "t8_split_name", _full_names, "name_id", {"family": lambda: X.split_full_name("name")["family"], "given": lambda: X.split_full_name("name")["given"]},
-    f"""WITH n AS (SELECT name_id, string_split({_squeezed("given || ' ' || family")}, ' ') AS w FROM author_names WHERE given IS NOT NULL)
+    f"""WITH n AS (SELECT name_id, string_split({_squeezed("concat_ws(' ', given, family)")}, ' ') AS w FROM author_names)
         SELECT name_id, rtrim(w[-1], ',') AS family, nullif(array_to_string(w[1:len(w) - 1], ' '), '') AS given FROM n""",
 )
 
@@ -89,11 +89,17 @@ _add(
     r"""WITH p AS (SELECT paper_id, string_split(markdown, '$$') AS ps FROM parse_results)
         SELECT paper_id, array_to_string(list_transform(ps, lambda p, i: CASE WHEN i % 2 = 0 AND (len(ps) % 2 = 1 OR i < len(ps)) AND contains(p, chr(10)) THEN trim(regexp_replace(p, '\s*\n\s*', ' ', 'g')) ELSE p END), '$$') AS markdown FROM p""",
 )
-_add(
-    "t13_formula", "parse_results", "paper_id", {"formula": lambda: X.wrap_formula(F.regexp_extract("markdown", r"(?s)(\$\$.*?\$\$)", 1))},
-    r"""WITH f AS (SELECT paper_id, trim(regexp_extract(markdown, '(?s)(\$\$.*?\$\$)', 1)) AS t FROM parse_results)
-        SELECT paper_id, '$$' || chr(10) || trim(regexp_replace(trim(regexp_replace(t, '^\$\$', '')), '\$\$$', '')) || chr(10) || '$$' AS formula FROM f""",
-)
+
+
+def t13_formula(spark: SparkSession, root: str) -> DataFrame:
+    """Every display formula of every paper."""
+    each = table(spark, root, "parse_results").select("paper_id", F.posexplode(F.regexp_extract_all("markdown", F.lit(r"(?s)(\$\$.*?\$\$)"), F.lit(1))).alias("place", "formula"))
+    return each.select("paper_id", "place", X.wrap_formula("formula").alias("formula"))
+
+
+QUERIES["t13_formula"] = t13_formula
+ORACLES["t13_formula"] = r"""WITH l AS (SELECT paper_id, regexp_extract_all(markdown, '(?s)(\$\$.*?\$\$)', 1) AS fs FROM parse_results), f AS (SELECT paper_id, CAST(unnest(generate_series(0, len(fs) - 1)) AS INTEGER) AS place, trim(unnest(fs)) AS t FROM l)
+    SELECT paper_id, place, '$$' || chr(10) || trim(regexp_replace(trim(regexp_replace(t, '^\$\$', '')), '\$\$$', '')) || chr(10) || '$$' AS formula FROM f"""
 _add("t14_heading", I.lines, ("doc_id", "line_no"), {"text": lambda: X.strip_heading_prefix("line")}, f"WITH {I.LINES} SELECT doc_id, line_no, regexp_replace(regexp_replace(trim(line), '^[-*] \\s*', ''), '^#+\\s*', '') AS text FROM lines")
 _add(
     "t18_csl_type", "candidates", "cand_id", {"type": lambda: X.csl_type("provider", "provider_type", "container_title")},

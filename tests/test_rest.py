@@ -258,3 +258,17 @@ def test_cache_files(tmp_path):
     for name in ("p1_0.png", "fig_2.1.png", "mine.png"):
         (tmp_path / name).write_bytes(b"")
     assert files.clear_crops(tmp_path) == 2 and (tmp_path / "mine.png").exists()
+
+
+def test_requests_hold_no_key_and_credentials_stay_on_their_host(spark):
+    from quirelake.functions import requests as Q
+
+    df = spark.createDataFrame([("Why SGD does NOT converge? a/b é", "10.1/x (y)", ["W1", "W2"]), ("???", None, []), (None, None, None)], "t string, d string, ids array<string>")
+    got = df.select(Q.search_url("openalex", df.t, 3, "a@b.org"), Q.search_url("crossref", df.t), Q.doi_url("openalex", df.d, source=True), Q.works_url(df.ids), Q.references_url(F.lit("p 1"))).collect()
+    assert got[0][0] == "https://api.openalex.org/works?search=Why%20SGD%20does%20not%20converge%20a/b%20%C3%A9&per-page=3&mailto=a%40b.org" and got[1][0] is None and got[2][0] is None
+    assert got[0][1] == "https://api.crossref.org/works?query.bibliographic=Why%20SGD%20does%20NOT%20converge%3F%20a/b%20%C3%A9&rows=1" and got[0][3].startswith("https://api.openalex.org/works?filter=openalex_id:W1|W2&per-page=100")
+    assert "doi:10.1/x%20%28y%29?select=" in got[0][2] and "/paper/p%201/references" in got[0][4]
+    keys = {"openalex": "k1", "semanticscholar": "k2"}
+    sent = Q.headers("openalex", keys, "a@b.org")
+    assert sent == {"User-Agent": "quirelake/0.1 (mailto:a@b.org)", "Authorization": "Bearer k1"} and Q.headers("semanticscholar", keys, "a@b.org") == {"User-Agent": "quirelake/0.1", "x-api-key": "k2"} and "Authorization" not in Q.headers("crossref", keys)
+    assert Q.redirected(sent, "https://api.openalex.org/x", "https://api.openalex.org/y") == sent and set(Q.redirected(sent, "https://api.openalex.org/x", "https://other.org/y")) == {"User-Agent"}
