@@ -35,6 +35,18 @@ def traits(text: str | None) -> list[str]:
     return found
 
 
+#: What a normal form may still hold that makes its text a disguise: marks that compose with nothing, and letters of another script.
+_LEFT = re.compile(f"{COMBINING.pattern}|{FOREIGN.pattern}")
+
+
+def unified(text: str | None) -> tuple[str | None, list[str]]:
+    """The canonical form of ``text``, and the kinds of disguise, which are looked for only where the form isn't just the text in lower case."""
+    form = canonical(text)
+    if form is None or form == text.lower() and not _LEFT.search(form):
+        return form, []
+    return form, traits(text)
+
+
 def unify_text(df: DataFrame, column: str, into: str = "form", traits_into: str = "traits") -> DataFrame:
     """``df`` with the canonical form of a text column and the kinds of disguise found in it.
 
@@ -46,9 +58,8 @@ def unify_text(df: DataFrame, column: str, into: str = "form", traits_into: str
 
     def over(values: pd.Series) -> pd.DataFrame:
         codes, distinct = pd.factorize(values, use_na_sentinel=True)
-        forms = [canonical(v) for v in distinct] + [None]
-        kinds = [traits(v) for v in distinct] + [[]]
-        return pd.DataFrame({"form": pd.Series([forms[c] for c in codes], dtype=object), "traits": pd.Series([kinds[c] for c in codes], dtype=object)})
+        made = [unified(v) for v in distinct] + [(None, [])]
+        return pd.DataFrame({"form": pd.Series([made[c][0] for c in codes], dtype=object), "traits": pd.Series([made[c][1] for c in codes], dtype=object)})
 
     over.__annotations__ = {"values": pd.Series, "return": pd.DataFrame}
     udf = F.pandas_udf(over, "form string, traits array<string>")

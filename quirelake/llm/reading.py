@@ -127,9 +127,8 @@ def _empty() -> Model:
     return Model({}, np.zeros((len(QUANTILES) + 4, len(LEVELS))), np.zeros(len(QUANTILES) + 3), np.ones(len(QUANTILES) + 3), QUANTILES)
 
 
-def calibrate(rows: list[list[str]], y: np.ndarray, keep: np.ndarray, grades: dict[str, float]) -> Model:
-    """The logistic calibration of levels ``y`` (from 0) on the grades of the words of ``rows``, those of ``keep``."""
-    x = np.array([features(w, grades) for w in rows])
+def calibrate(x: np.ndarray, y: np.ndarray, keep: np.ndarray, grades: dict[str, float]) -> Model:
+    """The logistic calibration of levels ``y`` (from 0) on the :func:`features` ``x`` by ``grades``, those of ``keep``."""
     mean, scale = x[keep].mean(0), x[keep].std(0) + 1e-6
     z = np.c_[(x - mean) / scale, np.ones(len(x))]
     weights = np.zeros((z.shape[1], len(LEVELS)))
@@ -142,9 +141,9 @@ def calibrate(rows: list[list[str]], y: np.ndarray, keep: np.ndarray, grades: di
     return Model(grades, weights, mean, scale, QUANTILES)
 
 
-def plausible(words: list[str], level: int, model: Model) -> bool:
-    """Whether ``model`` doesn't find the label ``level`` (from 0) far off."""
-    z = np.append((features(words, model.grades, model.quantiles) - model.mean) / model.scale, 1.0)
+def plausible(x: np.ndarray, level: int, model: Model) -> bool:
+    """Whether ``model`` doesn't find the label ``level`` (from 0) of a text with the features ``x`` far off."""
+    z = np.append((x - model.mean) / model.scale, 1.0)
     return bool(_softmax((z @ model.weights)[None])[0, level] > 0.05)
 
 
@@ -159,8 +158,10 @@ def fit(texts: list[str], levels: list[int], rounds: int = 2) -> Model:
     model = _empty()
     for _ in range(rounds if len(y) else 0):
         counts, total = count_words((w, k) for w, k, kept in zip(rows, y, keep) if kept)
-        model = calibrate(rows, y, keep, grades_of(counts, total + 1))
-        keep = np.array([plausible(w, k, model) for w, k in zip(rows, y)])
+        grades = grades_of(counts, total + 1)
+        x = np.array([features(w, grades) for w in rows])
+        model = calibrate(x, y, keep, grades)
+        keep = np.array([plausible(f, k, model) for f, k in zip(x, y)])
     return model
 
 
@@ -178,7 +179,7 @@ def _grades(labelled: DataFrame, model: Model | None) -> dict[str, float]:
         model = shared.value
         for batch in batches:
             rows = ((prose_words(t), k - 1) for t, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            counts, _ = count_words((w, k) for w, k in rows if model is None or plausible(w, k, model))
+            counts, _ = count_words((w, k) for w, k in rows if model is None or plausible(features(w, model.grades, model.quantiles), k, model))
             columns = np.array(list(counts.values())).reshape(-1, len(names)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *(pa.array(c) for c in columns.T)], ["word", *names])
 
@@ -193,16 +194,31 @@ def fit_levels(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, ro
     """As :func:`fit`: grades from all labelled documents of ``documents``, calibration on at most ``sample`` of them, chosen by a hash of ``doc_id``."""
     marked = labels.where(F.col("level").isin(*LEVELS)).select("doc_id", F.col("level").cast("int").alias("level"))
     labelled = stage(documents.select("doc_id", F.col("text").cast("string").alias("text")).where("text IS NOT NULL").join(marked, "doc_id"))
-    chosen = labelled.orderBy(F.xxhash64("doc_id"), "doc_id", "level").limit(sample).collect()
-    chosen.sort(key=lambda r: (r.doc_id, r.level))
-    rows, y = [prose_words(r.text) for r in chosen], np.array([r.level for r in chosen], int) - 1
-    keep, model = np.ones(len(y), bool), None
-    for _ in range(rounds if len(y) else 0):
-        model = calibrate(rows, y, keep, _grades(labelled, model))
-        keep = np.array([plausible(w, k, model) for w, k in zip(rows, y)])
+    chosen = stage(labelled.orderBy(F.xxhash64("doc_id"), "doc_id", "level").limit(sample))
+    keep, model = None, None
+    for _ in range(rounds):
+        grades = _grades(labelled, model)
+        x, y = _features(chosen, grades)
+        if not len(y):
+            break
+        model = calibrate(x, y, np.ones(len(y), bool) if keep is None else keep, grades)
+        keep = np.array([plausible(f, k, model) for f, k in zip(x, y)])
     return model or _empty()
 
 
+def _features(chosen: DataFrame, grades: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
+    """Features and levels (from 0) of the sampled documents in a fixed order: some numbers of each come to the driver, no text does."""
+    shared = chosen.sparkSession.sparkContext.broadcast(grades)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [features(prose_words(t), shared.value).tolist() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(made, pa.list_(pa.float64()))], ["doc_id", "level", "x"])
+
+    found = sorted((tuple(r) for r in chosen.select(F.col("doc_id").cast("bigint"), "text", "level").mapInArrow(run, "doc_id bigint, level int, x array<double>").collect()), key=lambda r: r[:2])
+    return np.array([r[2] for r in found], float), np.array([r[1] for r in found], int) - 1
+
+
 def reading_levels(documents: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row for each document: ``key``, ``n_words`` (split at white space), ``english`` and ``level``.
 

@@ -270,3 +270,11 @@ def test_queries_run(spark, data):
         df = query(spark, data)
         assert df.count() >= 0, name
     assert set(queries.ORACLES) <= set(queries.QUERIES)
+
+
+@given(st.text(alphabet="aBé ßİΩμаЕ\u0301\u0303q\u200b\u00a0Ａﬁ²–…", max_size=12))
+@settings(max_examples=500, deadline=None)
+def test_disguises_show_in_the_normal_form(text):
+    """No disguise is missed by looking only where the normal form is not the text with its case folded."""
+    form, kinds = lookalike.unified(text)
+    assert kinds == lookalike.traits(text) and form == lookalike.canonical(text)
