@@ -126,9 +126,11 @@ SAME_PAGES, NO_PAGES, OTHER_PAGES = 0.45, 0.62, 0.9
 LEAST_WORDS = 8
 
 
-def entry_groups(refs: DataFrame, key: str = "ref_id", text: str = "text") -> DataFrame:
+def entry_groups(refs: DataFrame, key: str = "ref_id", text: str = "text", links: bool = False) -> DataFrame:
     """``key``, ``entry`` (the least key of the rows that print the same entry) and ``class`` (the least key of the rows that read the same).
 
+    ``links`` adds ``n_links``, with how many other classes the row's own is linked.
+
     Rows of fewer than eight words have null for both, as have null and empty texts. Two rows
     print one entry when they tell the same year (or none), the same signs of a sequel, and their
     weighted tokens agree well enough in view of their pages. Copies and readings of the same words
@@ -146,9 +148,13 @@ def entry_groups(refs: DataFrame, key: str = "ref_id", text: str = "text") -> Da
     dated = F.struct(F.col("when").alias("block"), F.lit(NO_PAGES).alias("threshold"))
     blocks = weighed.withColumn("b", F.explode(F.when(F.col("paged"), F.array(dated, same)).otherwise(F.array(dated)))).select("id", "tag", "items", "weight", "b.block", "b.threshold")
     pairs = token_group_pairs(blocks).where((F.col("tag_a").isNull() | F.col("tag_b").isNull()) | (F.col("tag_a") == F.col("tag_b")) | (F.col("similarity") >= OTHER_PAGES))
-    linked = components(pairs.select("a", "b").distinct())
+    pairs = stage(pairs.select("a", "b").distinct())
+    linked = components(pairs)
     of_class = classes.select("mark", F.col("id").alias("class")).join(linked.withColumnRenamed("node", "class"), "class", "left").select("mark", "class", F.coalesce("component", "class").alias("entry"))
     found = able.select(key, "mark").join(of_class, "mark").select(key, "entry", "class")
+    if links:
+        degrees = pairs.union(pairs.select("b", "a")).groupBy(F.col("a").alias("class")).agg(F.count("*").alias("n_links"))
+        found = found.join(degrees, "class", "left").select(key, "entry", "class", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     return refs.select(key).join(found, key, "left")
 
 

@@ -48,11 +48,11 @@ def p3_repaired(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p2_groups(spark: SparkSession, root: str) -> DataFrame:
-    return neardup.entry_groups(table(spark, root, "raw_refs"))
+    return neardup.entry_groups(table(spark, root, "raw_refs"), links=True)
 
 
 def p2_found(spark: SparkSession, root: str) -> DataFrame:
-    return neardup.pairs_within(p2_groups(spark, root), "ref_id", "entry", ("ref_id_a", "ref_id_b"))
+    return neardup.pairs_within(neardup.entry_groups(table(spark, root, "raw_refs")), "ref_id", "entry", ("ref_id_a", "ref_id_b"))
 
 
 def p4_entities(spark: SparkSession, root: str) -> DataFrame:

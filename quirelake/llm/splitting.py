@@ -2,7 +2,8 @@
 
 Every place where a text may be cut has a strength. A sparse table answers, for any range of
 boundaries, where the strongest is; the cutter asks it once for the end of a piece and once for the
-start of the next, so a text of n boundaries costs O(n log n) however long it is.
+start of the next. The table has as many levels as the longest range needs, so a text of n boundaries
+costs O(n log limit) however long it is.
 """
 
 from __future__ import annotations
@@ -43,9 +44,9 @@ class Piece(NamedTuple):
 
 
 class StrongestCut:
-    """Range-maximum index over boundary strengths; of equal ones the rightmost."""
+    """Range-maximum index over boundary strengths; of equal ones the rightmost. ``widest`` is the longest range that is asked for, in letters."""
 
-    def __init__(self, text: str) -> None:
+    def __init__(self, text: str, widest: int | None = None) -> None:
         strength = np.full(len(text) + 1, HARD, np.int8)
         for value, pattern in reversed(STRENGTHS):
             ends = np.fromiter((m.end() for m in pattern.finditer(text)), np.int64)
@@ -56,7 +57,9 @@ class StrongestCut:
         self.text = text
         level = strength[self.places].astype(np.int64) * (len(self.places) + 1) + np.arange(len(self.places))
         self.levels = [level]
-        while 2 * (step := 1 << (len(self.levels) - 1)) <= len(level):
+        # no range has more boundaries than letters and one
+        most = len(level) if widest is None else min(len(level), widest + 1)
+        while 2 * (step := 1 << (len(self.levels) - 1)) <= most:
             last = self.levels[-1]
             self.levels.append(np.maximum(last[:-step], last[step:]))
 
@@ -87,7 +90,7 @@ def pieces(text: str | None, limit: int = 6000, overlap: tuple[int, int] = (300,
         raise ValueError("the overlap must be below the least piece")
     if len(text) <= limit:
         return [Piece(0, 0, len(text), 0)]
-    index, out, start, over = StrongestCut(text), [], 0, 0
+    index, out, start, over = StrongestCut(text, max(limit - int(least * limit), high - low)), [], 0, 0
     while len(text) - start > limit:
         end = index.best(start + int(least * limit), start + limit)
         out.append(Piece(len(out), start, end, over))

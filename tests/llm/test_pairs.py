@@ -102,6 +102,8 @@ def test_entry_groups(spark):
     assert got[7] is None and got[8] is None and got[9] is None and len(got) == 10
     pairs = rows(D.pairs_within(D.entry_groups(df), "ref_id", "entry", ("ref_id_a", "ref_id_b")))
     assert pairs == sorted(combinations([1, 2, 3, 4], 2))
+    links = {r.ref_id: r.n_links for r in D.entry_groups(df, links=True).collect()}
+    assert links[1] == links[2] >= 1 and links[5] == 0 and links[8] is None
     assert D.entry_groups(df.limit(0)).count() == 0
 
 

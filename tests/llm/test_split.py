@@ -44,7 +44,7 @@ def brute(text: str, low: int, high: int) -> int:
 def test_sparse_table_equals_scan(text, low, width):
     high = min(len(text), low + width)
     if low < high:
-        assert S.StrongestCut(text).best(low, high) == brute(text, low, high)
+        assert S.StrongestCut(text).best(low, high) == S.StrongestCut(text, width).best(low, high) == brute(text, low, high)
 
 
 def test_split_table(spark):
