@@ -125,14 +125,18 @@ def title_pairs(refs: DataFrame, candidates: DataFrame, config: CitationConfig =
     The cheap exact bounds come before the similarity.
     """
     keyed = lambda df, t, a, y, core: df.withColumn("__k", F.explode(title_keys(t, a, y))).withColumn("k", F.col("__k.k")).withColumn(core, F.col("__k.core")).withColumn(core + "n", X.normalize_title(t)).drop("__k")
-    left = keyed(refs.where(X.searchable("title")).select("doc_id", "ref_idx", "title", "authors", "year"), "title", "authors", "year", "__l")
+    # references that read alike are compared once
+    own = refs.where(X.searchable("title")).select("doc_id", "ref_idx", "title", "authors", "year").withColumn("__c", F.xxhash64("title", "authors", "year"))
+    alike = own.groupBy("__c").agg(*(F.first(c).alias(c) for c in ("title", "authors", "year")))
+    left = keyed(alike, "title", "authors", "year", "__l")
     right = keyed(candidates.where(X.searchable("title")).select("cand_id", F.col("title").alias("c_title"), F.col("authors").alias("c_authors"), F.col("year").alias("c_year"), "source", "provider_type", F.col("doi").alias("c_doi")), "c_title", "c_authors", "c_year", "__r")
     short, long = F.least(F.length("__ln"), F.length("__rn")), F.greatest(F.length("__ln"), F.length("__rn"))
     pairs = left.join(right, "k").where(2 * short >= F.lit(config.near) * (short + long))
     pairs = pairs.where((F.col("__l") & F.col("__r")) | within_bound(F.col("__ln"), F.col("__rn"), config.near))
-    pairs = pairs.drop("k", "__l", "__r", "__ln", "__rn").dropDuplicates(["doc_id", "ref_idx", "cand_id"])
+    pairs = pairs.drop("k", "__l", "__r", "__ln", "__rn").dropDuplicates(["__c", "cand_id"])
     made = judge_columns(config)(*(F.col(c) for c in ("title", "authors", "year", "c_title", "c_authors", "c_year")))
-    return pairs.withColumn("__j", made).select("doc_id", "ref_idx", "cand_id", "source", "provider_type", "c_title", "c_year", "c_doi", F.col("__j.similarity").alias("similarity"), F.col("__j.accepted").alias("accepted"))
+    judged = pairs.withColumn("__j", made).select("__c", "cand_id", "source", "provider_type", "c_title", "c_year", "c_doi", F.col("__j.similarity").alias("similarity"), F.col("__j.accepted").alias("accepted"))
+    return own.select("doc_id", "ref_idx", "__c").join(judged, "__c").drop("__c")
 
 
 def best_match(pairs: DataFrame) -> DataFrame:
