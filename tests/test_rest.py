@@ -241,11 +241,32 @@ def test_whole_pipeline(spark):
     out = refine(regions, catalogue)
     assert [(r.ref_idx, r.verified) for r in out.resolved.orderBy("ref_idx").collect()] == [(0, True), (1, False)]
     text = {r.doc_id: r.markdown for r in out.markdown.collect()}["d"]
-    assert "[boyd_2009]" in text and "[2]" in text and rows(out.failed) == [("void", "no text")]
+    # authors and year of the unverified entry are read from print, so its marker gets a key too
+    assert "[boyd_2009]" in text and "[lee_2012]" in text and rows(out.failed) == [("void", "no text")]
     assert {r.doc_id for r in out.chunks.collect()} == {"d"} and rows(out.links.select("doc_id", "style"))[0] == ("d", "numbered-bracket")
     assert refine(regions.limit(0), catalogue).chunks.count() == 0
 
 
+def test_author_year_documents_link_and_a_second_run_asks_nothing(spark):
+    from quirelake import schemas
+    from quirelake.operators import extraction
+    from quirelake.operators.pipeline import refine
+
+    items = [("d", 1, 0, "text", "text", "As Boyd et al. (2009) show, it holds (see Lee, 2012). Nobody (1999) knows.", None, None)]
+    items += [("d", 2, 0, "text", "reference_content", "Boyd, S. “Learning convex optostratification from colour,” Journal of X, 2009.", None, None), ("d", 2, 1, "text", "reference_content", "Lee, K. “Smooth manifolds and periodic things revisited,” Journal of Y, 2012.", None, None)]
+    regions = spark.createDataFrame(items, schemas.REGIONS)
+    catalogue = spark.createDataFrame([], "cand_id bigint, title string, authors array<struct<family:string,given:string>>, year int, doi string, abstract string, source string, provider_type string")
+    first = refine(regions, catalogue)
+    links = first.links.first()
+    assert links.style == "author-year" and [list(m.refs) for m in links.markers] == [[0], [1]] and "Nobody (1999)" in links.ambiguous
+
+    def never(raws):
+        raise AssertionError("asked again")
+
+    again = refine(regions, catalogue, model=never, cache=extraction.cache_entries(first.extracted))
+    assert again.links.first().markers == links.markers and {r.cached for r in again.extracted.collect()} == {True}
+
+
 def test_cache_files(tmp_path):
     from quirelake.sources import files
 
