@@ -265,3 +265,49 @@ def test_calibration_orders_pairs():
     bad = [0.2, 0.3, 1, 0.2, 1, 0, 0, 0.5, 0, 0, 0, 0]
     p = model.confidence(np.array([good, bad], float))
     assert p[0] > 0.9 > p[1]
+
+
+def _stages(spark):
+    """Names of the folders that are staged now."""
+    import os
+
+    from quirelake.session import shared_dir
+
+    there = shared_dir(spark).removeprefix("file://")
+    return {n for n in os.listdir(there) if n.startswith("stage-")} if os.path.isdir(there) else set()
+
+
+def test_entries_are_compared_in_parts(spark, data, monkeypatch):
+    """Parts give the groups that one comparison gives; each holds a share of the classes, and what is worked on is deleted."""
+    refs = spark.read.parquet(f"{data}/raw_refs.parquet")
+    whole = rows(D.entry_groups(refs, links=True))
+    sizes, grouped = [], D._grouped
+
+    def counted(weighed):
+        sizes.append(weighed.count())
+        return grouped(weighed)
+
+    monkeypatch.setattr(D, "_grouped", counted)
+    monkeypatch.setattr(D, "PART_SETS", 80)
+    before = _stages(spark)
+    parted = D.entry_groups(refs, links=True)
+    assert rows(parted) == whole
+    assert len(sizes) >= 3 and max(sizes) < 0.5 * sum(sizes)
+    # what is left: the rows' classes, each part's pairs, and the links of the components
+    assert len(_stages(spark) - before) <= len(sizes) + 4
+
+
+def test_a_stage_leaves_no_shuffle_files(spark):
+    import glob
+    import os
+
+    from quirelake.session import release, stage
+
+    def shuffled():
+        store = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {os.path.basename(p) for d in store.localDirsString() for p in glob.glob(f"{d}/*/shuffle_*.data")}
+
+    before = shuffled()
+    made = stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n")))
+    assert shuffled() <= before and made.count() == 7
+    release(made)
