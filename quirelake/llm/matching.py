@@ -37,6 +37,10 @@ FREQUENT = 5000
 TELLING = 4
 #: Share of common title words from which a candidate pair is compared further; titles of fewer than TELLING words are in any case.
 VERIFIED = 0.2
+#: Records of both sides whose blocks are joined at once, and parts that all blocks are divided into at most: only one part's shuffles are on disk at a time.
+PART_RECORDS, PARTS = 50_000, 16
+#: A title's sketch is a number: of its low bits each distinct word sets one, the bits above are the number of words, which all larger ones share.
+_SKETCH_BITS, _SKETCH_WORDS = 56, 127
 #: Pairs that the classifier is trained on at most: the first by a hash of both ids.
 SAMPLE = 20_000
 CONFIDENT = 0.3
@@ -113,32 +117,53 @@ def _seed(token: str) -> int:
     return xxhash.xxh32_intdigest(token)
 
 
-def signatures(tokens: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-    """MinHash rows of each list of tokens that is not empty: the single rows, and a hash for each band."""
-    sizes = np.array([len(t) for t in tokens])
-    h = np.fromiter((_seed(w) for t in tokens for w in t), np.uint64, int(sizes.sum()))
-    rows = np.minimum.reduceat((h[:, None] * _A + _B) % _PRIME, np.r_[0, np.cumsum(sizes)[:-1]])
-    bands = np.zeros((len(tokens), BANDS), np.uint64)
+def signatures(words: np.ndarray, starts: np.ndarray, bands: tuple[int, ...] = ()) -> np.ndarray:
+    """MinHash rows of lists of hashed words, none empty, that begin at ``starts``: the single rows, or a hash for each of the ``bands``."""
+    h = (words.astype(np.int64) + (1 << 31)).astype(np.uint64)
+    at = [i * ROWS + r for i in bands for r in range(ROWS)] or list(range(SINGLES))
+    rows = np.minimum.reduceat((h[:, None] * _A[at] + _B[at]) % _PRIME, starts)
+    if not bands:
+        return rows.astype(np.int64)
+    made = np.zeros((len(starts), len(bands)), np.uint64)
     for r in range(ROWS):
-        bands = bands * np.uint64(0x9E3779B97F4A7C15) + rows[:, r::ROWS]
-    return rows[:, :SINGLES].astype(np.int64), bands.view(np.int64)
+        made = made * np.uint64(0x9E3779B97F4A7C15) + rows[:, r::ROWS]
+    return made.view(np.int64)
 
 
-def _grams(tokens: list[str]) -> set[str]:
-    text = " " + " ".join(tokens) + " "
-    return {text[i : i + 3] for i in range(len(text) - 2)}
+def _sketch(words: list[int]) -> int:
+    bits = 0
+    for w in words:
+        bits |= 1 << w % _SKETCH_BITS
+    return bits | min(len(words), _SKETCH_WORDS) << _SKETCH_BITS
+
+
+def may_share(a: Column, b: Column) -> Column:
+    """Whether titles with these sketches may have the words in common that :func:`verified` asks for; never false where they have.
+
+    A bit that only one of them has stands for a word at least that the other lacks.
+    """
+    bits = lambda x: F.bit_count(x.bitwiseAND(F.lit((1 << _SKETCH_BITS) - 1)))
+    n = lambda x: F.shiftrightunsigned(x, _SKETCH_BITS)
+    most = F.least(n(a) - bits(a), n(b) - bits(b)) + bits(a.bitwiseAND(b))
+    return (most >= VERIFIED * (n(a) + n(b) - most)) | (F.least(n(a), n(b)) < TELLING) | (F.greatest(n(a), n(b)) == _SKETCH_WORDS)
+
+
+def verified(a: Column, b: Column) -> Column:
+    """Whether titles with these words are compared further."""
+    shared = F.size(F.array_intersect(a, b))
+    return (shared >= VERIFIED * (F.size(a) + F.size(b) - shared)) | (F.least(F.size(a), F.size(b)) < TELLING)
 
 
 _FIELDS = {
-    "id": ("bigint", pa.int64()), "form": ("bigint", pa.int64()), "words": ("array<int>", pa.list_(pa.int32())), "grams": ("array<int>", pa.list_(pa.int32())), "sequel": ("string", pa.string()), "year": ("int", pa.int32()), "doi": ("string", pa.string()),
-    "authors": ("array<string>", pa.list_(pa.string())), "venue": ("array<string>", pa.list_(pa.string())), "ends": ("array<int>", pa.list_(pa.int32())), "rows": ("array<bigint>", pa.list_(pa.int64())), "bands": ("array<bigint>", pa.list_(pa.int64())),
+    "id": ("bigint", pa.int64()), "form": ("bigint", pa.int64()), "words": ("array<int>", pa.list_(pa.int32())), "text": ("string", pa.string()), "sequel": ("string", pa.string()), "year": ("int", pa.int32()), "doi": ("string", pa.string()),
+    "authors": ("array<string>", pa.list_(pa.string())), "venue": ("array<string>", pa.list_(pa.string())), "ends": ("array<int>", pa.list_(pa.int32())), "rows": ("array<bigint>", pa.list_(pa.int64())), "sketch": ("bigint", pa.int64()),
 }
 
 
 def prepare(df: DataFrame, key: str) -> DataFrame:
     """The records of ``df`` (``key``, ``title``, ``authors``, ``year``, ``doi``, ``container_title``) in comparable form, by a map without shuffle.
 
-    ``form`` is equal for records that compare alike. Records without a title have no rows and bands.
+    ``form`` is equal for records that compare alike; ``text`` has the title's words. Records without a title have no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,13 +171,16 @@ def prepare(df: DataFrame, key: str) -> DataFrame:
             ids, *columns = (c.to_pylist() for c in batch.columns)
             made = [record(*values) for values in zip(*columns)]
             titled = [i for i, r in enumerate(made) if r.tokens]
-            rows, bands = [None] * len(made), [None] * len(made)
+            words = [[_hash32(t) for t in r.tokens] for r in made]
+            rows: list[list[int] | None] = [None] * len(made)
             if titled:
-                for i, a, b in zip(titled, *(x.tolist() for x in signatures([made[i].tokens for i in titled]))):
-                    rows[i], bands[i] = a, b
+                sizes = [len(words[i]) for i in titled]
+                flat = np.fromiter((w for i in titled for w in words[i]), np.int64, sum(sizes))
+                for i, row in zip(titled, signatures(flat, np.r_[0, np.cumsum(sizes)[:-1]]).tolist()):
+                    rows[i] = row
             form = [xxhash.xxh64_intdigest(repr(r)) - (1 << 63) for r in made]
-            values = [ids, form, [[_hash32(t) for t in r.tokens] for r in made], [[_hash32(g) for g in _grams(r.tokens)] if r.tokens else [] for r in made]]
-            values += [[getattr(r, n) for r in made] for n in ("sequel", "year", "doi", "authors", "venue")] + [[[_hash32(e) for e in r.ends] for r in made], rows, bands]
+            values = [ids, form, words, [" " + " ".join(r.tokens) + " " for r in made]]
+            values += [[getattr(r, n) for r in made] for n in ("sequel", "year", "doi", "authors", "venue")] + [[[_hash32(e) for e in r.ends] for r in made], rows, [_sketch(w) for w in words]]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, (_, t) in zip(values, _FIELDS.values())], list(_FIELDS))
 
     chosen = df.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint"), "title", "authors", F.col("year").cast("int"), "doi", "container_title")
@@ -163,6 +191,53 @@ def _near_years(pairs: DataFrame) -> DataFrame:
     return pairs.where("ya IS NULL OR yb IS NULL OR abs(ya - yb) <= 1")
 
 
+def _banded(records: DataFrame, bands: tuple[int, ...]) -> DataFrame:
+    """``f``, ``y``, ``sketch``, ``i`` and ``band`` of ``records`` (``f``, ``y``, ``sketch``, ``words``) for these bands of their titles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(3)
+            ends = column.offsets.to_numpy()
+            if len(ends) < 2:
+                continue
+            made = signatures(column.values.to_numpy()[ends[0] : ends[-1]], (ends - ends[0])[:-1], bands)
+            repeated = pa.array(np.repeat(np.arange(len(batch)), len(bands)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(repeated) for k in range(3)), pa.array(np.tile(np.array(bands, np.int32), len(batch))), pa.array(made.reshape(-1))], ["f", "y", "sketch", "i", "band"])
+
+    return records.select("f", "y", "sketch", "words").mapInArrow(run, "f bigint, y int, sketch bigint, i int, band bigint")
+
+
+def blocked_pairs(a: DataFrame, b: DataFrame, parts: int = 1) -> Iterator[DataFrame]:
+    """The pairs of :func:`candidate_pairs`, repeats included, in ``parts`` of the blocks, with the sketches ``sa`` and ``sb`` of their titles."""
+    sides = {s: df.select(F.col("form").alias("f"), F.col("year").alias("y"), "words", "rows", "ends", "doi", "sketch").where("rows IS NOT NULL") for s, df in (("a", a), ("b", b))}
+    named = lambda s: sides[s].select(F.explode("ends").alias("end"))
+    frequent = stage(named("a").union(named("b")).groupBy("end").agg(F.count("*").alias("n")).where(f"n > {FREQUENT}").select("end", F.lit(True).alias("often")))
+
+    def filed(s: str, other: str, part: int) -> DataFrame:
+        dated = F.expr(f"array(y DIV 2 * 4, (y + 1) DIV 2 * 4 + 1, {'2L' if other == 'a' else '3L'})")
+        marks = F.when(F.col("often").isNull(), F.expr("array(-1L)")).when(F.col("y").isNull(), F.expr("array(2L, 3L)")).otherwise(dated)
+        own = sides[s].select("f", "y", "sketch", "rows", F.explode(F.filter("ends", lambda e: F.pmod(e, F.lit(parts)) == part)).alias("end"))
+        rows = own.join(frequent, "end", "left").select("f", "y", "sketch", "end", F.explode(marks).alias("mark"), "rows")
+        return rows.select("f", "y", "sketch", "end", "mark", F.posexplode("rows").alias("i", "row")).select("f", "y", "sketch", F.xxhash64("end", "mark", "i", "row").alias("key"))
+
+    def numbered(s: str) -> DataFrame:
+        return sides[s].where("doi IS NOT NULL").select("f", "y", "sketch", "doi", F.posexplode(F.slice("rows", 1, DOI_ROWS)).alias("i", "row"))
+
+    def pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+        of = lambda df, s: df.select(*on, F.col("f").alias(f"f{s}"), F.col("y").alias(f"y{s}"), F.col("sketch").alias(f"s{s}"))
+        return _near_years(of(left, "a").join(of(right, "b"), on)).select("fa", "fb", "sa", "sb")
+
+    for part in range(parts):
+        made = [pairs(filed("a", "b", part), filed("b", "a", part), ["key"])]
+        if bands := tuple(i for i in range(BANDS) if i % parts == part):
+            telling = {s: df.where(f"size(words) >= {TELLING}") for s, df in sides.items()}
+            nameless, every = ({s: _banded(df.where(c), bands) for s, df in telling.items()} for c in ("size(ends) = 0", "true"))
+            made += [pairs(nameless["a"], every["b"], ["i", "band"]), pairs(every["a"], nameless["b"], ["i", "band"])]
+        if part == 0:
+            made.append(pairs(numbered("a"), numbered("b"), ["doi", "i", "row"]))
+        yield reduce(DataFrame.union, made)
+
+
 def candidate_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
     """Pairs ``fa`` and ``fb`` of classes that share a block and whose years are at most one apart (or missing).
 
@@ -172,25 +247,7 @@ def candidate_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
     all of the other side are filed in. Classes without authors meet all others by bands of the title;
     equal DOIs meet with a row of the title.
     """
-    sides = {"a": a.select(F.col("form").alias("fa"), F.col("year").alias("ya"), "rows", "bands", "ends", "doi", F.size("words").alias("n")).where("rows IS NOT NULL"), "b": b.select(F.col("form").alias("fb"), F.col("year").alias("yb"), "rows", "bands", "ends", "doi", F.size("words").alias("n")).where("rows IS NOT NULL")}
-    named = {s: df.select(f"f{s}", f"y{s}", "rows", F.explode("ends").alias("end")) for s, df in sides.items()}
-    frequent = named["a"].select("end").union(named["b"].select("end")).groupBy("end").agg(F.count("*").alias("n")).where(f"n > {FREQUENT}").select("end", F.lit(True).alias("often"))
-    frequent = stage(frequent)
-
-    def filed(s: str, other: str) -> DataFrame:
-        y = F.col(f"y{s}")
-        dated = F.expr(f"array(y{s} DIV 2 * 4, (y{s} + 1) DIV 2 * 4 + 1, {'2L' if other == 'a' else '3L'})")
-        marks = F.when(F.col("often").isNull(), F.expr("array(-1L)")).when(y.isNull(), F.expr("array(2L, 3L)")).otherwise(dated)
-        rows = named[s].join(frequent, "end", "left").select(f"f{s}", y, "end", F.explode(marks).alias("mark"), "rows")
-        return rows.select(f"f{s}", f"y{s}", "end", "mark", F.posexplode("rows").alias("i", "row")).select(f"f{s}", f"y{s}", F.xxhash64("end", "mark", "i", "row").alias("key"))
-
-    by_name = _near_years(filed("a", "b").join(filed("b", "a"), "key")).select("fa", "fb")
-    banded = {s: df.where(f"n >= {TELLING}").select(f"f{s}", f"y{s}", (F.size("ends") == 0).alias("nameless"), F.posexplode("bands").alias("i", "band")) for s, df in sides.items()}
-    by_title = [_near_years(banded[s].where("nameless").drop("nameless").join(banded[t].drop("nameless"), ["i", "band"])).select("fa", "fb") for s, t in ("ab", "ba")]
-    numbered = {s: df.where("doi IS NOT NULL").select(f"f{s}", f"y{s}", "doi", F.posexplode(F.slice("rows", 1, DOI_ROWS)).alias("i", "row")) for s, df in sides.items()}
-    by_doi = _near_years(numbered["a"].join(numbered["b"], ["doi", "i", "row"])).select("fa", "fb")
-    # one shuffle, by fa, serves the removal of repeats and the join with the classes of a that follows
-    return reduce(DataFrame.union, [by_name, *by_title, by_doi]).repartition("fa").distinct()
+    return reduce(DataFrame.union, (p.select("fa", "fb") for p in blocked_pairs(a, b))).distinct()
 
 
 FEATURES = ("title_jaccard", "title_contained", "title_words", "trigrams", "same_sequel", "year_gap", "year_missing", "author_share", "authors_missing", "doi_same", "doi_other", "venue_share")
@@ -223,7 +280,7 @@ def pair_columns() -> list[Column]:
         both("words") / F.greatest(F.lit(1), sum(size("words"), F.lit(0)) - both("words")),
         both("words") / F.greatest(F.lit(1), F.least(*size("words"))),
         F.least(*size("words"), F.lit(8)) / 8,
-        2 * both("grams") / F.greatest(F.lit(1), sum(size("grams"), F.lit(0))),
+        _trigrams(a("text"), b("text")),
         of(F.coalesce(a("sequel"), F.lit("")) == F.coalesce(b("sequel"), F.lit(""))),
         F.when(years, F.least(F.lit(3.0), F.abs(a("year") - b("year")).cast("double"))).otherwise(0.0),
         of(~years),
@@ -235,6 +292,14 @@ def pair_columns() -> list[Column]:
     ]
 
 
+def _trigrams(left: Column, right: Column) -> Column:
+    """The share of distinct trigrams that two texts have in common."""
+    grams = lambda x: F.when(F.length(x) < 3, F.array().cast("array<string>")).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(x) - 2), lambda i: F.substring(x, i, F.lit(3)))))
+    share = lambda g: 2 * F.size(F.array_intersect(g["a"], g["b"])) / F.greatest(F.lit(1), F.size(g["a"]) + F.size(g["b"]))
+    # an array of one, so that both sides' trigrams are made once
+    return F.get(F.transform(F.array(F.struct(grams(left).alias("a"), grams(right).alias("b"))), share), F.lit(0))
+
+
 def author_share(left: Column, right: Column) -> Column:
     """:func:`_author_share` as an Arrow column function."""
 
@@ -330,17 +395,27 @@ def match_records(left: DataFrame, right: DataFrame, keys: tuple[str, str], leas
     one class: classes are compared, and a pair of matched classes stands for all its members.
     Records without a title match nothing. The keys must be unique; rows with a null key are left out.
     """
-    a, b = stage(prepare(left, keys[0])), stage(prepare(right, keys[1]))
     told = [n for n in _FIELDS if n not in ("id", "form")]
-    one = lambda df: stage(df.groupBy("form").agg(F.first(F.struct(*told)).alias("r")).select("form", "r.*"))
-    ca, cb = one(a), one(b)
-    pairs = candidate_pairs(ca, cb).join(ca.select(F.col("form").alias("fa"), F.col("words").alias("wa")), "fa").join(cb.select(F.col("form").alias("fb"), F.col("words").alias("wb")), "fb")
-    shared, least_words = F.size(F.array_intersect("wa", "wb")), F.least(F.size("wa"), F.size("wb"))
-    pairs = pairs.where((shared >= VERIFIED * (F.size("wa") + F.size("wb") - shared)) | (least_words < TELLING)).select("fa", "fb")
-    compared = ["words", "grams", "sequel", "year", "doi", "authors", "venue"]
+
+    def classes(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+        every = stage(prepare(df, key))
+        one = stage(every.groupBy("form").agg(F.first(F.struct(*told)).alias("r")).select("form", "r.*"))
+        ids = stage(every.select("form", "id"))
+        release(every)
+        return one, ids
+
+    (ca, a), (cb, b) = classes(left, keys[0]), classes(right, keys[1])
+    parts = max(1, min(PARTS, -(-(ca.count() + cb.count()) // PART_RECORDS)))
+    met = []
+    for pairs in blocked_pairs(ca, cb, parts):
+        pairs = pairs.where(may_share(F.col("sa"), F.col("sb"))).select("fa", "fb").repartition("fa").distinct()
+        pairs = pairs.join(ca.select(F.col("form").alias("fa"), F.col("words").alias("wa")), "fa").join(cb.select(F.col("form").alias("fb"), F.col("words").alias("wb")), "fb")
+        met.append(stage(pairs.where(verified(F.col("wa"), F.col("wb"))).select("fa", "fb")))
+    pairs = reduce(DataFrame.union, met).distinct()
+    compared = ["words", "text", "sequel", "year", "doi", "authors", "venue"]
     records = pairs.join(cb.select(F.col("form").alias("fb"), F.struct(*compared).alias("b")), "fb").join(ca.select(F.col("form").alias("fa"), F.struct(*compared).alias("a")), "fa")
     featured = stage(records.select("fa", "fb", F.array(*pair_columns()).alias("f")))
-    release(ca, cb)
+    release(ca, cb, *met)
     chosen = featured.orderBy(F.xxhash64("fa", "fb"), "fa", "fb").limit(sample).select("f").collect()
     model = fit(np.array([r.f for r in chosen], float).reshape(-1, len(FEATURES)))
     kept = featured.where(admissible(F.col("f"))).select("fa", "fb", model.column(F.col("f")).alias("confidence")).where(F.col("confidence") >= least)

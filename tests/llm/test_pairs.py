@@ -228,6 +228,28 @@ def test_frequent_ends_lose_no_pair(spark, data, monkeypatch):
     assert {tuple(r) for r in M.candidate_pairs(a, b).collect()} == plain
 
 
+def test_blocks_in_parts_lose_no_pair(spark, data):
+    """Parts of the blocks give together the pairs of all blocks, each a share of them; no sketch rules out a pair that the words let through."""
+    a, b = M.prepare(spark.read.parquet(f"{data}/extracted_refs.parquet"), "ext_id"), M.prepare(spark.read.parquet(f"{data}/candidates.parquet"), "cand_id")
+    whole = {tuple(r) for r in M.candidate_pairs(a, b).collect()}
+    words = {r.form: set(r.words) for r in a.select("form", "words").union(b.select("form", "words")).collect()}
+    parts = [p.withColumn("ok", M.may_share(F.col("sa"), F.col("sb"))).select("fa", "fb", "ok").distinct().collect() for p in M.blocked_pairs(a, b, 3)]
+    assert {(r.fa, r.fb) for p in parts for r in p} == whole and max(map(len, parts)) < 0.7 * sum(map(len, parts))
+    like = {(x, y) for x, y in whole if len(words[x] & words[y]) >= M.VERIFIED * len(words[x] | words[y]) or min(len(words[x]), len(words[y])) < M.TELLING}
+    told = {(r.fa, r.fb) for p in parts for r in p if r.ok}
+    assert like <= told and len(told) < len(whole)
+
+
+def test_matches_in_parts_leave_little(spark, data, monkeypatch):
+    """As with one part; of what is staged, the ids, the frequent ends and the features are left."""
+    a, b = (spark.read.parquet(f"{data}/{n}.parquet") for n in ("extracted_refs", "candidates"))
+    whole = rows(M.match_records(a, b, ("ext_id", "cand_id")))
+    monkeypatch.setattr(M, "PART_RECORDS", 80)
+    before = _stages(spark)
+    parted = M.match_records(a, b, ("ext_id", "cand_id"))
+    assert len(_stages(spark) - before) <= 4 and rows(parted) == whole and len(whole) > 20
+
+
 @pytest.mark.parametrize("typed, listed", [
     (("CQI, Brezokoremel", None), ("Center for Quantum Immunology, Brezokoremel", None)), (("Inst. for Theor. Immunology, Puhufupudel", None), ("Institute for Theoretical Immunology, Puhufupudel", None)),
     (("Gifochalusen, Center for Experimental Cryptology", None), ("Center for Experimental Cryptology, Gifochalusen", None)), (("Boyd", "Alexandrina"), ("Boyd", "A.")),
