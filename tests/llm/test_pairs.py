@@ -149,6 +149,15 @@ def test_token_orders_are_checked(spark):
     assert got[12] == got[14] != got[13] == got[15]
 
 
+def test_a_frequent_given_name_takes_no_rows(spark):
+    """However many rows seem to have a given name for a family name, people who bear it stay with their own rows."""
+    families = ["Senelapomok", "Serineskemel", "Sozovuskitak", "Shokifivatek"]
+    spellings = [(10 * i + j, f, g) for i, f in enumerate(families) for j, g in enumerate(("Lucia", "Lucia", "L."))]
+    df = spark.createDataFrame(spellings + [(100 + i, "Lucia S.", None) for i in range(9)], "name_id bigint, family string, given string")
+    got = {r.name_id: r.entity for r in N.link_names(df, spark.createDataFrame([], "given string, alias string")).collect()}
+    assert all(got[10 * i] == got[10 * i + 1] == got[10 * i + 2] for i in range(4)) and len({got[10 * i] for i in range(4)}) == 4
+
+
 def test_link_names(spark):
     spellings = [
         (1, "Kopisenunok", "Harold"), (2, "KOPISENUNOK", "H."), (3, "Kopisenunok", "Hal"), (4, "Harold", "Kopisenunok"), (5, "Kopisenunko", "Harold"), (6, "Kopisenunok, Harold", None),
