@@ -170,6 +170,84 @@ def test_misread_long_words_are_found(spark):
         assert got[i, i].similarity >= least and got[i, i].accepted
 
 
+def test_titles_of_a_block_are_compared_where_it_is(spark):
+    """All pairs of a block against difflib, made without a join on blocks."""
+    import difflib
+    import random
+
+    rng = random.Random(5)
+    word = lambda k: "".join(rng.choice("abcdei") for _ in range(k))
+    bases = [f"{word(5)} {word(9)} {word(3)} of {word(7)} isoparametrization" for _ in range(12)]
+    noisy = lambda t: "".join(rng.choice(["", "x", c + "e"]) if rng.random() < 0.12 else c for c in t)
+    refs = [("d", i, "raw", noisy(rng.choice(bases)), [(rng.choice(["Boyd", "Kim"]), "S.")], rng.choice([2008, 2009, 2011, None]), None, None, None) for i in range(60)]
+    cands = [(i, noisy(rng.choice(bases)), [(rng.choice(["Boyd", "Kim"]), "S.")], rng.choice([2008, 2009, None]), None, None, "crossref", "book") for i in range(60)]
+    a, b = spark.createDataFrame(refs, REF), spark.createDataFrame(cands, CAND)
+    people = lambda v: [{"family": f, "given": g} for f, g in v]
+    keys = lambda t, v, y: [set(k) for k in R.title_keys(blocks.normal_title(t), R.first_family(people(v)), y)]
+
+    def edits(x, y):
+        row = list(range(len(y) + 1))
+        for i, c in enumerate(x, 1):
+            new = [i]
+            for j, d in enumerate(y, 1):
+                new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (c != d)))
+            row = new
+        return row[-1]
+
+    want = {}
+    for _, i, _, t, v, y, *_ in refs:
+        for c, u, w, z, *_ in cands:
+            (core, rest), (core2, rest2) = keys(t, v, y), keys(u, w, z)
+            x, o = blocks.normal_title(t), blocks.normal_title(u)
+            both = len(x) + len(o)
+            if not (core | rest) & (core2 | rest2) or 2 * min(len(x), len(o)) < 0.75 * both:
+                continue
+            if core & core2 or edits(x, o) <= int(0.25 * both + 1e-9):
+                want[i, c] = R.judge(t, people(v), y, u, people(w), z)
+    made = R.title_pairs(a, b)
+    got = {(r.ref_idx, r.cand_id): (r.similarity, r.accepted) for r in made.collect()}
+    assert got == want and len(want) > 150 and sum(k for _, k in want.values()) > 5
+    assert all(s == difflib.SequenceMatcher(None, blocks.normal_title(refs[i][3]), blocks.normal_title(cands[c][1])).ratio() for (i, c), (s, _) in got.items())
+    few = {(r.ref_idx, r.cand_id): (r.similarity, r.accepted) for r in R.title_pairs(a, b, misses=False).collect()}
+    assert few == {k: v for k, v in want.items() if v[0] >= 0.75}
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+def test_distances_of_many_pairs():
+    """Batches against difflib and the plain recurrence: empty, equal, long and very long texts."""
+    import difflib
+    import random
+
+    import numpy as np
+
+    from quirelake.functions import pairs
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab cde"[: rng.choice([2, 6])]) for _ in range(rng.choice([0, 1, 2, 5, 30, 90, 150, 199, 230]))) for _ in range(300)]
+    others = ["".join(rng.choice(["", "ax", "b"]) if rng.random() < rng.choice([0, 0.1, 0.4]) else c for c in t) for t in texts]
+    (a, p, m), (b, q, n) = pairs.encode(texts), pairs.encode(others)
+    want = np.array([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(texts, others)])
+    assert (pairs.ratios(a, p, m, b, q, n) == want).all()
+    high = pairs.ratios(a, p, m, b, q, n, 0.75)
+    assert ((high >= 0.75) == (want >= 0.75)).all() and (high[want >= 0.75] == want[want >= 0.75]).all()
+    most = np.floor(0.25 * (m + n) + 1e-9).astype(int)
+    near = np.flatnonzero((abs(m - n) <= most) & (m < 120) | (m >= 230))[:150]
+    near = near[abs(m - n)[near] <= most[near]]
+    for change in (1, 2):
+
+        def distance(x, y):
+            row = list(range(len(y) + 1))
+            for i, c in enumerate(x, 1):
+                new = [i]
+                for j, d in enumerate(y, 1):
+                    new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + change * (c != d)))
+                row = new
+            return row[-1]
+
+        got = pairs.edits(a, p[near], m[near], b, q[near], n[near], most[near], change)
+        assert list(got) == [distance(texts[i], others[i]) <= most[i] for i in near]
+
+
 def brute_dedup(pool):
     dois, titles, kept = set(), set(), []
     for i, title, doi in pool:
