@@ -210,6 +210,9 @@ def test_titles_of_a_block_are_compared_where_it_is(spark):
     assert all(s == difflib.SequenceMatcher(None, blocks.normal_title(refs[i][3]), blocks.normal_title(cands[c][1])).ratio() for (i, c), (s, _) in got.items())
     few = {(r.ref_idx, r.cand_id): (r.similarity, r.accepted) for r in R.title_pairs(a, b, misses=False).collect()}
     assert few == {k: v for k, v in want.items() if v[0] >= 0.75}
+    short = R.title_pairs(a, b, best=True)
+    missed = lambda df: sorted(map(tuple, R.near_misses(df, b).collect()))
+    assert missed(short) == missed(made) and missed(made) and short.count() < len(want)
     assert made._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
 
 
